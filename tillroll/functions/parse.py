@@ -61,13 +61,16 @@ def day_slashed(c: Column | str) -> Column:
 
 
 def day_any_format(c: Column | str) -> Column:
-    """ISO first, then slashed, else 1900-01-01. Always a date."""
+    """ISO or slashed, else 1900-01-01. Always a date.
+
+    The slash decides the format, so a row is parsed once: a failed parse costs
+    far more than a successful one.
+    """
     text = F.substring_index(F.trim(as_column(c)), " ", 1)
-    return F.coalesce(
-        F.try_to_date(text, "yyyy-M-d"),
-        F.try_to_date(text, "d/M/yyyy"),
-        F.lit(DEFAULT_DAY_ISO).cast("date"),
+    parsed = F.when(text.contains("/"), F.try_to_date(text, "d/M/yyyy")).otherwise(
+        F.try_to_date(text, "yyyy-M-d")
     )
+    return F.coalesce(parsed, F.lit(DEFAULT_DAY_ISO).cast("date"))
 
 
 def day_text(c: Column | str, fmt: str) -> Column:

@@ -45,9 +45,10 @@ def newest_per_key(
     if rule is None:
         return _newest_by_rank(dated, keys, ingestion, distinct)
     cold_rows, hot_rows, _ = split_hot(dated, keys, rule)
-    return _newest_by_rank(cold_rows, keys, ingestion, distinct).unionByName(
-        _newest_of_few(hot_rows, keys, ingestion, distinct)
-    )
+    newest = _newest_by_rank(cold_rows, keys, ingestion, distinct)
+    if hot_rows is None:
+        return newest
+    return newest.unionByName(_newest_of_few(hot_rows, keys, ingestion, distinct))
 
 
 def _newest_by_rank(df: DataFrame, keys: list[str], ingestion: str, distinct: bool) -> DataFrame:
@@ -100,10 +101,11 @@ def duplicate_rows(
     if rule is None:
         return _counted_by_window(known, keys, count_name)
     cold_rows, hot_rows, _ = split_hot(known, keys, rule)
+    counted = _counted_by_window(cold_rows, keys, count_name)
+    if hot_rows is None:
+        return counted
     counts = duplicate_keys(hot_rows, keys, count_name)
-    return _counted_by_window(cold_rows, keys, count_name).unionByName(
-        hot_rows.join(F.broadcast(counts), keys, "inner")
-    )
+    return counted.unionByName(hot_rows.join(F.broadcast(counts), keys, "inner"))
 
 
 def _counted_by_window(df: DataFrame, keys: list[str], count_name: str) -> DataFrame:

@@ -115,7 +115,7 @@ def update_match_columns(matched: DataFrame) -> DataFrame:
 def master_keys(master: DataFrame, array: str, stage: int, attributes: list[str]) -> DataFrame:
     """``(key, stage, entry)`` for each element of an array of keys."""
     return master.select(
-        F.explode(F.col(array)).cast("string").alias("key"),
+        F.explode(F.col(array).cast("array<string>")).alias("key"),
         F.lit(stage).alias("stage"),
         F.struct(*attributes).alias("entry"),
     ).where(F.col("key").isNotNull())

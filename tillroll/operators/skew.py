@@ -23,7 +23,7 @@ class HotRule:
     """A key is hot above ``min_rows`` rows and ``min_share`` of all rows.
 
     ``tracked`` bounds the sketch and ``limit`` the list, so the list can be
-    broadcast whatever the size of the feed. A sketch of 10,000 items is off by
+    sent to the driver and back whatever the size of the feed. A sketch of 10,000 items is off by
     at most 0.03 % of the rows, which is below ``min_share``.
     """
 
@@ -41,10 +41,11 @@ def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: list[str], rule: HotRule = DEFAULT_RULE) -> DataFrame:
-    """At most ``rule.limit`` rows: the hashes of the hot keys.
+def hot_keys(df: DataFrame, keys: list[str], rule: HotRule = DEFAULT_RULE) -> list[int]:
+    """The hashes of the hot keys, at most ``rule.limit`` numbers.
 
-    Sketches are merged in two steps, so no task merges one per input split.
+    Runs one job that reads the key columns only. Sketches are merged in two
+    steps, so no task merges one per input split.
     """
     per_slot = (
         df.select(
@@ -62,7 +63,7 @@ def hot_keys(df: DataFrame, keys: list[str], rule: HotRule = DEFAULT_RULE) -> Da
         F.expr(f"approx_top_k_combine(_sketch, {rule.tracked})").alias("_sketch"),
         F.sum("_rows").alias("_rows"),
     )
-    return (
+    hot = (
         merged.select(
             F.explode(F.expr(f"approx_top_k_estimate(_sketch, {rule.limit})")).alias("_top"),
             "_rows",
@@ -73,20 +74,25 @@ def hot_keys(df: DataFrame, keys: list[str], rule: HotRule = DEFAULT_RULE) -> Da
         )
         .select(F.col("_top.item").alias("_hot"))
     )
+    return [row[0] for row in hot.collect()]
+
+
+def is_hot(keys: list[str], hashes: list[int]) -> Column:
+    return key_hash(keys).isin(hashes)
 
 
 def split_hot(
     df: DataFrame, keys: list[str], rule: HotRule = DEFAULT_RULE
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(cold rows, hot rows, hot list)``.
+) -> tuple[DataFrame, DataFrame | None, list[int]]:
+    """``(cold rows, hot rows or None, hot hashes)``.
 
-    With an empty list AQE drops the hot branch and the test on the cold one.
+    Without a hot key, which is the usual case, ``df`` comes back unchanged and
+    the plan is the one without any of this.
     """
-    hot = hot_keys(df, keys, rule)
-    match = key_hash(keys) == F.col("_hot")
-    cold_rows = df.join(F.broadcast(hot), match, "left_anti")
-    hot_rows = df.join(F.broadcast(hot), match, "left_semi")
-    return cold_rows, hot_rows, hot
+    hashes = hot_keys(df, keys, rule)
+    if not hashes:
+        return df, None, hashes
+    return df.where(~is_hot(keys, hashes)), df.where(is_hot(keys, hashes)), hashes
 
 
 def same_key(keys: list[str], suffix: str) -> Column:
@@ -111,8 +117,9 @@ def lookup_join(
     """
     if rule is None:
         return df.join(lookup, keys, how)
-    cold_rows, hot_rows, hot = split_hot(df, keys, rule)
-    few = lookup.join(F.broadcast(hot), key_hash(keys) == F.col("_hot"), "left_semi")
-    return cold_rows.join(lookup, keys, how).unionByName(
-        hot_rows.join(F.broadcast(few), keys, how)
-    )
+    cold_rows, hot_rows, hashes = split_hot(df, keys, rule)
+    joined = cold_rows.join(lookup, keys, how)
+    if hot_rows is None:
+        return joined
+    few = lookup.where(is_hot(keys, hashes))
+    return joined.unionByName(hot_rows.join(F.broadcast(few), keys, how))
