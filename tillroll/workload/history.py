@@ -1 +1,215 @@
-QUERIES: dict = {}
+"""History backfills, written and read back."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tillroll.functions import parse as p
+from tillroll.operators import audit, filters, shape
+from tillroll.plans import backfill as plan
+from tillroll.plans import layer_audit
+from tillroll.session import scratch_path
+from tillroll.sources import readers, writers
+from tillroll.workload import feeds
+from tillroll.workload.feeds import comma_text
+from tillroll.workload.tables import comma, dec, table
+
+
+def _history(spark, folder):
+    """Orders as a history zone: text dates and the audit columns, loaded monthly."""
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("ORDER"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("DATA"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("data_venda"),
+        comma_text("o_totalprice").alias("VALOR"),
+        F.col("o_orderpriority").alias("filename"),
+        F.date_format(F.last_day("o_orderdate"), "yyyy-MM-dd HH:mm:ss").alias("createdDate"),
+        F.when(F.col("o_orderstatus") == "P", "2002-01-01").otherwise("").alias("updatedDate"),
+        F.lit("").alias("lastReceived"),
+    )
+
+
+_HISTORY = f"""
+  select o_orderkey as "order", strftime(o_orderdate, '%d/%m/%Y') as data,
+         strftime(o_orderdate, '%d/%m/%Y') as data_venda,
+         {comma('o_totalprice')} as valor, o_orderstatus <> 'P' as current,
+         cast(o_orderdate as date) as d,
+         last_day(o_orderdate) as created
+  from orders"""
+
+
+def _written(spark, name, df, spec):
+    path = scratch_path(spark, name)
+    plan.write_history(plan.shape_history(df, spec), spec, path)
+    return readers.read_files(spark, path)
+
+
+def backfill_roundtrip(spark, folder):
+    """Rows before a cut date, appended by the day they were created."""
+    spec = plan.BackfillSpec(
+        keep=plan.before("DATA", dt.date(2001, 7, 4), plan.SLASHED), day=plan.created, lower=True
+    )
+    return _written(spark, "backfill", _history(spark, folder), spec)
+
+
+def backfill_current_versions(spark, folder):
+    """Current rows only; the second layer is read back."""
+    spec = plan.BackfillSpec(
+        keep=plan.current_before("createdDate", dt.date(2001, 5, 19), "yyyy-MM-dd HH:mm:ss"),
+        day=plan.created,
+        lower=True,
+        extra_drop=("data_venda",),
+    )
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    rows = plan.shape_history(_history(spark, folder), spec)
+    plan.write_history(rows, spec, bronze, silver)
+    return readers.read_path_sql(spark, silver)
+
+
+def backfill_half_months(spark, folder):
+    """Yearly files with drifting columns, half-month partitions, replaced twice."""
+    orders = table(spark, folder, "orders").withColumn("y", F.year("o_orderdate"))
+    root = scratch_path(spark, "years")
+    old = orders.where("y <= 1997").select("o_orderkey", "o_orderdate", "o_orderpriority", "y")
+    new = orders.where("y > 1997").select("o_orderkey", "o_orderdate", "y")
+    for part, name in ((old, "a"), (new, "b")):
+        part.withColumnRenamed("o_orderpriority", "note").write.partitionBy("y").parquet(
+            f"{root}/{name}"
+        )
+    history = readers.read_years(spark, [f"{root}/a/y=*", f"{root}/b/y=*"]).select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("DATA"), "note"
+    )
+    spec = plan.BackfillSpec(
+        keep=plan.up_to_year("DATA", 2000, plan.ISO),
+        day=lambda: p.day_text("DATA", plan.ISO),
+        half_months=True,
+        whole_row_distinct=True,
+        replace=True,
+    )
+    path = scratch_path(spark, "half")
+    rows = plan.shape_history(history, spec)
+    plan.write_history(rows, spec, path)
+    plan.write_history(rows, spec, path)
+    return audit.count_by(
+        readers.read_files(spark, path), year="year", month="month", day="day", note="note"
+    )
+
+
+def fact_partitions_replaced(spark, folder):
+    """A fact written by business day, then one month of it written again."""
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.last_day("l_shipdate").alias("DATA"), "l_returnflag"
+    )
+    fact = shape.with_day_parts(rows.withColumn("load", F.lit(1)), "DATA")
+    path = scratch_path(spark, "fact")
+    writers.overwrite_partitions(fact, path)
+    again = filters.between_days(fact, "DATA", dt.date(2000, 3, 1), dt.date(2000, 3, 31))
+    writers.overwrite_partitions(again.withColumn("load", F.lit(2)), path)
+    return audit.count_by(
+        readers.read_files(spark, path),
+        year="ano_partition",
+        month="mes_partition",
+        load="load",
+        flag="l_returnflag",
+    )
+
+
+def yearly_union(spark, folder):
+    """Files of each source system read by glob and united by name."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "n_chars", "source")
+    root = scratch_path(spark, "zone")
+    docs.write.partitionBy("lang").parquet(f"{root}/br/docs")
+    zone = readers.read_zone(spark, root, "br", "docs")
+    globs = [f"{root}/br/docs/lang={lang}" for lang in ("en", "fr", "de", "es")]
+    united = readers.read_years(spark, globs)
+    readers.register_view(zone, "zone_documents")
+    total = spark.sql("SELECT source, count(*) AS zone_rows FROM zone_documents GROUP BY source")
+    return (
+        united.groupBy("source")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_chars").alias("n_chars"))
+        .join(total, "source")
+    )
+
+
+def history_validation(spark, folder):
+    return plan.validate_history(_history(spark, folder), p.day_slashed("DATA"))
+
+
+def layer_audit_totals(spark, folder):
+    """The per-day totals of the audit of one feed, next to its per-day counts."""
+    feed = feeds.virtual_sale_feed(spark, folder)
+    checks = layer_audit.audit_layer(
+        feed,
+        {"secao": "SECAO"},
+        p.day_compact("DATA"),
+        ["CNPJ", "CODIGOBARRAS", "DATA"],
+        {"quantity": p.locale_decimal("QUANTIDADEVENDA")},
+        store={"store": p.bigint_or_zero("CNPJ")},
+    )
+    return checks["totals_per_day"].join(
+        checks["rows_per_day"].withColumnRenamed("n_rows", "again"),
+        F.col("again") == F.col("n_rows"),
+        "left_semi",
+    )
+
+
+QUERIES = {
+    "backfill_roundtrip": (
+        backfill_roundtrip,
+        f"""
+        select "order", data, data_venda, valor, year(created) as year, month(created) as month,
+               day(created) as day
+        from ({_HISTORY}) where d < date '2001-07-04'
+        """,
+    ),
+    "backfill_current_versions": (
+        backfill_current_versions,
+        f"""
+        select "order", data, valor, year(created) as year, month(created) as month,
+               day(created) as day
+        from ({_HISTORY}) where created < date '2001-05-19' and current
+        """,
+    ),
+    "backfill_half_months": (
+        backfill_half_months,
+        """
+        select year, month, day, note, count(*) as n_rows from (
+          select distinct o_orderkey, cast(o_orderdate as date) as d,
+                 year(o_orderdate) as year, month(o_orderdate) as month,
+                 case when day(o_orderdate) < 16 then 1 else 16 end as day,
+                 case when year(o_orderdate) <= 1997 then o_orderpriority end as note
+          from orders where year(o_orderdate) <= 2000)
+        group by 1, 2, 3, 4
+        """,
+    ),
+    "fact_partitions_replaced": (
+        fact_partitions_replaced,
+        """
+        select year(l_shipdate) as year, month(l_shipdate) as month,
+               case when date_trunc('month', l_shipdate) = date '2000-03-01' then 2 else 1 end as load,
+               l_returnflag as flag, count(*) as n_rows
+        from lineitem group by 1, 2, 3, 4
+        """,
+    ),
+    "yearly_union": (
+        yearly_union,
+        "select source, count(*) as n_rows, cast(sum(n_chars) as bigint) as n_chars, "
+        "count(*) as zone_rows from documents group by 1",
+    ),
+    "history_validation": (
+        history_validation,
+        "select cast(min(o_orderdate) as date) as min_value, cast(max(o_orderdate) as date) "
+        "as max_value, count(*) as n_rows from orders",
+    ),
+    "layer_audit_totals": (
+        layer_audit_totals,
+        f"""
+        select cast(try_strptime(coalesce(trim(replace(DATA, '-', '')), '19000101'), '%Y%m%d')
+                    as date) as day,
+               count(*) as n_rows, cast(sum({dec('QUANTIDADEVENDA')}) as decimal(38,6)) as quantity
+        from ({feeds.VIRTUAL_SALE_SQL}) group by 1
+        """,
+    ),
+}

@@ -72,7 +72,7 @@ def master_treated(spark, folder) -> DataFrame:
     """Treated catalogue text next to the description it stands for."""
     part = table(spark, folder, "part").where(F.col("p_type").isin(MAIN_TYPES))
     return part.select(
-        t.description_treatment(F.concat_ws(" ", "p_name", "p_brand")).alias("product_treated"),
+        t.description_treatment(F.concat_ws(" ", "p_name", "p_type")).alias("product_treated"),
         F.lower(F.concat_ws(" ", "p_name", "p_brand", "p_type", F.concat("p_size", F.lit("ml")))).alias(
             "product_description"
         ),
@@ -102,7 +102,7 @@ def distinct_products(spark, folder) -> DataFrame:
         F.col("p_brand").alias("BRAND"),
         F.when(nation < 12, F.concat(plain, F.lit(" CX")))
         .when(nation < 18, plain)
-        .otherwise(F.concat(F.initcap("p_name"), F.lit(" -  "), F.upper("p_brand"), F.lit(" Atcd")))
+        .otherwise(F.concat(F.lit("Atcd "), F.initcap("p_name"), F.lit(" -  "), F.col("p_type")))
         .alias("PRODUCT_SOURCE_NAME"),
         F.when(nation.between(5, 9) | (nation > 13), F.lit(0).cast("bigint"))
         .when(nation < 5, F.lit(CODE_BASE) + F.col("p_partkey"))
@@ -124,10 +124,10 @@ _PRODUCTS = f"""
            p_brand as BRAND,
            case when s_nationkey < 12 then upper(p_name || ' ' || p_brand) || ' CX'
                 when s_nationkey < 18 then upper(p_name || ' ' || p_brand)
-                else (select string_agg(upper(w[1]) || w[2:], ' ' order by i)
+                else 'Atcd ' || (select string_agg(upper(w[1]) || w[2:], ' ' order by i)
                       from (select unnest(string_split(p_name, ' ')) as w,
                                    generate_subscripts(string_split(p_name, ' '), 1) as i))
-                     || ' -  ' || upper(p_brand) || ' Atcd' end as PRODUCT_SOURCE_NAME,
+                     || ' -  ' || p_type end as PRODUCT_SOURCE_NAME,
            case when s_nationkey between 5 and 9 or s_nationkey > 13 then 0
                 when s_nationkey < 5 then {CODE_BASE} + p_partkey
                 else p_partkey end as PRODUCT_SOURCE_CODE,
@@ -257,13 +257,13 @@ _TREATED = f"""
 # The treated catalogue text, per catalogue name.
 _master_treated, _master_done = sql_treatment("m", "mnames", "words")
 _TREATED_CATALOGUE = f"""
-  mnames as (select distinct p_name || ' ' || p_brand as text, p_name || ' ' || p_brand as words
+  mnames as (select distinct p_name || ' ' || p_type as text, p_name || ' ' || p_type as words
              from part where p_type in ({_sql_list(MAIN_TYPES)})),
   {_master_treated},
   mlinks as (select distinct words as key,
                     lower(p_name || ' ' || p_brand || ' ' || p_type || ' ' || p_size || 'ml')
                       as PRODUCT_DESCRIPTION
-             from part join {_master_done} on text = p_name || ' ' || p_brand
+             from part join {_master_done} on text = p_name || ' ' || p_type
              where p_type in ({_sql_list(MAIN_TYPES)}))"""
 
 _CASCADE = f"""
