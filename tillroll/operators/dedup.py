@@ -22,7 +22,10 @@ def first_per_key(
     ``row_number = 1`` is cut to one row per key and task before the shuffle,
     so a key with very many rows costs no more than any other.
     """
-    w = Window.partitionBy(*keys).orderBy(*total_order(df, order or [], keys))
+    ordering = total_order(df, order or [], keys)
+    if not ordering:
+        return df.dropDuplicates()
+    w = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.shape import BUSINESS_PARTITION, INGESTION_PARTITION
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def _by_partition(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """``rebalance`` lets AQE split a partition that holds most of the rows."""
@@ -38,16 +40,22 @@ def overwrite_partitions(
 def overwrite_partitions_of_table(
     df: DataFrame, table: str, partition: tuple[str, ...] = BUSINESS_PARTITION, fmt: str = "parquet"
 ) -> None:
-    """As above for a catalogue table, which is created when absent."""
+    """As above for a catalogue table, which is created when absent.
+
+    An insert into a table takes the mode from the session, not from a write
+    option, so the setting is made for the insert and put back.
+    """
     spark = df.sparkSession
     rows = _by_partition(df, partition)
     if not spark.catalog.tableExists(table):
         rows.write.format(fmt).partitionBy(*partition).saveAsTable(table)
         return
-    columns = spark.table(table).columns
-    rows.select(*columns).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).insertInto(table)
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
