@@ -95,7 +95,9 @@ def test_duplicate_rows(spark, rule):
 def test_lookup_join(session, how, rule):
     _, df = feed(session)
     lookup = session.createDataFrame([("hot", 1), ("a", 2), (None, 3)], "k string, w int")
-    assert rows(lookup_join(df, lookup, ["k"], how, rule)) == rows(df.join(lookup, ["k"], how))
+    want = rows(df.join(lookup, ["k"], how))
+    assert rows(lookup_join(df, lookup, ["k"], how, rule)) == want
+    assert rows(lookup_join(df, lookup, ["k"], how, rule, broadcast_rows=0)) == want
 
 
 def test_newest_of_equal_rows(spark):

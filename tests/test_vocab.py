@@ -41,11 +41,13 @@ def damage(r, word, times):
     return "".join(letters)
 
 
+@pytest.mark.parametrize("most", [0, vocab.MOST_BROADCAST_KEYS], ids=["shuffled", "broadcast"])
 @pytest.mark.parametrize(
     "low,high,n", [(4, 10, 120), (9, 16, 120), (13, 24, 90), (25, 60, 40), (90, 130, 8)]
 )
-def test_corrections_equal_brute_force(session, low, high, n):
+def test_corrections_equal_brute_force(session, monkeypatch, low, high, n, most):
     """No close match is missed, whatever the length of the words."""
+    monkeypatch.setattr(vocab, "MOST_BROADCAST_KEYS", most)
     r = random.Random(low)
     known = {"".join(r.choice("abcde") for _ in range(r.randint(low, high))) for _ in range(n)}
     words = [
@@ -86,12 +88,13 @@ TEXTS = [
 def test_repair_keeps_or_drops_unknown_words(spark, rule):
     df = spark.createDataFrame(TEXTS, "id int, t string")
     known = frame(spark, ["cerveja", "brahma", "skol", "refrigerante"])
-    kept = vocab.repair_typos(df, "id", "t", known, "out", "keep", rule).select("id", "out")
+    few = 0 if rule else 1000
+    kept = vocab.repair_typos(df, "id", "t", known, "out", "keep", rule, few).select("id", "out")
     assert rows(kept) == [
         (1, "cerveja brahma 350ml"), (2, "zzz  skol"), (3, None), (4, None),
         (5, "refrigerante 12 brahma"), (6, "skol"),
     ]
-    dropped = vocab.repair_typos(df, "id", "t", known, "out", "drop", rule).select("id", "out")
+    dropped = vocab.repair_typos(df, "id", "t", known, "out", "drop", rule, few).select("id", "out")
     assert rows(dropped)[1] == (2, " skol")
     with pytest.raises(ValueError):
         vocab.repair_typos(df, "id", "t", known, "out", "glue")

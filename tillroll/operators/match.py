@@ -13,6 +13,7 @@ from tillroll.functions.parse import fill_when, safe_cast
 from tillroll.operators.dedup import first_per_key
 from tillroll.operators.shape import drop_columns, with_typed_nulls
 from tillroll.operators.skew import DEFAULT_RULE, HotRule, lookup_join
+from tillroll.session import cut_lineage
 
 # Fixed values -------------------------------------------------------------
 INTERNAL_PRODUCT = T.ArrayType(
@@ -133,7 +134,9 @@ def remove_matched(
     df: DataFrame, matched: DataFrame, keys: list[str], rule: HotRule | None = None
 ) -> DataFrame:
     """Rows whose key is not in ``matched``. Give a rule when keys repeat in ``df``."""
-    return lookup_join(df, matched.select(*keys).distinct(), keys, "left_anti", rule)
+    return lookup_join(
+        df, matched.select(*keys).distinct(), keys, "left_anti", rule, broadcast_rows=0
+    )
 
 
 def _product_keys(products: DataFrame, treated: DataFrame | None) -> DataFrame:
@@ -206,7 +209,7 @@ def match_products(
     if treated is not None:
         named_treated = treated.withColumnsRenamed(TREATED_NAMES)
         tables.append(typed(_treated_entries(main, master_treated, attributes), "treated"))
-    entries = best_per_key(reduce(DataFrame.unionByName, tables))
+    entries = cut_lineage(best_per_key(reduce(DataFrame.unionByName, tables)))
 
     filled = fill_own_volume(products).select(*PRODUCT_COLUMNS)
     keys = _product_keys(filled, named_treated)

@@ -36,6 +36,9 @@ class HotRule:
 
 DEFAULT_RULE = HotRule()
 
+# Lookups of up to this many rows are broadcast.
+BROADCAST_ROWS = 200_000
+
 
 def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
@@ -102,19 +105,28 @@ def same_key(keys: list[str], suffix: str) -> Column:
     )
 
 
+def fits(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; stops counting after that."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
     keys: list[str],
     how: str = "left",
     rule: HotRule | None = DEFAULT_RULE,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join ``df`` to ``lookup``, which has at most one row per key.
 
-    Rows of hot keys meet a broadcast of the few lookup rows they can match;
-    all others take an ordinary join whose strategy Spark picks by size.
+    A lookup that is counted and found small is broadcast, and ``df`` is not
+    shuffled at all. Beyond that, rows of hot keys meet a broadcast of the few
+    lookup rows they can match, and all others take an ordinary join.
     ``rule=None`` is for keys known to be unique in ``df`` as well.
     """
+    if broadcast_rows and fits(lookup, broadcast_rows):
+        return df.join(F.broadcast(lookup), keys, how)
     if rule is None:
         return df.join(lookup, keys, how)
     cold_rows, hot_rows, hashes = split_hot(df, keys, rule)

@@ -26,6 +26,8 @@ LONG_PAIR = 30
 # Words of a pair shorter than LONG_PAIR have at most this many letters.
 LONGEST_SHORT_WORD = 15
 SHORTEST_LONG_WORD = 14
+# Vocabulary keys (short texts) up to this many rows are broadcast.
+MOST_BROADCAST_KEYS = 2_000_000
 
 
 def vocabulary(master: DataFrame, column: str) -> DataFrame:
@@ -56,95 +58,37 @@ def _one_removed(word: Column) -> Column:
     )
 
 
-def _removals(df: DataFrame, out: str) -> DataFrame:
-    """``(word, key, removed)`` for zero, one and two removed letters.
-
-    Two are only needed where a pair may differ by two letters in length,
-    that is from 11 letters on.
-    """
-    word = F.col("word")
-    short = df.where(F.length(word) <= LONGEST_SHORT_WORD)
-    none = short.select("word", word.alias("key"), F.lit(0).alias("removed"))
-    one = short.select("word", F.explode(_one_removed(word)).alias("key"), F.lit(1).alias("removed"))
-    two = (
-        short.where(F.length(word) >= 11)
-        .select(
-            "word",
-            F.explode(
-                F.array_distinct(F.flatten(F.transform(_one_removed(word), _one_removed)))
-            ).alias("key"),
-        )
-        .withColumn("removed", F.lit(2))
-    )
-    return none.unionByName(one).unionByName(two).withColumnRenamed("word", out)
-
-
 def _allowed(joint: Column) -> Column:
     return F.floor(joint / 10).cast("int")
 
 
-def _short_pairs(words: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Pairs that agree after the removals their joint length allows."""
-    left = _removals(words, "word").withColumnRenamed("removed", "removed_w")
-    right = _removals(vocab, "candidate").withColumnRenamed("removed", "removed_c")
-    joint = F.length("word") + F.length("candidate")
-    return (
-        left.join(right, "key")
-        .where(
-            joint.between(SHORTEST_PAIR, LONG_PAIR - 1)
-            & (F.col("removed_w") + F.col("removed_c") <= _allowed(joint))
-        )
-        .select("word", "candidate")
+def _keyed(texts: Column, mark: Column, removed: int) -> Column:
+    """An array of ``(key, removed)`` from an array of texts."""
+    return F.transform(
+        texts, lambda x: F.struct(F.concat(mark, x).alias("key"), F.lit(removed).alias("removed"))
     )
 
 
-def _long_pairs(words: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Pairs of long words, by a piece both must share.
+def _removal_keys(word: Column) -> Column:
+    """The word with zero, one and two letters removed.
 
-    At most ``d`` removals touch at most ``d`` of ``d + 1`` pieces of the
-    candidate, so one piece is in the word unchanged, shifted by at most ``d``.
+    Two are only needed where a pair may differ by two letters in length,
+    that is from 11 letters on.
     """
-    left = _with_partner_lengths(words).select(
-        "word", "n", "m", "d", F.explode(F.sequence(F.lit(0), "d")).alias("piece")
-    )
-    # For the word, the candidate has ``m`` letters.
-    left = left.select(
-        "word",
-        F.col("m").alias("length_c"),
-        "piece",
-        F.explode(_shifted_pieces()).alias("text"),
-        F.col("n").alias("length_w"),
-    ).distinct()
-    right = _with_partner_lengths(vocab).select(
-        F.col("word").alias("candidate"),
-        F.col("n").alias("length_c"),
-        F.col("m").alias("length_w"),
-        "d",
-        F.explode(F.sequence(F.lit(0), "d")).alias("piece"),
-    )
-    start, size = _piece(F.col("length_c"), F.col("piece"), F.col("d"))
-    right = right.select(
-        "candidate",
-        "length_c",
-        "length_w",
-        "piece",
-        F.substring(F.col("candidate"), start + 1, size).alias("text"),
-    )
-    return left.join(right, ["length_c", "length_w", "piece", "text"]).select("word", "candidate")
+    mark = F.lit("=")
+    one = _one_removed(word)
+    two = F.when(
+        F.length(word) >= 11,
+        F.array_distinct(F.flatten(F.transform(one, _one_removed))),
+    ).otherwise(F.array().cast("array<string>"))
+    return F.when(
+        F.length(word) <= LONGEST_SHORT_WORD,
+        F.concat(_keyed(F.array(word), mark, 0), _keyed(one, mark, 1), _keyed(two, mark, 2)),
+    ).otherwise(_no_keys())
 
 
-def _with_partner_lengths(df: DataFrame) -> DataFrame:
-    """``n`` letters, every partner length ``m`` and the removals ``d`` of the pair."""
-    n = F.length("word")
-    # 0.9 <= 2 min / (n + m)
-    least = F.ceil(n * 9 / 11).cast("int")
-    most = F.floor(n * 11 / 9).cast("int")
-    return (
-        df.where(n >= SHORTEST_LONG_WORD)
-        .select("word", n.alias("n"), F.explode(F.sequence(least, most)).alias("m"))
-        .where(F.col("n") + F.col("m") >= LONG_PAIR)
-        .withColumn("d", _allowed(F.col("n") + F.col("m")))
-    )
+def _no_keys() -> Column:
+    return F.array().cast("array<struct<key:string,removed:int>>")
 
 
 def _piece(length: Column, piece: Column, d: Column) -> tuple[Column, Column]:
@@ -154,15 +98,74 @@ def _piece(length: Column, piece: Column, d: Column) -> tuple[Column, Column]:
     return start, end - start
 
 
-def _shifted_pieces() -> Column:
-    """All texts of the word where the candidate's piece may stand."""
-    word, n, m, d = F.col("word"), F.col("n"), F.col("m"), F.col("d")
-    start, size = _piece(m, F.col("piece"), d)
-    first = F.greatest(start - d, F.lit(0))
-    last = F.least(start + d, n - size)
+def _piece_keys(word: Column, is_candidate: bool) -> Column:
+    """Keys of a long word: a piece of the candidate both words must share.
+
+    At most ``d`` removals touch at most ``d`` of ``d + 1`` pieces of the
+    candidate, so one piece is in the word unchanged, shifted by at most ``d``.
+    A key names both lengths and the piece, so pieces of other pairs never meet.
+    """
+    n = F.length(word)
+    # 0.9 <= 2 min / (n + m)
+    partners = F.sequence(F.ceil(n * 9 / 11).cast("int"), F.floor(n * 11 / 9).cast("int"))
+
+    def of_partner(m: Column) -> Column:
+        d = _allowed(n + m)
+        length_c, length_w = (n, m) if is_candidate else (m, n)
+
+        def of_piece(piece: Column) -> Column:
+            start, size = _piece(length_c, piece, d)
+            if is_candidate:
+                texts = F.array(F.substring(word, start + 1, size))
+            else:
+                first, last = F.greatest(start - d, F.lit(0)), F.least(start + d, n - size)
+                texts = F.when(
+                    first <= last,
+                    F.array_distinct(
+                        F.transform(
+                            F.sequence(first, last), lambda i: F.substring(word, i + 1, size)
+                        )
+                    ),
+                ).otherwise(F.array().cast("array<string>"))
+            return _keyed(texts, F.concat_ws(":", length_c, length_w, piece, F.lit("")), 0)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), d), of_piece))
+
+    long_partners = F.filter(partners, lambda m: n + m >= LONG_PAIR)
     return F.when(
-        first <= last,
-        F.transform(F.sequence(first, last), lambda i: F.substring(word, i + 1, size)),
+        n >= SHORTEST_LONG_WORD, F.flatten(F.transform(long_partners, of_partner))
+    ).otherwise(_no_keys())
+
+
+def _keys(df: DataFrame, out: str, is_candidate: bool) -> DataFrame:
+    """``(out, key, removed)``: one row per key of each word."""
+    named = df.select(F.col("word").alias(out))
+    text = F.col(out)
+    keyed = named.withColumn(
+        "keys", F.concat(_removal_keys(text), _piece_keys(text, is_candidate))
+    )
+    return keyed.select(out, F.inline("keys")).withColumnRenamed("removed", f"removed_{out}")
+
+
+def candidate_pairs(words: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Distinct pairs that can reach the cutoff; no pair that does is missing.
+
+    The keys of a vocabulary of usual size are broadcast after counting them,
+    so the many keys of the words are not shuffled.
+    """
+    right = _keys(vocab, "candidate", is_candidate=True)
+    if right.count() <= MOST_BROADCAST_KEYS:
+        right = F.broadcast(right)
+    joint = F.length("word") + F.length("candidate")
+    removed = F.col("removed_word") + F.col("removed_candidate")
+    return (
+        _keys(words, "word", is_candidate=False)
+        .join(right, "key")
+        .where(
+            (joint >= LONG_PAIR) | ((joint >= SHORTEST_PAIR) & (removed <= _allowed(joint)))
+        )
+        .select("word", "candidate")
+        .distinct()
     )
 
 
@@ -190,14 +193,14 @@ def corrections(
     """
     if cutoff < fixed.TYPO_CUTOFF:
         raise ValueError("the candidate keys are complete from 0.90 on")
+    vocab = cut_lineage(vocab)
     unknown = (
         words.select("word")
         .where(_needs_check(F.col("word")))
         .distinct()
         .join(vocab, "word", "left_anti")
     )
-    pairs = _short_pairs(unknown, vocab).unionByName(_long_pairs(unknown, vocab)).distinct()
-    scored = pairs.withColumn("score", similarity("candidate", "word"))
+    scored = candidate_pairs(unknown, vocab).withColumn("score", similarity("candidate", "word"))
     return (
         scored.where(F.col("score") >= F.lit(cutoff))
         .groupBy("word")
@@ -214,6 +217,7 @@ def repair_typos(
     out: str,
     unmatched: str = "keep",
     rule: HotRule | None = DEFAULT_RULE,
+    broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """``text`` with its misspelt words repaired, as column ``out``.
 
@@ -237,7 +241,7 @@ def repair_typos(
         )
         found = unknown.join(found, "word", "left")
     found = cut_lineage(found)
-    hits = lookup_join(tokens, found, ["word"], "inner", rule)
+    hits = lookup_join(tokens, found, ["word"], "inner", rule, broadcast_rows)
     per_row = hits.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("word", F.col("repaired")))).alias("_repairs")
     )

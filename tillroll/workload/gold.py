@@ -10,6 +10,7 @@ from tillroll.functions import parse as p
 from tillroll.operators import audit, dedup, filters, shape
 from tillroll.plans import incremental as plan
 from tillroll.session import cut_lineage
+from tillroll.sources.readers import spread_small_scan
 from tillroll.workload import feeds
 from tillroll.workload.feeds import CODE_BASE, comma_text, text, with_ingestion
 from tillroll.workload.tables import comma, day, dec, table
@@ -25,7 +26,7 @@ def _stored(silver, spec, asof):
 
 # Virtual-sale feed: few products and months, so keys come back often. --------
 def _sale_silver(spark, folder):
-    lines = table(spark, folder, "lineitem").join(
+    lines = spread_small_scan(table(spark, folder, "lineitem")).join(
         table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     rows = lines.select(

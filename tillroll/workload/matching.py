@@ -11,6 +11,7 @@ from tillroll.operators.match import INTERNAL_PRODUCT
 from tillroll.plans import predict_input as predict
 from tillroll.plans import products as treat
 from tillroll.session import cut_lineage
+from tillroll.sources.readers import spread_small_scan
 from tillroll.workload.feeds import CODE_BASE
 from tillroll.workload.tables import table
 from tillroll.workload.texts import (
@@ -370,7 +371,8 @@ def predict_input(spark, folder):
 def _misspelt(spark, folder) -> DataFrame:
     """Document words with one letter lost, next to the words as they are."""
     lost = F.regexp_replace(F.lower("text"), "(?<=[a-z]{5})n(?=[a-z])", "")
-    return table(spark, folder, "documents").select("doc_id", lost.alias("text"))
+    docs = spread_small_scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", lost.alias("text"))
 
 
 def typo_repair(spark, folder):
