@@ -139,12 +139,14 @@ def _piece_keys(word: Column, is_candidate: bool) -> Column:
 
 def _keys(df: DataFrame, out: str, is_candidate: bool) -> DataFrame:
     """``(out, key, removed)``: one row per key of each word."""
+    # Exploded straight from the expression: as a named column it would be
+    # computed a second time by the non-empty test put in front of an explode.
     named = df.select(F.col("word").alias(out))
     text = F.col(out)
-    keyed = named.withColumn(
-        "keys", F.concat(_removal_keys(text), _piece_keys(text, is_candidate))
+    keys = F.concat(_removal_keys(text), _piece_keys(text, is_candidate))
+    return named.select(out, F.explode(keys).alias("k")).select(
+        out, "k.key", F.col("k.removed").alias(f"removed_{out}")
     )
-    return keyed.select(out, F.inline("keys")).withColumnRenamed("removed", f"removed_{out}")
 
 
 def candidate_pairs(words: DataFrame, vocab: DataFrame) -> DataFrame:

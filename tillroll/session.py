@@ -24,7 +24,9 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", cores)
+        # Small inputs of costly text work keep one task per core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
@@ -56,9 +58,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once, on storage that outlives an executor."""
+    """``df`` written once to the shared folder and read back.
+
+    The copy outlives an executor, and unlike a checkpoint it can be read by
+    column and has a size the optimizer knows.
+    """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
