@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 from decimal import Decimal
 
@@ -41,6 +42,22 @@ def test_gold_is_the_same_when_built_again(spark, rule):
     assert rows(third) == rows(second)
 
 
+def test_untouched_dates_skip_the_merge(spark):
+    """The same gold with and without the split, NULL dates included."""
+    other = [
+        ("2023-05-05", "9", "7", "A", "kept", 2023, 5, 6),
+        (None, "9", "7", "A", "null old", 2024, 1, 3),
+        (None, "9", "7", "A", "null new", 2024, 1, 16),
+    ]
+    df = silver(spark).unionByName(spark.createDataFrame(other, SILVER))
+    spec = inc.VIRTUAL_SALE_GOLD
+    gold = inc.build_gold(df.where("day < 10"), spec, ASOF)
+    split = inc.build_gold(df, spec, ASOF, gold)
+    whole = inc.build_gold(df, dataclasses.replace(spec, touched_by=None), ASOF, gold)
+    assert rows(split) == rows(whole)
+    assert {r["VALOR"] for r in split.collect()} == {"new", "only", "late", "kept", "null new"}
+
+
 def test_gold_meets_silver_by_name(session):
     spec = inc.VIRTUAL_SALE_GOLD
     gold = inc.build_gold(silver(session).where("month = 1"), spec, ASOF)

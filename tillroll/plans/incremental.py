@@ -18,10 +18,13 @@ from tillroll.functions.parse import (
 from tillroll.operators import filters as keep
 from tillroll.operators.dedup import first_per_key, newest_per_key
 from tillroll.operators.shape import INGESTION_PARTITION, drop_columns, upper_names
-from tillroll.operators.skew import DEFAULT_RULE, HotRule
+from tillroll.operators.skew import DEFAULT_RULE, HotRule, fits
 
 INGESTION = "INGESTION_DATE"
 
+# Longest list of changed dates that is broadcast.
+MOST_TOUCHED = 100_000
+
 
 @dataclass(frozen=True)
 class GoldSpec:
@@ -31,6 +34,8 @@ class GoldSpec:
     ``prepare`` cleans it. ``first_load_one_row`` keeps one row per key on the
     silver side instead of all rows of the newest ingestion. The rows kept in
     gold are those of the newest ingestion per key, without equal rows.
+    ``touched_by`` is a key column with few values in one run, a date: gold rows
+    of other dates cannot change and skip the merge.
     """
 
     keys: tuple[str, ...]
@@ -38,6 +43,7 @@ class GoldSpec:
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df
     first_load_one_row: bool = False
     select: tuple[str, ...] | None = None
+    touched_by: str | None = None
 
 
 def with_ingestion_day(df: DataFrame) -> DataFrame:
@@ -72,8 +78,35 @@ def build_gold(
         fresh = first_per_key(fresh, keys, [F.col(INGESTION).desc_nulls_last()])
         if gold is None:
             return fresh
-    merged = fresh if gold is None else gold.unionByName(fresh)
-    return newest_per_key(merged, keys, INGESTION, distinct=True, rule=rule)
+    if gold is None:
+        return newest_per_key(fresh, keys, INGESTION, distinct=True, rule=rule)
+    touched, untouched = _split_gold(gold, fresh, spec)
+    merged = newest_per_key(
+        touched.unionByName(fresh), keys, INGESTION, distinct=True, rule=rule
+    )
+    return merged if untouched is None else untouched.unionByName(merged)
+
+
+def _split_gold(
+    gold: DataFrame, fresh: DataFrame, spec: GoldSpec
+) -> tuple[DataFrame, DataFrame | None]:
+    """Gold rows this run can change, and the rest, which is not shuffled.
+
+    The rest is already the newest version of its keys, as gold only holds what
+    ``build_gold`` made; rows without an ingestion date leave it here as they
+    would in the merge. A list of values too long to broadcast means no split.
+    """
+    if spec.touched_by is None:
+        return gold, None
+    values = fresh.select(F.col(spec.touched_by).alias("_touched")).distinct()
+    if not fits(values, MOST_TOUCHED):
+        return gold, None
+    same = F.col(spec.touched_by).eqNullSafe(F.col("_touched"))
+    touched = gold.join(F.broadcast(values), same, "left_semi")
+    untouched = gold.where(F.col(INGESTION).isNotNull()).join(
+        F.broadcast(values), same, "left_anti"
+    )
+    return touched, untouched
 
 
 def last_days(days: int) -> Callable[[DataFrame, dt.date], DataFrame]:
@@ -105,6 +138,7 @@ VIRTUAL_SALE_GOLD = GoldSpec(
     keys=("CNPJ", "CODIGOBARRAS", "DESCPRODUTO", "DATA"),
     look_back=last_days(7),
     first_load_one_row=True,
+    touched_by="DATA",
 )
 OWN_COMPANY_GOLD = GoldSpec(
     keys=(
@@ -114,14 +148,17 @@ OWN_COMPANY_GOLD = GoldSpec(
     look_back=last_days(10),
     prepare=_decimal_measures,
     first_load_one_row=True,
+    touched_by="DATA_VENDA",
 )
 BANNER_GOLD = GoldSpec(
     keys=("CODIGO_VAREJO", "DIA", "CNPJ", "EAN_PRODUTO_VAREJO", "DESCRICAO_PRODUTO_VAREJO"),
     look_back=last_days(7),
     prepare=_clean_banner_rows,
+    touched_by="DIA",
 )
 PACK_UNIT_GOLD = GoldSpec(
     keys=("DATA", "CNPJ", "CODIGO_BARRA", "DESCRICAO"),
     look_back=last_snapshots(4),
     prepare=_clean_pack_rows,
+    touched_by="DATA",
 )
