@@ -39,3 +39,39 @@ def test_query(session, con, name):
 
 def test_entry(session):
     assert repo.entry(session).limit(1).count() == 1
+
+
+def test_typo_repair_equals_brute_force_on_whole_documents(session):
+    """No SQL twin: every word of every text against the standard library."""
+    from pyspark.sql import functions as F
+    from test_vocab import brute
+
+    from tillroll.workload import matching as m
+    from tillroll.workload.tables import table
+
+    before = {r["doc_id"]: r["text"] for r in m._misspelt(session, str(FOLDER)).collect()}
+    known = table(session, str(FOLDER), "benchmark").select(
+        F.regexp_replace(F.lower("text"), "[^a-z ]+", " ").alias("text")
+    )
+    words = {r[0] for r in m.vocab.vocabulary(known, "text").collect()}
+    fixes = brute({w for text in before.values() for w in text.split(" ")}, words)
+    after = repo.queries()["typo_repair"](session, str(FOLDER)).select("doc_id", "repaired")
+    assert fixes
+    assert {r[0]: r[1] for r in after.collect()} == {
+        k: " ".join(fixes.get(w, w) for w in text.split(" ")) if text else None
+        for k, text in before.items()
+    }
+
+
+def test_predict_input_equals_brute_force(session):
+    """The repaired description of every unmatched product."""
+    from test_vocab import brute
+
+    words = {r[0] for r in repo.queries()["vocabulary"](session, str(FOLDER)).collect()}
+    got = repo.queries()["predict_input"](session, str(FOLDER)).collect()
+    fixes = brute({w for r in got for w in r["product_treated"].split(" ")}, words)
+    assert got
+    for r in got:
+        text = " ".join(fixes.get(w, w) for w in r["product_treated"].split(" "))
+        want = text if "unidade" in text else text + " 1unidade"
+        assert r["product_description_treated"] == want

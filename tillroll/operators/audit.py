@@ -70,6 +70,18 @@ def distinct_values(df: DataFrame, **columns: Column | str) -> DataFrame:
     return df.select(*[as_column(c).alias(k) for k, c in columns.items()]).distinct()
 
 
+def newest_values(df: DataFrame, value: Column | str, n: int, name: str = "value") -> DataFrame:
+    """The ``n`` greatest distinct values, such as the last ingestion dates."""
+    values = distinct_values(df, **{name: value}).where(F.col(name).isNotNull())
+    return values.orderBy(F.col(name).desc()).limit(n)
+
+
+def listing(df: DataFrame, *order: Column | str, n: int | None = None) -> DataFrame:
+    """Rows in a stated order, at most ``n`` of them when ``n`` is given."""
+    ordered = df.orderBy(*[as_column(c) for c in order])
+    return ordered if n is None else ordered.limit(n)
+
+
 def reconcile(
     source: DataFrame,
     target: DataFrame,

@@ -115,6 +115,26 @@ def audit_distinct_days(spark, folder):
     return audit.distinct_values(table(spark, folder, "lineitem"), day=F.to_date("l_shipdate"))
 
 
+def newest_days(spark, folder):
+    return audit.newest_values(
+        table(spark, folder, "events"), F.to_date("ts"), 4, name="day"
+    )
+
+
+def ordered_partition_counts(spark, folder):
+    """Counts per month, listed in order."""
+    counts = audit.count_by(
+        table(spark, folder, "lineitem"), year=F.year("l_shipdate"), month=F.month("l_shipdate")
+    )
+    return audit.listing(counts, "year", "month")
+
+
+def largest_orders(spark, folder):
+    """A short listing: the ten dearest orders."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    return audit.listing(orders, F.col("o_totalprice").desc(), "o_orderkey", n=10)
+
+
 def duplicate_keys(spark, folder):
     return dedup.duplicate_keys(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -309,6 +329,19 @@ QUERIES = {
         audit_distinct_days,
         "select distinct cast(l_shipdate as date) as day from lineitem",
     ),
+    "newest_days": (
+        newest_days,
+        "select distinct cast(ts as date) as day from events order by day desc limit 4",
+    ),
+    "ordered_partition_counts": (
+        ordered_partition_counts,
+        "select year(l_shipdate) as year, month(l_shipdate) as month, count(*) as n_rows "
+        "from lineitem group by 1, 2 order by 1, 2",
+    ),
+    "largest_orders": (
+        largest_orders,
+        "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 10",
+    ),
     "duplicate_keys": (
         duplicate_keys,
         "select l_orderkey, l_linenumber, count(*) as n_rows from lineitem "
