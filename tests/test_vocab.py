@@ -59,6 +59,13 @@ def test_corrections_equal_brute_force(session, monkeypatch, low, high, n, most)
     assert len(got) > n / 3
 
 
+def test_a_huge_word_costs_nothing(session):
+    """No vocabulary word is near its length, so it gives no keys."""
+    words = ["x" * 50_000, "antarticaa"]
+    got = vocab.corrections(frame(session, words), frame(session, ["antarctica", "y" * 30]))
+    assert rows(got) == [("antarticaa", "antarctica")]
+
+
 def test_ties_go_to_the_greatest(spark):
     got = vocab.corrections(
         frame(spark, ["abcdefghijz", "brahmaa"]),

@@ -98,16 +98,24 @@ def _piece(length: Column, piece: Column, d: Column) -> tuple[Column, Column]:
     return start, end - start
 
 
-def _piece_keys(word: Column, is_candidate: bool) -> Column:
+def _piece_keys(word: Column, lengths: list[int] | None) -> Column:
     """Keys of a long word: a piece of the candidate both words must share.
 
     At most ``d`` removals touch at most ``d`` of ``d + 1`` pieces of the
     candidate, so one piece is in the word unchanged, shifted by at most ``d``.
     A key names both lengths and the piece, so pieces of other pairs never meet.
+    ``lengths`` are those of the vocabulary, given for a word; without them the
+    word is itself a candidate. A very long word no candidate is near gives no key.
     """
+    is_candidate = lengths is None
     n = F.length(word)
     # 0.9 <= 2 min / (n + m)
-    partners = F.sequence(F.ceil(n * 9 / 11).cast("int"), F.floor(n * 11 / 9).cast("int"))
+    least, most = F.ceil(n * 9 / 11).cast("int"), F.floor(n * 11 / 9).cast("int")
+    if is_candidate:
+        partners = F.sequence(least, most)
+    else:
+        known = F.array(*[F.lit(m) for m in lengths]).cast("array<int>")
+        partners = F.filter(known, lambda m: m.between(least, most))
 
     def of_partner(m: Column) -> Column:
         d = _allowed(n + m)
@@ -137,13 +145,13 @@ def _piece_keys(word: Column, is_candidate: bool) -> Column:
     ).otherwise(_no_keys())
 
 
-def _keys(df: DataFrame, out: str, is_candidate: bool) -> DataFrame:
+def _keys(df: DataFrame, out: str, lengths: list[int] | None = None) -> DataFrame:
     """``(out, key, removed)``: one row per key of each word."""
     # Exploded straight from the expression: as a named column it would be
     # computed a second time by the non-empty test put in front of an explode.
     named = df.select(F.col("word").alias(out))
     text = F.col(out)
-    keys = F.concat(_removal_keys(text), _piece_keys(text, is_candidate))
+    keys = F.concat(_removal_keys(text), _piece_keys(text, lengths))
     return named.select(out, F.explode(keys).alias("k")).select(
         out, "k.key", F.col("k.removed").alias(f"removed_{out}")
     )
@@ -155,13 +163,16 @@ def candidate_pairs(words: DataFrame, vocab: DataFrame) -> DataFrame:
     The keys of a vocabulary of usual size are broadcast after counting them,
     so the many keys of the words are not shuffled.
     """
-    right = _keys(vocab, "candidate", is_candidate=True)
+    # One number per distinct word length of the vocabulary.
+    long_words = vocab.select(F.length("word").alias("n")).where(F.col("n") >= SHORTEST_LONG_WORD)
+    lengths = sorted(row["n"] for row in long_words.distinct().collect())
+    right = _keys(vocab, "candidate")
     if right.count() <= MOST_BROADCAST_KEYS:
         right = F.broadcast(right)
     joint = F.length("word") + F.length("candidate")
     removed = F.col("removed_word") + F.col("removed_candidate")
     return (
-        _keys(words, "word", is_candidate=False)
+        _keys(words, "word", lengths)
         .join(right, "key")
         .where(
             (joint >= LONG_PAIR) | ((joint >= SHORTEST_PAIR) & (removed <= _allowed(joint)))
