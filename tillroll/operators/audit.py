@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions.parse import MEASURE, as_column, equal_flags
-from tillroll.operators.dedup import first_per_key
+from tillroll.operators.dedup import first_per_key, with_known_keys
 from tillroll.operators.skew import same_key
 
 
@@ -161,15 +161,14 @@ def row_differences(
 ) -> DataFrame:
     """One row per key and column whose values differ between two snapshots.
 
-    Each side is cut to one row per key, which also partitions it for the join.
+    Each side is cut to one row per known key, which also partitions it for the
+    join: no side is shuffled twice.
     """
-    a = first_per_key(left.select(*keys, *columns), keys)
-    b = first_per_key(right.select(*keys, *columns), keys)
+    a = first_per_key(with_known_keys(left.select(*keys, *columns), keys), keys)
+    b = first_per_key(with_known_keys(right.select(*keys, *columns), keys), keys)
     a = a.withColumn("_l", F.lit(True))
-    b = b.withColumnsRenamed({c: f"{c}__r" for c in [*keys, *columns]}).withColumn(
-        "_r", F.lit(True)
-    )
-    pair = a.join(b, same_key(keys, "__r"), "full_outer")
+    b = b.withColumnsRenamed({c: f"{c}__r" for c in columns}).withColumn("_r", F.lit(True))
+    pair = a.join(b, keys, "full_outer")
     sides = (
         F.when(F.col("_r").isNull(), F.lit("left"))
         .when(F.col("_l").isNull(), F.lit("right"))
@@ -188,7 +187,7 @@ def row_differences(
     )
     return (
         pair.select(
-            *[F.coalesce(F.col(k), F.col(f"{k}__r")).alias(k) for k in keys],
+            *keys,
             sides.alias("found_in"),
             F.explode(F.filter(cells, lambda x: ~x["same"])).alias("cell"),
         )

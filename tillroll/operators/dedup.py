@@ -84,6 +84,13 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def with_known_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows without a NULL key; each test is pushed to the scan."""
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    return df
+
+
 def duplicate_keys(df: DataFrame, keys: list[str], count_name: str = "n_rows") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name)).where(
         F.col(count_name) > 1
@@ -100,7 +107,7 @@ def duplicate_rows(
 
     A key with a NULL part never counts as a duplicate, as in an equi join.
     """
-    known = df.dropna(subset=keys)
+    known = with_known_keys(df, keys)
     if rule is None:
         return _counted_by_window(known, keys, count_name)
     cold_rows, hot_rows, _ = split_hot(known, keys, rule)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,24 +60,16 @@ FACT_TYPES: dict[str, T.DataType] = {
 FACT_COLUMNS = list(FACT_TYPES)
 
 
-def _default_text() -> Column:
-    return F.lit(p.NOT_INFORMED)
-
-
-def _no_measure() -> Column:
-    return F.lit(None).cast(p.MEASURE)
-
-
-def _zero() -> Column:
-    return F.lit(0).cast(p.MEASURE)
+DEFAULT_TEXTS = ("CATEGORY", "BRAND", "PDV_COMPANY_NAME", "PDV_TYPE", "ID_PDV_ECOMMERCE")
 
 
 @dataclass(frozen=True)
 class FeedSpec:
     """How one feed's raw columns become canonical ones.
 
-    ``columns`` maps a canonical name to a builder; names left out take the
-    defaults below. ``aggregate`` sums the measures per remaining column.
+    ``columns`` maps a canonical name to a builder; names left out are the same
+    in every row and take the constants below. ``aggregate`` sums the measures
+    per remaining column.
     """
 
     source: str
@@ -85,47 +77,40 @@ class FeedSpec:
     columns: dict[str, Callable[[], Column]]
     aggregate: bool = True
     keep: Callable[[], Column] | None = None
-    default_columns: dict[str, Callable[[], Column]] = field(
-        default_factory=lambda: {
-            "CATEGORY": _default_text,
-            "COMPANY": lambda: F.lit(OWN_COMPANY),
-            "BRAND": _default_text,
-            "PDV_COMPANY_NAME": _default_text,
-            "PDV_TYPE": _default_text,
-            "ID_PDV_ECOMMERCE": _default_text,
-            "REVENUE_SELLOUT": _zero,
-            "QUANTITY_STOCK_UNIT": _zero,
-            "CXA": _no_measure,
-            "PACK": _no_measure,
-        }
-    )
 
     def projection(self) -> list[Column]:
-        merged = {**self.default_columns, **self.columns}
-        return [build().alias(name) for name, build in merged.items()]
+        return [build().alias(name) for name, build in self.columns.items()]
+
+    def constants(self) -> dict[str, Column]:
+        given = {
+            **{c: F.lit(p.NOT_INFORMED) for c in DEFAULT_TEXTS},
+            **{c: F.lit(0).cast(p.MEASURE) for c in MEASURES},
+            "COMPANY": F.lit(OWN_COMPANY),
+            "CXA": F.lit(None).cast(p.MEASURE),
+            "PACK": F.lit(None).cast(p.MEASURE),
+            "SOURCE_NAME": F.lit(self.source),
+            "SUBSOURCE_NAME": F.lit(self.subsource),
+            "CHECKOUT": F.lit(0),
+        }
+        return {name: c for name, c in given.items() if name not in self.columns}
 
 
 def standardise(
     feed: DataFrame, spec: FeedSpec, asof: dt.date, window_days: int | None = 60
 ) -> DataFrame:
-    """Typed projection, date filters, sums per key, constants, partition columns."""
+    """Typed projection, date filters, sums per key, constants, partition columns.
+
+    Constants come after the sums, so they are neither grouped nor shuffled.
+    """
     typed = not_null(feed.select(*spec.projection()), "DATA")
     if spec.keep is not None:
         typed = typed.where(spec.keep())
     typed = rolling_window(typed, "DATA", asof, window_days)
     if spec.aggregate:
+        measures = [c for c in typed.columns if c in MEASURES]
         keys = [c for c in typed.columns if c not in MEASURES]
-        typed = typed.groupBy(*keys).agg(*[F.try_sum(m).alias(m) for m in MEASURES])
-    fact = with_day_parts(
-        typed.withColumns(
-            {
-                "SOURCE_NAME": F.lit(spec.source),
-                "SUBSOURCE_NAME": F.lit(spec.subsource),
-                "CHECKOUT": F.lit(0),
-            }
-        ),
-        "DATA",
-    )
+        typed = typed.groupBy(*keys).agg(*[F.try_sum(m).alias(m) for m in measures])
+    fact = with_day_parts(typed.withColumns(spec.constants()), "DATA")
     return fact.select(*[F.col(name).cast(kind).alias(name) for name, kind in FACT_TYPES.items()])
 
 

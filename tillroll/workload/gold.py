@@ -197,7 +197,7 @@ def newest_ingestion_rows(spark, folder):
 
 def latest_per_full_row(spark, folder):
     rows = table(spark, folder, "events").select(
-        "event_type", (F.col("user_id") % 10).alias("user_group"), F.to_date("ts").alias("ingested")
+        "event_type", "user_id", F.to_date("ts").alias("ingested")
     )
     return dedup.newest_of_equal_rows(rows, "ingested")
 
@@ -329,7 +329,7 @@ QUERIES = {
     "latest_per_full_row": (
         latest_per_full_row,
         """
-        select event_type, user_id % 10 as user_group, max(cast(ts as date)) as ingested
+        select event_type, user_id, max(cast(ts as date)) as ingested
         from events group by 1, 2
         """,
     ),
