@@ -73,14 +73,15 @@ def build_gold(
     The result replaces the gold table: running again on it changes nothing.
     """
     keys = list(spec.keys)
-    fresh = read_silver(silver, spec, asof, full_load=gold is None)
+    snapshot = fresh = read_silver(silver, spec, asof, full_load=gold is None)
     if spec.first_load_one_row:
-        fresh = first_per_key(fresh, keys, [F.col(INGESTION).desc_nulls_last()])
+        fresh = first_per_key(snapshot, keys, [F.col(INGESTION).desc_nulls_last()])
         if gold is None:
             return fresh
     if gold is None:
         return newest_per_key(fresh, keys, INGESTION, distinct=True, rule=rule)
-    touched, untouched = _split_gold(gold, fresh, spec)
+    # The column is part of the key, so the snapshot has the values fresh has.
+    touched, untouched = _split_gold(gold, snapshot, spec)
     merged = newest_per_key(
         touched.unionByName(fresh), keys, INGESTION, distinct=True, rule=rule
     )
@@ -88,7 +89,7 @@ def build_gold(
 
 
 def _split_gold(
-    gold: DataFrame, fresh: DataFrame, spec: GoldSpec
+    gold: DataFrame, snapshot: DataFrame, spec: GoldSpec
 ) -> tuple[DataFrame, DataFrame | None]:
     """Gold rows this run can change, and the rest, which is not shuffled.
 
@@ -98,7 +99,7 @@ def _split_gold(
     """
     if spec.touched_by is None:
         return gold, None
-    values = fresh.select(F.col(spec.touched_by).alias("_touched")).distinct()
+    values = snapshot.select(F.col(spec.touched_by).alias("_touched")).distinct()
     if not fits(values, MOST_TOUCHED):
         return gold, None
     same = F.col(spec.touched_by).eqNullSafe(F.col("_touched"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from tillroll.functions import parse as p
 from tillroll.operators import audit, dedup, filters, shape
+from tillroll.sources.readers import spread_small_scan
 from tillroll.workload.feeds import comma_text, text
 from tillroll.workload.tables import big, comma, dec, table
 
@@ -58,7 +59,7 @@ def audit_range_by_store(spark, folder):
 
 
 def audit_control_totals(spark, folder):
-    rows = table(spark, folder, "lineitem").select(
+    rows = spread_small_scan(table(spark, folder, "lineitem")).select(
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("DATA"),
         comma_text("l_quantity").alias("QTD"),
         comma_text("l_extendedprice").alias("VALOR"),
@@ -72,7 +73,7 @@ def audit_control_totals(spark, folder):
 
 def audit_store_totals(spark, folder):
     """Totals per store of coded lines; text goes to a number in two steps."""
-    rows = table(spark, folder, "lineitem").select(
+    rows = spread_small_scan(table(spark, folder, "lineitem")).select(
         text("l_suppkey").alias("CNPJ"),
         F.when(F.col("l_linenumber") == 7, "0").otherwise(text("l_partkey")).alias("CODIGO"),
         comma_text("l_extendedprice").alias("VALOR"),
