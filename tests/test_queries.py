@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as repo  # noqa: E402
 from check import rows_of  # noqa: E402
+from tillroll.workload import all_queries  # noqa: E402
 
 FOLDER = Path(repo.SMALL)
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="the given tables are not here")
@@ -23,7 +24,7 @@ def con():
     return con
 
 
-@pytest.mark.parametrize("name", list(repo.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query(session, con, name):
     df = repo.queries()[name](session, str(FOLDER))
     got = rows_of(df.columns, df.collect())
