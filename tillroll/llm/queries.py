@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("token_counts", "packing", "simhash", "subspace_join", "decontamination", "quality", "language", "html_template", "pii")
+AREAS = ("token_counts", "packing", "simhash", "subspace_join", "decontamination", "quality", "language", "html_template", "pii", "lm_scoring")
 
 QUERIES: dict = {}
 for area in AREAS:
