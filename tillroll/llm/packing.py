@@ -10,6 +10,7 @@ all pieces share is ranked in many tasks.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -29,16 +30,11 @@ CAPACITY = 2048
 #: The id that ends every document.
 END = np.array([0], dtype="<u4").tobytes()
 #: Pieces of text whose ids a worker keeps, and the longest it keeps.
-KEPT, KEPT_CHARS = 300_000, 64
+KEPT, KEPT_CHARS = 600_000, 64
 ENCODE_BYTES = 1 << 18
 #: Pieces of one length that one task ranks, about.
 RANKED_TOGETHER = 4096
 
-#: White space of any kind but the plain space and the line feed.
-ODD_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
-#: Two separators in a row, or one at an end of the text.
-IRREGULAR = re.compile(r"[ \n]{2}|\A[ \n]|[ \n]\Z")
-
 _ids: dict[str, dict[str, bytes]] = {}
 
 
@@ -46,21 +42,18 @@ def chunks(text: str) -> list[str]:
     """Parts of ``text`` that the vocabulary's pre-tokenizer never joins.
 
     It ties a single space to the word behind it and keeps a single line feed
-    alone. Where white space is not of that kind, only the cuts before a space
-    between two plain words are safe.
+    alone. Where white space is not of that kind (or the text holds characters
+    that cannot be printed), only the cuts before a space between two plain words
+    are safe.
     """
-    if not ODD_SPACE.search(text) and not IRREGULAR.search(text):
-        out: list[str] = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out.append(first)
-            out.extend([" " + word for word in rest])
-            out.append("\n")
-        out.pop()
-        return out
+    flat = text.replace("\n", " ")
+    if "  " not in flat and flat.isprintable() and flat[0] != " " != flat[-1]:
+        return text.replace(" ", f"{CUT} ").replace("\n", f"{CUT}\n{CUT}").split(CUT)
     return SAFE_CUT.split(text)
 
 
+#: Marks cuts; no printable text holds it.
+CUT = "\x01"
 #: Before a single space that has no white space on either side.
 SAFE_CUT = re.compile(r"(?<=[!-~])(?= [!-~])")
 
@@ -76,7 +69,7 @@ def encode_batch(texts: list[str | None], path: str) -> list[bytes]:
         room = KEPT - len(kept)
         for group in by_bytes(sorted(fresh, key=len), len, ENCODE_BYTES):
             for part, found in zip(group, encode(group, add_special_tokens=False)):
-                kept[part] = np.array(found.ids, dtype="<u4").tobytes()
+                kept[part] = struct.pack(f"<{len(found)}I", *found.ids)
             passing += [p for p in group if len(p) > KEPT_CHARS] if room > 0 else group
             room -= len(group)
     out = [b"".join(map(kept.__getitem__, p)) for p in parts]
