@@ -94,6 +94,9 @@ def test_rows_with_nulls_ties_and_clashing_columns(spark):
     assert sorted((r.component_id, r.doc_id) for r in got.collect() if r.doc_id) == [(1, 1), (1, 1), (1, 3), (2, 2), (2, 9), (8, 8)]
     assert {r.fingerprint for r in got.collect() if r.doc_id in (2, 9)} == {"0" * 16}
     assert sh.with_near_duplicates(df.limit(0)).count() == 0
+    kept = sh.without_near_duplicates(df)
+    assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 8]
+    assert sh.without_near_duplicates(df.limit(0)).count() == 0
 
 
 def test_query_equals_brute_force(session):

@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.simhash import shingle_hashes
 from tillroll.llm.texts import slices
-from tillroll.session import cut_lineage
 from tillroll.workload.tables import table
 
 WORDS, CONTAINMENT = 5, 0.8
@@ -196,14 +195,23 @@ def contaminated(
     return found
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the rows that hold an item; columns and other rows stay.
+def decontaminate(
+    docs: DataFrame,
+    items: DataFrame,
+    words: int = WORDS,
+    containment: float = CONTAINMENT,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """``docs`` without the rows that hold an item; other rows and all columns stay.
 
-    Rows that share an id with a contaminated row go with it, a null id apart:
-    those rows always stay.
+    Every row is judged by its own text, as in ``contaminated``.
     """
-    hit = cut_lineage(contaminated(docs, items, doc_id=doc_id, **how).select("doc_id").distinct())
-    return docs.join(hit, docs[doc_id] == hit["doc_id"], "left_anti")
+    for block in item_blocks(items, words, item_id, item_text, containment):
+        match = matcher(docs.sparkSession.sparkContext.broadcast(block), words)
+        docs = docs.where(F.size(match(F.col(f"`{text}`"))) == 0)
+    return docs
 
 
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.html_blocks import Block, Element, parse
-from tillroll.llm.texts import slices
+from tillroll.llm.texts import slices, unused
 from tillroll.session import cut_lineage
 from tillroll.workload.tables import table
 
@@ -215,10 +215,11 @@ def with_main_text(
     known = pages.select(
         host_of(F.col(f"`{url}`")).alias("host"), F.monotonically_increasing_id().alias("page"), F.col(f"`{html}`").alias("html")
     )
-    found = templates(known).withColumnRenamed("host", "__host")
+    key, fixed, linking = (unused(pages, n) for n in ("host_key", "fixed_tokens", "linking_slots"))
+    found = templates(known).toDF(key, fixed, linking)
     kept = [F.col(f"`{c}`") for c in pages.columns if c not in names]
-    joined = pages.withColumn("__key", host_of(F.col(f"`{url}`"))).join(found, F.col("__key") == F.col("__host"), "left")
-    made = joined.select(*kept, extractor()(F.col(f"`{html}`"), F.col("fixed"), F.col("linking")).alias(text))
+    joined = pages.withColumn(key, host_of(F.col(f"`{url}`"))).join(found, key, "left")
+    made = joined.select(*kept, extractor()(F.col(f"`{html}`"), F.col(fixed), F.col(linking)).alias(text))
     return made.withColumn(n_chars, F.length(F.col(f"`{text}`")).cast("long"))
 
 

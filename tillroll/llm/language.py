@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.texts import held_out, slices, tokenizer_path
+from tillroll.llm.texts import held_out, slices, tokenizer_path, unused
 from tillroll.workload.tables import table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -273,8 +273,9 @@ def with_language(
     lang, score = names
     known = docs.sparkSession.sparkContext.broadcast(model)
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    found = docs.select(*kept, predictor(known)(F.col(f"`{text}`")).alias("__found"))
-    return found.withColumns({lang: F.col("__found.lang_pred"), score: F.col("__found.score")}).drop("__found")
+    found = unused(docs, "found")
+    made = docs.withColumn(found, predictor(known)(F.col(f"`{text}`")))
+    return made.select(*kept, F.col(f"{found}.lang_pred").alias(lang), F.col(f"{found}.score").alias(score))
 
 
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:

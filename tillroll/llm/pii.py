@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.feistel import FIRST_YEAR, YEARS, Permuter, iban_rest, luhn_digit
-from tillroll.llm.texts import slices
+from tillroll.llm.texts import slices, unused
 from tillroll.workload.tables import table
 
 #: The session setting that holds the key, and the key where it is unset (tests).
@@ -200,12 +200,10 @@ def with_pseudonyms(
     other columns pass through, ``found`` replaces a column of its name. An empty
     table gives no rows.
     """
-    kept = [c for c in docs.columns if c not in (text, found)]
-    made = docs.select(
-        *[F.col(f"`{c}`") for c in kept], replacer(key, back)(F.col(f"`{text}`")).alias("__made")
-    ).withColumns({text: F.col("__made.text"), found: F.col("__made.found")})
-    order = [*[c for c in docs.columns if c != found], found]
-    return made.select(*[F.col(f"`{c}`") for c in order])
+    made = unused(docs, "made")
+    out = docs.withColumn(made, replacer(key, back)(F.col(f"`{text}`")))
+    order = [F.col(f"`{c}`") if c != text else F.col(f"{made}.text").alias(c) for c in docs.columns if c != found]
+    return out.select(*order, F.col(f"{made}.found").alias(found))
 
 
 def op1_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:

@@ -169,30 +169,60 @@ def with_near_duplicates(
     """
     print_, group = names
     kept = [c for c in docs.columns if c not in names]
-    printed = cut_lineage(
-        docs.select(F.struct(*kept).alias("row"), fingerprints(words)(F.col(f"`{text}`")).alias("fp"))
+    printed = _printed(docs, kept, text, words)
+    groups = fingerprint_groups(printed, F.col("row")[doc_id], differing)
+    return printed.join(groups, "fp").select(
+        *[F.col("row")[c].alias(c) for c in kept], hex_of(F.col("fp")).alias(print_), F.col("first").alias(group)
     )
-    return _grouped(printed, F.col("row")[doc_id], differing).select(
-        *[F.col("row")[c].alias(c) for c in kept], hex_of(F.col("fp")).alias(print_), F.col("group").alias(group)
+
+
+def without_near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, differing: int = 2
+) -> DataFrame:
+    """One row of each group (see ``with_near_duplicates``): the one with the smallest
+    id (nulls last; of repeated ids one row). Columns stay as they are."""
+    printed = _printed(docs, docs.columns, text, words)
+    own = F.col("row")[doc_id]
+    groups = fingerprint_groups(printed, own, differing).select("fp", "component")
+    # Narrow rows choose who stays; whole rows are only filtered.
+    order = F.struct(own.isNull().alias("last"), own.alias("id"), F.col("number"))
+    stays = (
+        printed.select("fp", order.alias("order"))
+        .join(groups, "fp")
+        .groupBy("component")
+        .agg(F.min("order").alias("order"))
+        .select(F.col("order.number").alias("number"))
     )
+    return printed.join(stays, "number", "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def _printed(docs: DataFrame, columns: list[str], text: str, words: int) -> DataFrame:
+    """A stored table of the rows, numbered, with their fingerprints."""
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    fp = fingerprints(words)(F.col(f"`{text}`"))
+    return cut_lineage(docs.select(row.alias("row"), F.monotonically_increasing_id().alias("number"), fp.alias("fp")))
 
 
-def _grouped(printed: DataFrame, doc_id: Column, differing: int) -> DataFrame:
-    """``printed`` (a stored table with ``fp``) with the smallest id of each row's group."""
-    classes = cut_lineage(printed.groupBy("fp").agg(F.min(doc_id).alias("first")))
+def fingerprint_groups(printed: DataFrame, doc_id: Column, differing: int) -> DataFrame:
+    """(fp, component, first) of every fingerprint of a stored table: the smallest
+    fingerprint and the smallest id of its group."""
+    classes = cut_lineage(printed.groupBy("fp").agg(F.min(doc_id).alias("own")))
     found = components(fingerprint_links(classes.select("fp"), differing), "a", "b")
     linked = cut_lineage(classes.join(found.withColumnRenamed("node", "fp"), "fp"))
-    smallest = linked.groupBy("component").agg(F.min("first").alias("group"))
-    groups = linked.join(smallest, "component").select("fp", "group")
-    of_class = classes.join(groups, "fp", "left").select("fp", F.coalesce("group", "first").alias("group"))
-    return printed.join(of_class, "fp")
+    smallest = linked.groupBy("component").agg(F.min("own").alias("first"))
+    groups = linked.select("fp", "component").join(smallest, "component")
+    alone = F.coalesce("component", "fp").alias("component")
+    first = F.when(F.col("component").isNull(), F.col("own")).otherwise(F.col("first")).alias("first")
+    return classes.join(groups, "fp", "left").select("fp", alone, first)
 
 
 def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    printed = cut_lineage(docs.select("doc_id", fingerprints(3)("text").alias("fp")))
-    return _grouped(printed, F.col("doc_id"), 2).select(
-        "doc_id", hex_of(F.col("fp")).alias("fingerprint"), F.col("group").alias("component_id")
+    # The texts are needed for the fingerprints only.
+    printed = _printed(docs, ["doc_id"], "text", 3)
+    groups = fingerprint_groups(printed, F.col("row.doc_id"), 2)
+    return printed.join(groups, "fp").select(
+        "row.doc_id", hex_of(F.col("fp")).alias("fingerprint"), F.col("first").alias("component_id")
     )
 
 

@@ -7,7 +7,7 @@ import os
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A worker handles this many bytes of text at a time.
@@ -62,6 +62,14 @@ def tokenizer(path: str):
     return out
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows no model learns from: crc32 of the id's text divides by five."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
