@@ -70,7 +70,6 @@ def test_required_table(session, tmp_path):
     readers.register_view(session.range(2).toDF("a"), "full_view")
     assert readers.read_required_table(session, "full_view").count() == 2
     assert readers.read_table(session, "full_view").count() == 2
-    assert not readers.path_exists(session, str(tmp_path / "nothing"))
 
 
 def test_files_with_drifting_columns(session, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import dedup
 from tillroll.operators.skew import DEFAULT_RULE, HotRule, hot_keys, lookup_join, split_hot
 
-EAGER = HotRule(min_rows=20, min_share=0.001)
+EAGER = HotRule(min_rows=20)
 
 
 def feed(spark, n=600, hot_share=0.4, seed=3):
@@ -35,7 +35,7 @@ def test_hot_keys_are_found_and_bounded(session):
     assert len(hot_keys(df, ["k"], EAGER)) >= 1
     assert hot_keys(df, ["k"], DEFAULT_RULE) == []
     assert hot_keys(df.limit(0), ["k"], EAGER) == []
-    assert len(hot_keys(df, ["k"], HotRule(min_rows=0, min_share=0.0, limit=3))) == 3
+    assert len(hot_keys(df, ["k"], HotRule(min_rows=0, limit=3))) == 3
     cold, hot, _ = split_hot(df, ["k"], EAGER)
     assert cold.count() + hot.count() == len(data)
     assert hot.where("k = 'hot'").count() == sum(r[0] == "hot" for r in data)

@@ -7,7 +7,7 @@ from tillroll.operators.skew import HotRule
 from tillroll.plans import predict_input as predict
 from tillroll.plans import products as treat
 
-HOT = HotRule(min_rows=1, min_share=0.0)
+HOT = HotRule(min_rows=1)
 CATALOGUE = (
     "EAN array<bigint>, PRODUCT_SOURCE_NAME array<string>, PRODUCT_DESCRIPTION string, "
     "VOLUME_TOTAL string, PACK_QUANTITY string, VOLUME_UNIT string, ID int, FRIENDLY_NAME string, "

@@ -66,6 +66,21 @@ def test_a_huge_word_costs_nothing(session):
     assert rows(got) == [("antarticaa", "antarctica")]
 
 
+def test_a_long_word_meets_a_vocabulary_of_long_words(session):
+    """Keys grow with the length of a word, not with the lengths there are."""
+    r = random.Random(5)
+    known = ["".join(r.choice("abcdefghij") for _ in range(n)) for n in range(820, 1200, 7)]
+    word = damage(r, known[26], 60)
+    got = vocab.corrections(frame(session, [word]), frame(session, known))
+    assert rows(got) == [(word, known[26])]
+
+
+def test_repeated_rows_are_repaired_alike(spark):
+    df = spark.createDataFrame([(1, "brahmaa ln"), (1, "brahmaa ln"), (1, "brahmaa lt"), (2, "brahmaa ln")], "id int, t string")
+    got = vocab.repair_typos(df, "t", frame(spark, ["brahma", "ln", "lt"]), "out")
+    assert sorted((x["id"], x["out"]) for x in got.collect()) == [(1, "brahma ln"), (1, "brahma ln"), (1, "brahma lt"), (2, "brahma ln")]
+
+
 def test_ties_go_to_the_greatest(spark):
     got = vocab.corrections(
         frame(spark, ["abcdefghijz", "brahmaa"]),
@@ -91,20 +106,20 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("rule", [None, HotRule(min_rows=0, min_share=0.0)], ids=["plain", "hot"])
+@pytest.mark.parametrize("rule", [None, HotRule(min_rows=0)], ids=["plain", "hot"])
 def test_repair_keeps_or_drops_unknown_words(spark, rule):
     df = spark.createDataFrame(TEXTS, "id int, t string")
     known = frame(spark, ["cerveja", "brahma", "skol", "refrigerante"])
     few = 0 if rule else 1000
-    kept = vocab.repair_typos(df, "id", "t", known, "out", "keep", rule, few).select("id", "out")
+    kept = vocab.repair_typos(df, "t", known, "out", "keep", rule, few).select("id", "out")
     assert rows(kept) == [
         (1, "cerveja brahma 350ml"), (2, "zzz  skol"), (3, None), (4, None),
         (5, "refrigerante 12 brahma"), (6, "skol"),
     ]
-    dropped = vocab.repair_typos(df, "id", "t", known, "out", "drop", rule, few).select("id", "out")
+    dropped = vocab.repair_typos(df, "t", known, "out", "drop", rule, few).select("id", "out")
     assert rows(dropped)[1] == (2, " skol")
     with pytest.raises(ValueError):
-        vocab.repair_typos(df, "id", "t", known, "out", "glue")
+        vocab.repair_typos(df, "t", known, "out", "glue")
 
 
 def test_repair_equals_brute_force_on_the_sample_sentences(session):
@@ -119,7 +134,7 @@ def test_repair_equals_brute_force_on_the_sample_sentences(session):
     known = {r[0] for r in vocab.vocabulary(master, "d").collect()}
     fixes = brute(" ".join(sentences).split(" "), known)
     df = session.createDataFrame(list(enumerate(sentences)), "id int, t string")
-    got = vocab.repair_typos(df, "id", "t", vocab.vocabulary(master, "d"), "out")
+    got = vocab.repair_typos(df, "t", vocab.vocabulary(master, "d"), "out")
     assert rows(got.select("id", "out")) == [
         (i, " ".join(fixes.get(w, w) for w in s.split(" "))) for i, s in enumerate(sentences)
     ]

@@ -214,8 +214,11 @@ def match_products(
     filled = fill_own_volume(products).select(*PRODUCT_COLUMNS)
     keys = _product_keys(filled, named_treated)
     found = lookup_join(keys, entries, ["key_type", "key"], "inner", rule)
-    best = found.groupBy("PRODUCT_ID").agg(
-        F.min("stage").alias("stage"), F.min_by("entry", "stage").alias("entry")
+    # Entries of one stage are ordered too: equal stages never depend on row order.
+    best = (
+        found.groupBy("PRODUCT_ID")
+        .agg(F.min(F.struct("stage", "entry")).alias("first"))
+        .select("PRODUCT_ID", "first.stage", "first.entry")
     )
 
     rows = first_per_key(filled, ["PRODUCT_ID"]).withColumn("_treated", F.lit(False))
@@ -259,7 +262,7 @@ def match_one_key(
     if by_code:
         rows = rows.where(F.col("PRODUCT_SOURCE_CODE") != 0)
     rows = rows.withColumn("key", key.cast("string"))
-    found = lookup_join(rows, best, ["key"], "inner", rule)
+    found = lookup_join(rows, best, ["key"], "inner", rule, broadcast_rows=0)
     return first_per_key(
         found.select(*PRODUCT_COLUMNS, "entry.*", F.lit(label).alias("PRODUCT_MATCH_TYPE")),
         ["PRODUCT_ID"],

@@ -54,8 +54,12 @@ def with_typed_nulls(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
 
 
 def with_row_id(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
-    """Surrogate id from the row's own key, so a rerun gives the same id."""
-    return df.withColumn(name, F.xxhash64(*[F.col(k) for k in keys]))
+    """Surrogate id from the row's own key, so a rerun gives the same id.
+
+    A NULL is part of the key: the place it stands in counts.
+    """
+    key = F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]), {"ignoreNullFields": "false"})
+    return df.withColumn(name, F.sha2(key, 256))
 
 
 def keep_original(df: DataFrame, column: str, suffix: str = "_ORIGINAL") -> DataFrame:

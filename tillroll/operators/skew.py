@@ -20,17 +20,16 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class HotRule:
-    """A key is hot above ``min_rows`` rows and ``min_share`` of all rows.
+    """A key is hot above ``min_rows`` rows, whatever the size of the feed.
 
-    ``tracked`` bounds the sketch and ``limit`` the list, so the list can be
-    sent to the driver and back whatever the size of the feed. A sketch of 10,000 items is off by
-    at most 0.03 % of the rows, which is below ``min_share``.
+    ``tracked`` bounds the sketch and ``limit`` the list of numbers that goes to
+    the driver and back. The list holds the most frequent keys, so a key that
+    misses it has less than ``1 / limit`` of the rows.
     """
 
     min_rows: int = 1_000_000
-    min_share: float = 0.001
-    tracked: int = 10_000
-    limit: int = 2_000
+    tracked: int = 100_000
+    limit: int = 20_000
     slots: int = 64
 
 
@@ -57,24 +56,18 @@ def hot_keys(df: DataFrame, keys: list[str], rule: HotRule = DEFAULT_RULE) -> li
         )
         .groupBy("_slot")
         .agg(
-            F.expr(f"approx_top_k_accumulate(_hash, {rule.tracked})").alias("_sketch"),
-            F.count(F.lit(1)).alias("_rows"),
+            F.expr(f"approx_top_k_accumulate(_hash, {rule.tracked})").alias("_sketch")
         )
     )
     # Grouped by a constant: an empty feed then gives no row, not a null sketch.
     merged = per_slot.groupBy(F.lit("all").alias("_all")).agg(
-        F.expr(f"approx_top_k_combine(_sketch, {rule.tracked})").alias("_sketch"),
-        F.sum("_rows").alias("_rows"),
+        F.expr(f"approx_top_k_combine(_sketch, {rule.tracked})").alias("_sketch")
     )
     hot = (
         merged.select(
-            F.explode(F.expr(f"approx_top_k_estimate(_sketch, {rule.limit})")).alias("_top"),
-            "_rows",
-        )
-        .where(
-            (F.col("_top.count") > F.lit(rule.min_rows))
-            & (F.col("_top.count") > F.col("_rows") * F.lit(rule.min_share))
+            F.explode(F.expr(f"approx_top_k_estimate(_sketch, {rule.limit})")).alias("_top")
         )
+        .where(F.col("_top.count") > F.lit(rule.min_rows))
         .select(F.col("_top.item").alias("_hot"))
     )
     return [row[0] for row in hot.collect()]
@@ -106,7 +99,7 @@ def same_key(keys: list[str], suffix: str) -> Column:
 
 
 def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows: a count, cheap on a stored table."""
+    """Whether the stored table ``df`` has at most ``rows`` rows."""
     return df.count() <= rows
 
 
@@ -121,9 +114,11 @@ def lookup_join(
     """Join ``df`` to ``lookup``, which has at most one row per key.
 
     A lookup that is counted and found small is broadcast, and ``df`` is not
-    shuffled at all. Beyond that, rows of hot keys meet a broadcast of the few
-    lookup rows they can match, and all others take an ordinary join.
-    ``rule=None`` is for keys known to be unique in ``df`` as well.
+    shuffled at all; give ``broadcast_rows=0`` for one that is not a stored table,
+    as counting would compute it twice. Beyond that, rows of hot keys meet a
+    broadcast of the few lookup rows they can match, and all others take an
+    ordinary join. ``rule=None`` is for keys known to be unique in ``df`` as well,
+    or leaves skew to the engine.
     """
     if broadcast_rows and fits(lookup, broadcast_rows):
         return df.join(F.broadcast(lookup), keys, how)

@@ -91,94 +91,95 @@ def _no_keys() -> Column:
     return F.array().cast("array<struct<key:string,removed:int>>")
 
 
-def _piece(length: Column, piece: Column, d: Column) -> tuple[Column, Column]:
-    """Zero-based start and size of one of ``d + 1`` even pieces."""
-    start = F.floor(length * piece / (d + 1)).cast("int")
-    end = F.floor(length * (piece + 1) / (d + 1)).cast("int")
-    return start, end - start
+def _pieces(word: Column, as_candidate: bool) -> Column:
+    """Keys of a long word: a short piece of the candidate that both words hold.
+
+    The candidate is cut into pieces of ``size`` letters from its start. A pair
+    within the cutoff loses at most ``d``, a tenth of the joint length, and that is
+    below 2/9 of the candidate's length, so it touches fewer pieces than there are
+    (sizes follow from that). One piece is in the word unchanged, shifted by at most
+    ``d``: in the same stretch of letters or a neighbouring one, if a stretch is
+    longer than any ``d``. Sizes and stretches depend on the candidate's length
+    class, a power of two; a word has at most three classes of partners. The keys of
+    a word are in proportion to its length, whatever the vocabulary holds.
+    """
+    n = F.length(word)
 
+    def of_class(k: Column) -> Column:
+        size = F.when(k >= 5, 4).otherwise(3)
+        # Twice a class's shortest length is above its longest, so this is above 2/9 of it.
+        stretch = F.pow(F.lit(2.0), k - 1)
+        last = F.greatest(n - size, F.lit(0))
+        at = F.sequence(F.lit(0), last, size if as_candidate else F.lit(1))
 
-def _piece_keys(word: Column, lengths: list[int] | None) -> Column:
-    """Keys of a long word: a piece of the candidate both words must share.
+        def keys(i: Column) -> Column:
+            home = F.floor(i / stretch).cast("int")
+            homes = F.array(home) if as_candidate else F.array(home - 1, home, home + 1)
+            text = F.substring(word, i + 1, size)
+            mark = k.cast("string")
+            return F.transform(homes, lambda h: F.concat_ws(":", mark, h.cast("string"), text))
 
-    At most ``d`` removals touch at most ``d`` of ``d + 1`` pieces of the
-    candidate, so one piece is in the word unchanged, shifted by at most ``d``.
-    A key names both lengths and the piece, so pieces of other pairs never meet.
-    ``lengths`` are those of the vocabulary, given for a word; without them the
-    word is itself a candidate. A very long word no candidate is near gives no key.
-    """
-    is_candidate = lengths is None
-    n = F.length(word)
-    # 0.9 <= 2 min / (n + m)
-    least, most = F.ceil(n * 9 / 11).cast("int"), F.floor(n * 11 / 9).cast("int")
-    if is_candidate:
-        partners = F.sequence(least, most)
+        return F.flatten(F.transform(at, keys))
+
+    def length_class(length: Column) -> Column:
+        return F.floor(F.log2(length)).cast("int")
+
+    if as_candidate:
+        texts = of_class(length_class(n))
     else:
-        known = F.array(*[F.lit(m) for m in lengths]).cast("array<int>")
-        partners = F.filter(known, lambda m: m.between(least, most))
-
-    def of_partner(m: Column) -> Column:
-        d = _allowed(n + m)
-        length_c, length_w = (n, m) if is_candidate else (m, n)
-
-        def of_piece(piece: Column) -> Column:
-            start, size = _piece(length_c, piece, d)
-            if is_candidate:
-                texts = F.array(F.substring(word, start + 1, size))
-            else:
-                first, last = F.greatest(start - d, F.lit(0)), F.least(start + d, n - size)
-                texts = F.when(
-                    first <= last,
-                    F.array_distinct(
-                        F.transform(
-                            F.sequence(first, last), lambda i: F.substring(word, i + 1, size)
-                        )
-                    ),
-                ).otherwise(F.array().cast("array<string>"))
-            return _keyed(texts, F.concat_ws(":", length_c, length_w, piece, F.lit("")), 0)
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), d), of_piece))
-
-    long_partners = F.filter(partners, lambda m: n + m >= LONG_PAIR)
-    return F.when(
-        n >= SHORTEST_LONG_WORD, F.flatten(F.transform(long_partners, of_partner))
-    ).otherwise(_no_keys())
+        # 0.9 <= 2 min / (n + m)
+        classes = F.sequence(length_class(F.ceil(n * 9 / 11)), length_class(F.floor(n * 11 / 9)))
+        texts = F.array_distinct(F.flatten(F.transform(classes, of_class)))
+    return F.when(n >= SHORTEST_LONG_WORD, _keyed(texts, F.lit("#"), 0)).otherwise(_no_keys())
 
 
-def _keys(df: DataFrame, out: str, lengths: list[int] | None = None) -> DataFrame:
+def _keys(df: DataFrame, out: str, as_candidate: bool) -> DataFrame:
     """``(out, key, removed)``: one row per key of each word."""
     # Exploded straight from the expression: as a named column it would be
     # computed a second time by the non-empty test put in front of an explode.
     named = df.select(F.col("word").alias(out))
     text = F.col(out)
-    keys = F.concat(_removal_keys(text), _piece_keys(text, lengths))
+    keys = F.concat(_removal_keys(text), _pieces(text, as_candidate))
     return named.select(out, F.explode(keys).alias("k")).select(
         out, "k.key", F.col("k.removed").alias(f"removed_{out}")
     )
 
 
+def _letters_in_common(a: Column, b: Column) -> Column:
+    """How many letters the two words share, each as often as both hold it."""
+
+    def count(word: Column, letter: Column) -> Column:
+        return F.length(word) - F.length(F.replace(word, letter, F.lit("")))
+
+    return F.aggregate(
+        F.array_distinct(F.split(a, "")),
+        F.lit(0),
+        lambda total, x: total + F.when(x == "", 0).otherwise(F.least(count(a, x), count(b, x))),
+    )
+
+
 def candidate_pairs(words: DataFrame, vocab: DataFrame) -> DataFrame:
     """Distinct pairs that can reach the cutoff; no pair that does is missing.
 
-    The keys of a vocabulary of usual size are broadcast after counting them,
-    so the many keys of the words are not shuffled.
+    A pair goes on only if the letters it has in common would be enough. The keys
+    of a vocabulary of usual size are broadcast after counting them, so the many
+    keys of the words are not shuffled.
     """
-    # One number per distinct word length of the vocabulary.
-    long_words = vocab.select(F.length("word").alias("n")).where(F.col("n") >= SHORTEST_LONG_WORD)
-    lengths = sorted(row["n"] for row in long_words.distinct().collect())
-    right = _keys(vocab, "candidate")
+    right = _keys(vocab, "candidate", True)
     if right.count() <= MOST_BROADCAST_KEYS:
         right = F.broadcast(right)
     joint = F.length("word") + F.length("candidate")
     removed = F.col("removed_word") + F.col("removed_candidate")
+    least = F.least(F.length("word"), F.length("candidate"))
+    short = (joint >= SHORTEST_PAIR) & (removed <= _allowed(joint))
+    near = 20 * least >= 9 * joint
     return (
-        _keys(words, "word", lengths)
+        _keys(words, "word", False)
         .join(right, "key")
-        .where(
-            (joint >= LONG_PAIR) | ((joint >= SHORTEST_PAIR) & (removed <= _allowed(joint)))
-        )
+        .where(near & ((joint >= LONG_PAIR) | short))
         .select("word", "candidate")
         .distinct()
+        .where(20 * _letters_in_common(F.col("word"), F.col("candidate")) >= 9 * joint)
     )
 
 
@@ -224,7 +225,6 @@ def corrections(
 
 def repair_typos(
     df: DataFrame,
-    key: str,
     text: str,
     vocab: DataFrame,
     out: str,
@@ -234,14 +234,17 @@ def repair_typos(
 ) -> DataFrame:
     """``text`` with its misspelt words repaired, as column ``out``.
 
-    ``key`` is unique. Only words that can change travel: the repairs of a row
-    come back as one small map. ``unmatched="drop"`` also removes unknown words
-    that have no close match.
+    Distinct texts are repaired and come back by text, so repeated rows, of one id
+    or of many, are repaired once and alike. Only words that can change travel: the
+    repairs of a text come back as one small map. ``unmatched="drop"`` also removes
+    unknown words that have no close match.
     """
     if unmatched not in ("keep", "drop"):
         raise ValueError("unmatched is 'keep' or 'drop'")
-    word = F.explode(F.array_distinct(F.split(F.col(text), " "))).alias("word")
-    tokens = df.select(F.col(key), word)
+    rows = cut_lineage(df)
+    texts = rows.select(F.col(text).alias("_text")).where("_text <> ''").distinct()
+    word = F.explode(F.array_distinct(F.split("_text", " "))).alias("word")
+    tokens = cut_lineage(texts.select("_text", word))
     found = corrections(tokens, vocab)
     if unmatched == "drop":
         # Every checked word that is unknown gets an entry, NULL when unmatched.
@@ -255,12 +258,12 @@ def repair_typos(
         found = unknown.join(found, "word", "left")
     found = cut_lineage(found)
     hits = lookup_join(tokens, found, ["word"], "inner", rule, broadcast_rows)
-    per_row = hits.groupBy(key).agg(
+    per_text = hits.groupBy("_text").agg(
         F.map_from_entries(F.collect_list(F.struct("word", F.col("repaired")))).alias("_repairs")
     )
 
     def mended(repairs: Column) -> Column:
-        parts = F.split(F.col(text), " ")
+        parts = F.split("_text", " ")
         if unmatched == "drop":
             parts = F.filter(
                 parts,
@@ -271,15 +274,10 @@ def repair_typos(
             F.transform(parts, lambda w: F.coalesce(F.try_element_at(repairs, w), w)), " "
         )
 
-    source = F.col(text)
-    return (
-        df.join(per_row, key, "left")
-        .withColumn(
-            out,
-            F.when(
-                source != "",
-                F.when(F.col("_repairs").isNull(), source).otherwise(mended(F.col("_repairs"))),
-            ),
-        )
-        .drop("_repairs")
+    repaired = cut_lineage(per_text.select("_text", mended(F.col("_repairs")).alias("_repaired")))
+    joined = lookup_join(
+        rows.withColumn("_text", F.col(text)), repaired, ["_text"], "left", rule, broadcast_rows
     )
+    source = F.col(text)
+    mend = F.when(source != "", F.coalesce("_repaired", source))
+    return joined.withColumn(out, mend).drop("_text", "_repaired")

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.parse import (
@@ -16,15 +16,12 @@ from tillroll.functions.parse import (
     nan_text_to_null,
 )
 from tillroll.operators import filters as keep
-from tillroll.operators.dedup import first_per_key, newest_per_key
+from tillroll.operators.dedup import first_per_key, newest_per_key, total_order
 from tillroll.operators.shape import INGESTION_PARTITION, drop_columns, upper_names
-from tillroll.operators.skew import DEFAULT_RULE, HotRule, fits
+from tillroll.operators.skew import DEFAULT_RULE, HotRule
 
 INGESTION = "INGESTION_DATE"
 
-# Longest list of changed dates that is broadcast.
-MOST_TOUCHED = 100_000
-
 
 @dataclass(frozen=True)
 class GoldSpec:
@@ -34,8 +31,7 @@ class GoldSpec:
     ``prepare`` cleans it. ``first_load_one_row`` keeps one row per key on the
     silver side instead of all rows of the newest ingestion. The rows kept in
     gold are those of the newest ingestion per key, without equal rows.
-    ``touched_by`` is a key column with few values in one run, a date: gold rows
-    of other dates cannot change and skip the merge.
+    ``touched_by`` is a key column with few values in one run, a date.
     """
 
     keys: tuple[str, ...]
@@ -67,47 +63,59 @@ def build_gold(
     asof: dt.date,
     gold: DataFrame | None = None,
     rule: HotRule | None = DEFAULT_RULE,
+    gold_is_clean: bool = False,
 ) -> DataFrame:
     """First load without ``gold``; else silver merged into it.
 
+    The newest version of each key is taken over all gold and fresh rows, and
+    equal rows collapse. ``gold_is_clean`` is the caller's statement that gold
+    is an earlier result of this function: its rows of dates the snapshot does
+    not have then skip the merge (where the spec names the date). On gold of any
+    other origin that would keep stale and repeated rows.
+
     The result replaces the gold table: running again on it changes nothing.
     """
     keys = list(spec.keys)
-    snapshot = fresh = read_silver(silver, spec, asof, full_load=gold is None)
-    if spec.first_load_one_row:
-        fresh = first_per_key(snapshot, keys, [F.col(INGESTION).desc_nulls_last()])
-        if gold is None:
-            return fresh
+    fresh = read_silver(silver, spec, asof, full_load=gold is None)
     if gold is None:
+        if spec.first_load_one_row:
+            return first_per_key(fresh, keys, [F.col(INGESTION).desc_nulls_last()])
         return newest_per_key(fresh, keys, INGESTION, distinct=True, rule=rule)
-    # The column is part of the key, so the snapshot has the values fresh has.
-    touched, untouched = _split_gold(gold, snapshot, spec)
-    merged = newest_per_key(
-        touched.unionByName(fresh), keys, INGESTION, distinct=True, rule=rule
-    )
-    return merged if untouched is None else untouched.unionByName(merged)
+    if not gold_is_clean or spec.touched_by is None:
+        return _merged(gold, fresh, spec, rule)
+    values = fresh.select(F.col(spec.touched_by).alias("_touched")).distinct()
+    same = F.col(spec.touched_by).eqNullSafe(F.col("_touched"))
+    touched = gold.join(values, same, "left_semi")
+    untouched = gold.where(F.col(INGESTION).isNotNull()).join(values, same, "left_anti")
+    return untouched.unionByName(_merged(touched, fresh, spec, rule))
 
 
-def _split_gold(
-    gold: DataFrame, snapshot: DataFrame, spec: GoldSpec
-) -> tuple[DataFrame, DataFrame | None]:
-    """Gold rows this run can change, and the rest, which is not shuffled.
+def _merged(
+    gold: DataFrame, fresh: DataFrame, spec: GoldSpec, rule: HotRule | None
+) -> DataFrame:
+    """The newest version of each key over both sides, equal rows once.
 
-    The rest is already the newest version of its keys, as gold only holds what
-    ``build_gold`` made; rows without an ingestion date leave it here as they
-    would in the merge. A list of values too long to broadcast means no split.
+    Where the fresh side counts with one row per key, that row is chosen among
+    its rows of the newest ingestion: the windows and the dedup then share the one
+    partitioning by key, and ranks are cut per task before the shuffle.
     """
-    if spec.touched_by is None:
-        return gold, None
-    values = snapshot.select(F.col(spec.touched_by).alias("_touched")).distinct()
-    if not fits(values, MOST_TOUCHED):
-        return gold, None
-    same = F.col(spec.touched_by).eqNullSafe(F.col("_touched"))
-    touched = gold.join(F.broadcast(values), same, "left_semi")
-    untouched = gold.where(F.col(INGESTION).isNotNull()).join(
-        F.broadcast(values), same, "left_anti"
+    keys = list(spec.keys)
+    if not spec.first_load_one_row:
+        return newest_per_key(
+            gold.unionByName(fresh), keys, INGESTION, distinct=True, rule=rule
+        )
+    order = total_order(fresh, [], keys)
+    both = gold.withColumn("_fresh", F.lit(False)).unionByName(
+        fresh.withColumn("_fresh", F.lit(True))
+    )
+    newest = newest_per_key(both, keys, INGESTION, rule=None)
+    one = Window.partitionBy(*keys, "_fresh").orderBy(*order)
+    return (
+        newest.withColumn("_n", F.row_number().over(one))
+        .where("not _fresh or _n = 1")
+        .drop("_fresh", "_n")
+        .dropDuplicates()
     )
-    return touched, untouched
 
 
 def last_days(days: int) -> Callable[[DataFrame, dt.date], DataFrame]:
@@ -134,11 +142,16 @@ def _decimal_measures(df: DataFrame) -> DataFrame:
     )
 
 
-# The four gold tables. Keys and look-backs are fixed values. -----------------
+# The four gold tables. Keys, look-backs and columns are fixed values. ---------
+VIRTUAL_SALE_COLUMNS = (
+    "data", "cnpj", "desc", "secao", "descproduto", "codigobarras", "quantidadevenda",
+    "valorvenda", "vendavirtual", "quantidadeestoque", "tipo",
+)
 VIRTUAL_SALE_GOLD = GoldSpec(
     keys=("CNPJ", "CODIGOBARRAS", "DESCPRODUTO", "DATA"),
     look_back=last_days(7),
     first_load_one_row=True,
+    select=VIRTUAL_SALE_COLUMNS,
     touched_by="DATA",
 )
 OWN_COMPANY_GOLD = GoldSpec(

@@ -47,6 +47,6 @@ def predict_input(
     rows = unmatched_products(treated, matched)
     words = vocabulary(prepare_master(master_treated), DESCRIPTION)
     repaired = repair_typos(
-        rows, "product_id", "product_treated", words, DESCRIPTION, unmatched, rule
+        rows, "product_treated", words, DESCRIPTION, unmatched, rule
     )
     return with_feature_text(repaired).drop("brand_id")

@@ -12,6 +12,7 @@ from tillroll.functions import text as t
 from tillroll.operators.filters import complete_rows, differs
 from tillroll.operators.shape import keep_original, with_row_id
 from tillroll.operators.skew import lookup_join
+from tillroll.session import cut_lineage
 
 # Fixed values -------------------------------------------------------------
 TREATED_COLUMNS = {
@@ -88,7 +89,7 @@ def add_volume_mark(
         return df.withColumn(column, t.mark_volume(column, test))
     tokens = df.select(key, F.explode(t.words(column)).alias("_volume"))
     hits = (
-        lookup_join(tokens, volumes, ["_volume"], "inner")
+        lookup_join(tokens, volumes, ["_volume"], "inner", broadcast_rows=0)
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_hits"), F.min("_volume").alias("_hit"))
         .where("_hits = 1")
@@ -103,12 +104,24 @@ def add_volume_mark(
     )
 
 
-def treat_products(products: DataFrame, master_treated: DataFrame) -> DataFrame:
-    """Select, id, unique words, description treatment, volume mark."""
-    rows = select_products(products)
-    rows = with_row_id(rows, "id", [c for c in rows.columns])
-    rows = rows.withColumn("product_treated", F.col("product_aggregated")).fillna("")
-    treated = t.description_treatment(t.unique_words("product_treated"))
-    return add_volume_mark(
-        rows.withColumn("product_treated", treated), "id", "product_treated", master_treated
+def treat_products(
+    products: DataFrame, master_treated: DataFrame, use_brand: bool = False
+) -> DataFrame:
+    """Select, id, unique words, description treatment, volume mark.
+
+    Names repeat across stores, so each distinct one is treated once and comes
+    back by name.
+    """
+    rows = select_products(products, use_brand)
+    rows = cut_lineage(with_row_id(rows, "id", rows.columns).fillna(""))
+    names = rows.select("product_aggregated").distinct()
+    treated = t.description_treatment(t.unique_words("product_aggregated"))
+    done = add_volume_mark(
+        names.withColumn("product_treated", treated),
+        "product_aggregated",
+        "product_treated",
+        master_treated,
+    )
+    return lookup_join(rows, cut_lineage(done), ["product_aggregated"], "inner").select(
+        *rows.columns, "product_treated"
     )

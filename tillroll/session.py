@@ -25,6 +25,8 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cores)
+        # The given files have one split each.
+        .config("spark.tillroll.spread.scans", cores)
         # Small inputs of costly text work keep one task per core.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -69,23 +68,3 @@ def inline_rows(spark: SparkSession, rows: list, columns: list[str] | T.StructTy
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
-
-
-def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    try:
-        spark.read.format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Use all cores for costly text work on few splits.
-
-    Only for a plain scan. A large table has far more splits than cores and is
-    left alone, so no shuffle is added where it would cost something.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df

@@ -9,9 +9,8 @@ from pyspark.sql import types as T
 
 from tillroll.functions import parse as p
 from tillroll.operators import audit, dedup, filters, shape
-from tillroll.sources.readers import spread_small_scan
 from tillroll.workload.feeds import comma_text, text
-from tillroll.workload.tables import big, comma, dec, table
+from tillroll.workload.tables import big, comma, dec, spread, table
 
 
 def scan_preview(spark, folder):
@@ -59,7 +58,7 @@ def audit_range_by_store(spark, folder):
 
 
 def audit_control_totals(spark, folder):
-    rows = spread_small_scan(table(spark, folder, "lineitem")).select(
+    rows = spread(table(spark, folder, "lineitem")).select(
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("DATA"),
         comma_text("l_quantity").alias("QTD"),
         comma_text("l_extendedprice").alias("VALOR"),
@@ -73,7 +72,7 @@ def audit_control_totals(spark, folder):
 
 def audit_store_totals(spark, folder):
     """Totals per store of coded lines; text goes to a number in two steps."""
-    rows = spread_small_scan(table(spark, folder, "lineitem")).select(
+    rows = spread(table(spark, folder, "lineitem")).select(
         text("l_suppkey").alias("CNPJ"),
         F.when(F.col("l_linenumber") == 7, "0").otherwise(text("l_partkey")).alias("CODIGO"),
         comma_text("l_extendedprice").alias("VALOR"),
@@ -203,7 +202,7 @@ def _snapshots(spark, folder):
             "o_custkey": F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")),
         }
     )
-    return orders, later
+    return orders.where("o_orderpriority <> '3-MEDIUM'"), later
 
 
 _LATER = """
@@ -231,7 +230,9 @@ def filter_predicates(spark, folder):
     rows = filters.between_days(rows, "day", dt.date(1996, 1, 1), dt.date(1999, 12, 31))
     rows = rows.where(filters.like_upper("o_orderpriority", "%SPECIFIED%"))
     rows = filters.differs(rows, "o_orderstatus", "P")
-    return filters.complete_rows(rows, ("o_custkey",))
+    rows = rows.withColumn("note", F.nullif(F.col("o_orderstatus"), F.lit("F")))
+    rows = rows.withColumn("may_miss", F.nullif(F.col("o_orderkey") % 3, F.lit(0)))
+    return filters.complete_rows(rows, ("o_custkey", "may_miss"))
 
 
 def null_cause(spark, folder):
@@ -256,9 +257,16 @@ def column_shaping(spark, folder):
     rows = shape.with_day_parts(rows, "data_venda")
     rows = shape.all_except(rows, ["O_TOTALPRICE"])
     rows = shape.upper_names(rows)
-    ids = shape.with_row_id(rows, "ROW_ID", ["O_ORDERKEY"])
-    # The id itself is engine-specific; its being unique is what counts.
-    return ids.withColumn("IDS_OF_KEY", F.size(F.array_distinct(F.array("ROW_ID")))).drop("ROW_ID")
+    return rows
+
+
+def row_ids(spark, folder):
+    """Ids of rows that differ only in where a NULL stands: as many as there are rows."""
+    orders = table(spark, folder, "orders")
+    key, none = F.col("o_orderkey").cast("string"), F.lit(None).cast("string")
+    sides = [orders.select(key.alias("a"), none.alias("b")), orders.select(none.alias("a"), key.alias("b"))]
+    ids = shape.with_row_id(sides[0].unionByName(sides[1]), "id", ["a", "b"])
+    return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
 
 
 QUERIES = {
@@ -413,16 +421,19 @@ QUERIES = {
         f"""
         with b as ({_LATER}),
         pair as (
-          select a.o_orderkey, b.o_orderkey is null as gone,
+          select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey,
+                 case when b.o_orderkey is null then 'left' when a.o_orderkey is null then 'right'
+                      else 'both' end as found_in,
                  a.o_orderstatus as s1, b.o_orderstatus as s2,
                  cast(a.o_custkey as varchar) as c1, cast(b.o_custkey as varchar) as c2
-          from orders a left join b on a.o_orderkey = b.o_orderkey),
+          from (select * from orders where o_orderpriority <> '3-MEDIUM') a
+          full join b on a.o_orderkey = b.o_orderkey),
         cells as (
-          select o_orderkey, gone, 'o_orderstatus' as column_name, s1 as left_value,
+          select o_orderkey, found_in, 'o_orderstatus' as column_name, s1 as left_value,
                  s2 as right_value from pair
           union all
-          select o_orderkey, gone, 'o_custkey', c1, c2 from pair)
-        select o_orderkey, case when gone then 'left' else 'both' end as found_in,
+          select o_orderkey, found_in, 'o_custkey', c1, c2 from pair)
+        select o_orderkey, found_in,
                column_name, left_value, right_value
         from cells where left_value is distinct from right_value
         """,
@@ -434,13 +445,16 @@ QUERIES = {
                a.o_orderstatus is not distinct from b.o_orderstatus as o_orderstatus_equal,
                a.o_custkey is not distinct from b.o_custkey as o_custkey_equal
         from orders a join ({_LATER}) b on a.o_orderkey = b.o_orderkey
+        where a.o_orderpriority <> '3-MEDIUM'
         """,
     ),
     "filter_predicates": (
         filter_predicates,
         """
-        select *, cast(o_orderdate as date) as day from orders
-        where year(o_orderdate) <= 2000
+        select *, cast(o_orderdate as date) as day, o_orderstatus as note,
+               nullif(o_orderkey % 3, 0) as may_miss
+        from orders
+        where o_orderstatus <> 'F' and year(o_orderdate) <= 2000
           and cast(o_orderdate as date) between date '1996-01-01' and date '1999-12-31'
           and upper(o_orderpriority) like '%SPECIFIED%' and o_orderstatus <> 'P'
         """,
@@ -460,9 +474,9 @@ QUERIES = {
         select o_orderkey as O_ORDERKEY, o_custkey as O_CUSTKEY, o_orderstatus as O_ORDERSTATUS,
                o_orderdate as DATA_VENDA, o_orderstatus as O_ORDERSTATUS_ORIGINAL,
                'OWN' as COMPANY, 0 as CHECKOUT, year(o_orderdate) as ANO_PARTITION,
-               month(o_orderdate) as MES_PARTITION, day(o_orderdate) as DIA_PARTITION,
-               1 as IDS_OF_KEY
+               month(o_orderdate) as MES_PARTITION, day(o_orderdate) as DIA_PARTITION
         from orders
         """,
     ),
+    "row_ids": (row_ids, "select 2 * count(*) as n_rows, 2 * count(*) as n_ids from orders"),
 }

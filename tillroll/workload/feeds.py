@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.sources.readers import spread_small_scan
-from tillroll.workload.tables import comma, table
+from tillroll.workload.tables import comma, spread, table
 
 CODE_BASE = 7_890_000_000_000
 
@@ -28,7 +27,7 @@ def code_text(c: str) -> Column:
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        spread_small_scan(table(spark, folder, "lineitem"))
+        spread(table(spark, folder, "lineitem"))
         .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
@@ -80,7 +79,7 @@ VIRTUAL_SALE_SQL = f"""
 
 
 def pack_unit_feed(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spread_small_scan(table(spark, folder, "lineitem")).join(
+    lines = spread(table(spark, folder, "lineitem")).join(
         table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     return lines.select(
@@ -113,7 +112,7 @@ PACK_UNIT_SQL = f"""
 
 def banner_feed(spark: SparkSession, folder: str) -> DataFrame:
     rows = (
-        spread_small_scan(table(spark, folder, "orders"))
+        spread(table(spark, folder, "orders"))
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -10,11 +11,12 @@ from tillroll.functions import parse as p
 from tillroll.operators import audit, dedup, filters, shape
 from tillroll.plans import incremental as plan
 from tillroll.session import cut_lineage
-from tillroll.sources.readers import spread_small_scan
 from tillroll.workload import feeds
 from tillroll.workload.feeds import CODE_BASE, comma_text, text, with_ingestion
-from tillroll.workload.tables import comma, day, dec, table
+from tillroll.workload.tables import comma, day, dec, spread, table
 
+# The small feed below has not all the columns the gold table selects.
+SALE_GOLD = dataclasses.replace(plan.VIRTUAL_SALE_GOLD, select=None)
 GOLD_CUT = dt.date(2000, 6, 1)
 ASOF = dt.date(2001, 8, 1)
 
@@ -26,7 +28,7 @@ def _stored(silver, spec, asof):
 
 # Virtual-sale feed: few products and months, so keys come back often. --------
 def _sale_silver(spark, folder):
-    lines = spread_small_scan(table(spark, folder, "lineitem")).join(
+    lines = spread(table(spark, folder, "lineitem")).join(
         table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     rows = lines.select(
@@ -66,15 +68,62 @@ def _newest(keys: str) -> str:
 
 
 def gold_first_load(spark, folder):
-    return plan.build_gold(_sale_silver(spark, folder), plan.VIRTUAL_SALE_GOLD, ASOF)
+    return plan.build_gold(_sale_silver(spark, folder), SALE_GOLD, ASOF)
 
 
 def gold_incremental_latest(spark, folder):
     """A first load up to a cut, then a later run over the last days."""
     silver = _sale_silver(spark, folder)
     early = silver.where(p.ingestion_day() < F.lit(GOLD_CUT))
-    gold = _stored(early, plan.VIRTUAL_SALE_GOLD, GOLD_CUT)
-    return plan.build_gold(silver, plan.VIRTUAL_SALE_GOLD, ASOF, gold)
+    gold = _stored(early, SALE_GOLD, GOLD_CUT)
+    return plan.build_gold(silver, SALE_GOLD, ASOF, gold, gold_is_clean=True)
+
+
+def gold_unclean_history(spark, folder):
+    """Gold loaded by appending history, twice: stale and repeated rows of all dates.
+
+    The silver side has a column the gold table does not select.
+    """
+    lines = table(spark, folder, "lineitem").join(
+        table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    rows = lines.select(
+        F.date_format(F.trunc("l_shipdate", "month"), "yyyy-MM-dd").alias("data"),
+        text("l_linenumber").alias("cnpj"),
+        F.col("l_linestatus").alias("desc"),
+        F.col("o_orderpriority").alias("secao"),
+        F.col("l_returnflag").alias("descproduto"),
+        feeds.code_text("l_linenumber").alias("codigobarras"),
+        comma_text("l_quantity").alias("quantidadevenda"),
+        comma_text("l_extendedprice").alias("valorvenda"),
+        F.lit("nao").alias("vendavirtual"),
+        comma_text("l_tax").alias("quantidadeestoque"),
+        F.col("o_orderstatus").alias("tipo"),
+        text("l_partkey").alias("not_selected"),
+        "o_orderdate",
+    )
+    silver = with_ingestion(rows, F.col("o_orderdate")).drop("o_orderdate")
+    spec = plan.VIRTUAL_SALE_GOLD
+    early = silver.where(p.ingestion_day() < F.lit(GOLD_CUT))
+    history = plan.read_silver(early, spec, GOLD_CUT, full_load=True)
+    gold = cut_lineage(history.unionByName(history))
+    return plan.build_gold(silver, spec, ASOF, gold)
+
+
+_WIDE_SILVER = f"""
+  select strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') as "DATA",
+         cast(l_linenumber as varchar) as CNPJ, l_linestatus as "DESC", o_orderpriority as SECAO,
+         l_returnflag as DESCPRODUTO, cast({CODE_BASE} + l_linenumber as varchar) as CODIGOBARRAS,
+         {comma('l_quantity')} as QUANTIDADEVENDA, {comma('l_extendedprice')} as VALORVENDA,
+         'nao' as VENDAVIRTUAL, {comma('l_tax')} as QUANTIDADEESTOQUE, o_orderstatus as TIPO,
+         cast(o_orderdate as date) as INGESTION_DATE
+  from lineitem join orders on l_orderkey = o_orderkey
+"""
+_WIDE_FIRST = (
+    f"qualify row_number() over (partition by {_SALE_KEYS} order by INGESTION_DATE desc nulls last, "
+    '"DESC" nulls first, SECAO nulls first, QUANTIDADEVENDA nulls first, VALORVENDA nulls first, '
+    "VENDAVIRTUAL nulls first, QUANTIDADEESTOQUE nulls first, TIPO nulls first) = 1"
+)
 
 
 # Banner feed -----------------------------------------------------------------
@@ -118,7 +167,7 @@ def gold_banner_incremental(spark, folder):
     silver = _banner_silver(spark, folder)
     early = silver.where(p.ingestion_day() < F.lit(GOLD_CUT))
     gold = _stored(early, plan.BANNER_GOLD, GOLD_CUT)
-    return plan.build_gold(silver, plan.BANNER_GOLD, ASOF, gold)
+    return plan.build_gold(silver, plan.BANNER_GOLD, ASOF, gold, gold_is_clean=True)
 
 
 # Pack-unit feed: the last four snapshots of events. ----------------------------
@@ -268,6 +317,18 @@ QUERIES = {
         select distinct * from newest
         """,
     ),
+    "gold_unclean_history": (
+        gold_unclean_history,
+        f"""
+        with silver as ({_WIDE_SILVER}),
+        history as (select * from silver where INGESTION_DATE < date '2000-06-01'),
+        fresh as (select * from silver where INGESTION_DATE >= date '2001-07-25' {_WIDE_FIRST}),
+        merged as (select * from history union all by name select * from history
+                   union all by name select * from fresh),
+        newest as (select * from merged {_newest(_SALE_KEYS)})
+        select distinct * from newest
+        """,
+    ),
     "gold_banner_load": (
         gold_banner_load,
         f"""

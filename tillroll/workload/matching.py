@@ -11,9 +11,8 @@ from tillroll.operators.match import INTERNAL_PRODUCT
 from tillroll.plans import predict_input as predict
 from tillroll.plans import products as treat
 from tillroll.session import cut_lineage
-from tillroll.sources.readers import spread_small_scan
 from tillroll.workload.feeds import CODE_BASE
-from tillroll.workload.tables import table
+from tillroll.workload.tables import spread, table
 from tillroll.workload.texts import (
     sql_brand,
     sql_number,
@@ -216,14 +215,28 @@ def _sql_one_key(kind: str) -> str:
 
 
 # C5 and its SQL ------------------------------------------------------------------
-def _treated_products(spark, folder) -> DataFrame:
-    return treat.treat_products(distinct_products(spark, folder), master_treated(spark, folder))
+def _treated_products(spark, folder, products: DataFrame | None = None) -> DataFrame:
+    if products is None:
+        products = distinct_products(spark, folder)
+    return treat.treat_products(products, master_treated(spark, folder))
 
 
 def products_treated(spark, folder):
-    """Everything but the hashed id, which is checked to be unique."""
+    """Everything but the hashed id (``treated_ids`` checks that)."""
+    return _treated_products(spark, folder).drop("id")
+
+
+def treated_ids(spark, folder):
+    """Ids of the treated products: as many as there are rows."""
     rows = _treated_products(spark, folder)
-    return rows.drop("id")
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
+
+
+def products_treated_with_brand(spark, folder):
+    """The text of name and brand together."""
+    products = distinct_products(spark, folder)
+    rows = treat.treat_products(products, master_treated(spark, folder), use_brand=True)
+    return rows.select("product_id", "source_table", "product_aggregated")
 
 
 _SELECTED = """
@@ -312,14 +325,15 @@ def match_description(spark, folder):
     return found.drop("MATCH_INTERNAL_PRODUCT")
 
 
-def _stored_treated(spark, folder) -> DataFrame:
-    """The treated products as their own stored table."""
-    return cut_lineage(_treated_products(spark, folder))
+def _stored(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """The products and the treated products, each as a stored table."""
+    products = cut_lineage(distinct_products(spark, folder))
+    return products, cut_lineage(_treated_products(spark, folder, products))
 
 
-def _cascade(spark, folder, treated: DataFrame) -> DataFrame:
+def _cascade(spark, folder, products: DataFrame, treated: DataFrame) -> DataFrame:
     return match.match_products(
-        distinct_products(spark, folder),
+        products,
         main_catalogue(spark, folder),
         generic_catalogue(spark, folder),
         treated,
@@ -328,18 +342,17 @@ def _cascade(spark, folder, treated: DataFrame) -> DataFrame:
 
 
 def match_cascade(spark, folder):
-    treated = _stored_treated(spark, folder)
-    return _cascade(spark, folder, treated).drop("MATCH_INTERNAL_PRODUCT")
+    return _cascade(spark, folder, *_stored(spark, folder)).drop("MATCH_INTERNAL_PRODUCT")
 
 
 def match_rate(spark, folder):
-    return audit.match_rate(_cascade(spark, folder, _stored_treated(spark, folder)))
+    return audit.match_rate(_cascade(spark, folder, *_stored(spark, folder)))
 
 
 def unmatched_input(spark, folder):
     """Feature text of the unmatched products, before any typo repair."""
-    treated = _stored_treated(spark, folder)
-    rows = predict.unmatched_products(treated, _cascade(spark, folder, treated))
+    products, treated = _stored(spark, folder)
+    rows = predict.unmatched_products(treated, _cascade(spark, folder, products, treated))
     rows = rows.withColumn(predict.DESCRIPTION, F.col("product_treated"))
     return predict.with_feature_text(rows).select(
         "product_id",
@@ -361,9 +374,9 @@ _vocab_treated, _vocab_done = sql_treatment("w", "wnames", "words")
 
 def predict_input(spark, folder):
     """The whole last step, with typo repair."""
-    treated = _stored_treated(spark, folder)
+    products, treated = _stored(spark, folder)
     rows = predict.predict_input(
-        treated, master_treated(spark, folder), _cascade(spark, folder, treated)
+        treated, master_treated(spark, folder), _cascade(spark, folder, products, treated)
     )
     return rows.drop("id")
 
@@ -371,7 +384,7 @@ def predict_input(spark, folder):
 def _misspelt(spark, folder) -> DataFrame:
     """Document words with one letter lost, next to the words as they are."""
     lost = F.regexp_replace(F.lower("text"), "(?<=[a-z]{5})n(?=[a-z])", "")
-    docs = spread_small_scan(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
     return docs.select("doc_id", lost.alias("text"))
 
 
@@ -381,7 +394,16 @@ def typo_repair(spark, folder):
         F.regexp_replace(F.lower("text"), "[^a-z ]+", " ").alias("text")
     )
     words = vocab.vocabulary(known, "text")
-    return vocab.repair_typos(_misspelt(spark, folder), "doc_id", "text", words, "repaired")
+    return vocab.repair_typos(_misspelt(spark, folder), "text", words, "repaired")
+
+
+def typo_repair_dropped(spark, folder):
+    """The same, without the unknown words that have no close match."""
+    known = table(spark, folder, "benchmark").select(
+        F.regexp_replace(F.lower("text"), "[^a-z ]+", " ").alias("text")
+    )
+    words = vocab.vocabulary(known, "text")
+    return vocab.repair_typos(_misspelt(spark, folder), "text", words, "repaired", "drop")
 
 
 QUERIES = {
@@ -391,6 +413,16 @@ QUERIES = {
         products_treated,
         f"with {_PRODUCTS}, {_TREATED} select * from treated",
     ),
+    "treated_ids": (
+        treated_ids,
+        f"with {_PRODUCTS}, {_TREATED} select count(*) as n_rows, count(*) as n_ids from treated",
+    ),
+    "products_treated_with_brand": (
+        products_treated_with_brand,
+        f"""with {_PRODUCTS}, {_TREATED}
+        select product_id, source_table, product_aggregated || ' ' || brand_id as product_aggregated
+        from treated""",
+    ),
     "match_cascade": (match_cascade, f"{_CASCADE} {_UPDATED}"),
     "match_rate": (
         match_rate,
@@ -423,4 +455,5 @@ QUERIES = {
     ),
     "predict_input": (predict_input, None),
     "typo_repair": (typo_repair, None),
+    "typo_repair_dropped": (typo_repair_dropped, None),
 }

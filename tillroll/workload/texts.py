@@ -8,12 +8,11 @@ from tillroll.functions import fixed_values as fixed
 from tillroll.functions import parse as p
 from tillroll.functions import text as t
 from tillroll.plans.products import add_volume_mark
-from tillroll.sources.readers import spread_small_scan
-from tillroll.workload.tables import table
+from tillroll.workload.tables import spread, table
 
 
 def _documents(spark, folder):
-    return spread_small_scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def _treated(name, build):
@@ -59,7 +58,7 @@ def sql_litres(source: str, column: str, target: str) -> str:
                else {column} end, {quoted(word)}, {quoted(ml)}, 'g') as {target}
       from (select *, regexp_extract({column}, {pattern}, 0) as found_,
                    cast(try_cast(trunc(try_cast(regexp_extract({column}, {pattern}, 1) || '.' ||
-                     regexp_extract({column}, {pattern}, 3) as double) * 1000.0) as bigint)
+                     regexp_extract({column}, {pattern}, 3) as double) * 1000.0) as hugeint)
                      as varchar) as number_
             from {source})"""
 
