@@ -5,6 +5,7 @@ import pytest
 from helpers import values
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tillroll.functions import fixed_values as fixed
 from tillroll.functions import text as t
@@ -103,3 +104,38 @@ def test_feature_words(spark):
         "lt 350ml 6unidade 2unidades", None, None, "",
     ]
     assert values(spark, [text, "", None, "1unidade"], t.brand_words) == ["beer lt", None, None, ""]
+
+
+# Written out by hand from the rules, so that a wrong table cannot agree with itself.
+SPELLED = {
+    "refri refrig refr ref refriger": "refrigerante refrigerante refrigerante refrigerante refrigerante",
+    "cerv cervej cer cerve": "cerveja cerveja cerveja cerveja",
+    "chop ton tonic": "chopp tonica tonica",
+    "itpv itaip db": "itaipava itaipava do bem",
+    "h2o h20h h20": "h2oh h2oh h2oh",
+    "antartica ant antar antart antartc antarct antarctic antarc antartic": " ".join(["antarctica"] * 9),
+    "schw guar guara guarah": "schweppes guarana guarana guarana",
+    "heinek lar laran lja lim": "heineken laranja laranja laranja limao",
+    "malizbier": "maCZbier",
+    "pil pils bud budweis": "pilsen pilsen budweiser budweiser",
+    "alc brama ahma": "alcool brahma brahma",
+    "orig origina origin ori": "original original original original",
+    "ag cocacola pespi sprit min stela": "agua coca cola pepsi sprite mineral stella",
+    "cx cxa": "caixa caixa",
+    "un uni unidad und": "unidade unidade unidade unidade",
+    "lata latao latagelada latas lat lta": "lt lt lt lt lt lt",
+    "gf gfa grfa grf": "garrafa garrafa garrafa garrafa",
+    "lneck longnec lnk long lon": "ln ln ln ln ln",
+    "sacucar pmalte sense sens litrinho": "zero puro malte senses senses garrafa 300ml",
+    "atac beb irrelevante cl retornavel retorn gelada atcd skol": "skol",
+}
+
+
+def test_every_abbreviation_by_hand(spark):
+    got = values(spark, list(SPELLED), lambda c: F.array_join(t.full_words(c), " "))
+    assert got == list(SPELLED.values())
+
+
+def test_litres_of_any_size(spark):
+    got = values(spark, ["agua 1,5 l", "agua 4,35 l", "x 12345678901234567890 l"], t.litres_to_ml)
+    assert [" ".join(g.split()) for g in got] == ["agua 1500ml", "agua 4350ml", "x 12345678901234568000000ml"]

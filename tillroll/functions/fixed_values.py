@@ -76,6 +76,7 @@ ABBREVIATIONS = {
     "heineken": ["heinek"],
     "laranja": ["lar", "laran", "lja"],
     "limao": ["lim"],
+    "maCZbier": ["malizbier"],
     "pilsen": ["pil", "pils"],
     "budweiser": ["bud", "budweis"],
     "alcool": ["alc"],

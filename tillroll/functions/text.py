@@ -101,7 +101,11 @@ def litres_to_ml(c: Column | str) -> Column:
         litres = F.concat(
             F.regexp_extract(text, pattern, 1), F.lit("."), F.regexp_extract(text, pattern, 3)
         )
-        amount = (litres.try_cast("double") * F.lit(1000.0)).try_cast("bigint").cast("string")
+        exact = litres.try_cast("double") * F.lit(1000.0)
+        # Above 2**53 a double is whole and may not fit a bigint.
+        amount = F.when(exact < 9e15, exact.try_cast("bigint").cast("string")).otherwise(
+            exact.try_cast("decimal(38,0)").cast("string")
+        )
         replaced = F.regexp_replace(text, found, F.concat(F.lit(" "), amount, F.lit("ml ")))
         return F.when(found != "", F.coalesce(replaced, text)).otherwise(text)
 

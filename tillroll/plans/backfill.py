@@ -21,6 +21,7 @@ from tillroll.operators.shape import (
     with_day_parts,
     with_half_month_parts,
 )
+from tillroll.session import cut_lineage
 from tillroll.sources.readers import read_files, read_years
 from tillroll.sources.writers import append_partitioned, overwrite_partitions
 
@@ -66,7 +67,9 @@ def validate_history(history: DataFrame, day: Column) -> DataFrame:
 
 
 def write_history(rows: DataFrame, spec: BackfillSpec, *paths: str) -> None:
-    """Append to, or replace partitions of, each layer."""
+    """Append to, or replace partitions of, each layer; rows are computed once."""
+    if len(paths) > 1:
+        rows = cut_lineage(rows)
     for path in paths:
         if spec.replace:
             overwrite_partitions(rows, path, spec.partition)
@@ -91,10 +94,9 @@ def before(column: str, cut: dt.date, fmt: str = "dd/MM/yyyy") -> Callable[[Data
     return lambda df: keep.before_day(df, column, fmt, cut)
 
 
-def current_before(
-    column: str, cut: dt.date, fmt: str = "yyyy-MM-dd"
-) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: keep.current_before_day(df, column, fmt, cut)
+def current_before(cut: dt.date) -> Callable[[DataFrame], DataFrame]:
+    """Current rows created before ``cut``, the day read as ``created`` reads it."""
+    return lambda df: keep.current_version(df.where(created() < F.lit(cut)))
 
 
 def up_to_year(column: str, year: int, fmt: str) -> Callable[[DataFrame], DataFrame]:
@@ -123,10 +125,10 @@ HISTORIES = {
         keep=before("data_venda", dt.date(2024, 8, 20), SLASHED), day=created
     ),
     "current_sales_2024_09_19": BackfillSpec(
-        keep=current_before("createdDate", dt.date(2024, 9, 19), ISO), day=created, lower=True
+        keep=current_before(dt.date(2024, 9, 19)), day=created, lower=True
     ),
     "current_stock_2024_09_19": BackfillSpec(
-        keep=current_before("createdDate", dt.date(2024, 9, 19), ISO), day=created,
+        keep=current_before(dt.date(2024, 9, 19)), day=created,
         extra_drop=("DATA",),
     ),
     "created_day": BackfillSpec(day=created),

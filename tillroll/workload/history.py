@@ -14,7 +14,7 @@ from tillroll.session import scratch_path
 from tillroll.sources import readers, writers
 from tillroll.workload import feeds
 from tillroll.workload.feeds import comma_text
-from tillroll.workload.tables import comma, dec, table
+from tillroll.workload.tables import big, comma, dec, table
 
 
 def _history(spark, folder):
@@ -57,7 +57,7 @@ def backfill_roundtrip(spark, folder):
 def backfill_current_versions(spark, folder):
     """Current rows only; the second layer is read back."""
     spec = plan.BackfillSpec(
-        keep=plan.current_before("createdDate", dt.date(2001, 5, 19), "yyyy-MM-dd HH:mm:ss"),
+        keep=plan.current_before(dt.date(2001, 5, 19)),
         day=plan.created,
         lower=True,
         extra_drop=("data_venda",),
@@ -122,8 +122,10 @@ def yearly_union(spark, folder):
     root = scratch_path(spark, "zone")
     docs.write.partitionBy("lang").parquet(f"{root}/br/docs")
     zone = readers.read_zone(spark, root, "br", "docs")
-    globs = [f"{root}/br/docs/lang={lang}" for lang in ("en", "fr", "de", "es")]
-    united = readers.read_years(spark, globs)
+    # One folder per value; whatever values there are.
+    folders = sorted({r[0] for r in zone.select(F.col("_metadata.file_path")).distinct().select(
+        F.regexp_extract("file_path", "^(.*)/[^/]*$", 1)).distinct().collect()})
+    united = readers.read_years(spark, folders)
     readers.register_view(zone, "zone_documents")
     total = spark.sql("SELECT source, count(*) AS zone_rows FROM zone_documents GROUP BY source")
     return (
@@ -137,24 +139,66 @@ def history_validation(spark, folder):
     return plan.validate_history(_history(spark, folder), p.day_slashed("DATA"))
 
 
-def layer_audit_totals(spark, folder):
-    """The per-day totals of the audit of one feed, next to its per-day counts."""
-    feed = feeds.virtual_sale_feed(spark, folder)
-    checks = layer_audit.audit_layer(
-        feed,
-        {"secao": "SECAO"},
-        p.day_compact("DATA"),
-        ["CNPJ", "CODIGOBARRAS", "DATA"],
-        {"quantity": p.locale_decimal("QUANTIDADEVENDA")},
-        store={"store": p.bigint_or_zero("CNPJ")},
-    )
-    return checks["totals_per_day"].join(
-        checks["rows_per_day"].withColumnRenamed("n_rows", "again"),
-        F.col("again") == F.col("n_rows"),
-        "left_semi",
-    )
+def _history_preset(name):
+    """A preset of the history sources over orders dated 8,600 days later, with the
+    creation date plain on some rows and with a time on others."""
+
+    def run(spark, folder):
+        later = F.date_add("o_orderdate", 8600)
+        rows = table(spark, folder, "orders").select(
+            F.col("o_orderkey").alias("ORDER"),
+            F.date_format(later, "dd/MM/yyyy").alias("DATA"),
+            F.lit("f").alias("filename"),
+            F.when(F.col("o_orderkey") % 2 == 0, F.date_format(later, "yyyy-MM-dd"))
+            .otherwise(F.concat(F.date_format(later, "yyyy-MM-dd"), F.lit(" 10:00:00")))
+            .alias("createdDate"),
+            F.when(F.col("o_orderstatus") == "P", "2025-01-01").otherwise("").alias("updatedDate"),
+            F.lit("").alias("lastReceived"),
+        )
+        return _written(spark, name, rows, plan.HISTORIES[name])
+
+    return run
+
+
+_PRESET = """
+  select {columns}, year(d) as year, month(d) as month, day(d) as day
+  from (select o_orderkey as "order", strftime(o_orderdate + interval 8600 day, '%d/%m/%Y') as data,
+               cast(o_orderdate + interval 8600 day as date) as d, o_orderstatus from orders)
+  where d < date '2024-09-19' and o_orderstatus <> 'P'
+"""
+
+
+def table_written(spark, folder):
+    """A catalogue table overwritten whole, read back by the guarded read."""
+    name = "tillroll_supplier_copy"
+    rows = table(spark, folder, "supplier")
+    writers.overwrite_table(rows.limit(0), name)
+    writers.overwrite_table(rows, name)
+    return readers.read_required_table(spark, name)
+
+
+def _audited(frame):
+    """One frame of the audit of one feed."""
+
+    def run(spark, folder):
+        feed = feeds.virtual_sale_feed(spark, folder)
+        return layer_audit.audit_layer(
+            feed,
+            {"secao": "SECAO"},
+            p.day_compact("DATA"),
+            ["CNPJ", "CODIGOBARRAS", "DATA"],
+            {"quantity": p.locale_decimal("QUANTIDADEVENDA")},
+            store={"store": p.bigint_or_zero("CNPJ")},
+            source_file="TIPO",
+        )[frame]
+
+    return run
 
 
+_DAY = (
+    "cast(try_strptime(coalesce(trim(replace(DATA, '-', '')), '19000101'), '%Y%m%d') as date)"
+)
+
 QUERIES = {
     "backfill_roundtrip": (
         backfill_roundtrip,
@@ -204,12 +248,51 @@ QUERIES = {
         "as max_value, count(*) as n_rows from orders",
     ),
     "layer_audit_totals": (
-        layer_audit_totals,
+        _audited("totals_per_day"),
         f"""
-        select cast(try_strptime(coalesce(trim(replace(DATA, '-', '')), '19000101'), '%Y%m%d')
-                    as date) as day,
+        select {_DAY} as day,
                count(*) as n_rows, cast(sum({dec('QUANTIDADEVENDA')}) as decimal(38,6)) as quantity
         from ({feeds.VIRTUAL_SALE_SQL}) group by 1
         """,
     ),
+    "layer_audit_partitions": (
+        _audited("rows_per_partition"),
+        f"select SECAO as secao, count(*) as n_rows from ({feeds.VIRTUAL_SALE_SQL}) group by 1",
+    ),
+    "layer_audit_days": (
+        _audited("rows_per_day"),
+        f"select {_DAY} as day, count(*) as n_rows from ({feeds.VIRTUAL_SALE_SQL}) group by 1",
+    ),
+    "layer_audit_range": (
+        _audited("range"),
+        f"select min({_DAY}) as min_value, max({_DAY}) as max_value, count(*) as n_rows "
+        f"from ({feeds.VIRTUAL_SALE_SQL})",
+    ),
+    "layer_audit_duplicates": (
+        _audited("duplicate_keys"),
+        f"select CNPJ, CODIGOBARRAS, DATA, count(*) as n_rows from ({feeds.VIRTUAL_SALE_SQL}) "
+        "group by 1, 2, 3 having count(*) > 1",
+    ),
+    "layer_audit_stores": (
+        _audited("totals_per_store"),
+        f"""
+        select {big('CNPJ')} as store, count(*) as n_rows,
+               cast(sum({dec('QUANTIDADEVENDA')}) as decimal(38,6)) as quantity
+        from ({feeds.VIRTUAL_SALE_SQL}) group by 1
+        """,
+    ),
+    "layer_audit_files": (
+        _audited("rows_per_file"),
+        f"select TIPO as source_file, SECAO as secao, count(*) as n_rows "
+        f"from ({feeds.VIRTUAL_SALE_SQL}) group by 1, 2",
+    ),
+    "history_current_sales": (
+        _history_preset("current_sales_2024_09_19"),
+        _PRESET.replace("{columns}", '"order", data'),
+    ),
+    "history_current_stock": (
+        _history_preset("current_stock_2024_09_19"),
+        _PRESET.replace("{columns}", '"order" as "ORDER"'),
+    ),
+    "table_written": (table_written, "select * from supplier"),
 }
