@@ -406,6 +406,125 @@ def typo_repair_dropped(spark, folder):
     return vocab.repair_typos(_misspelt(spark, folder), "text", words, "repaired", "drop")
 
 
+# Typo repair in SQL ------------------------------------------------------------
+_NEXT_BLOCK = (
+    "list_max(list_filter(flatten(list_transform(range(1, length({a}) + 1), lambda i: "
+    "list_transform(range(1, length({a}) - i + 2), lambda k: "
+    "{{'k': k, 'first': -i, 'j': instr({b}, substr({a}, i, k))}}))), lambda x: x.j > 0))"
+)
+
+
+def _sql_removed(word: str) -> str:
+    """The words left when any one letter goes."""
+    return (
+        f"list_distinct(list_transform(range(1, length({word}) + 1), lambda i: "
+        f"substr({word}, 1, i - 1) || substr({word}, i + 1)))"
+    )
+
+
+def _sql_repairs(words: str, vocab: str) -> str:
+    """CTEs up to ``fixes(word, repaired)`` for the relations of words and vocabulary.
+
+    Words of up to two removals meet on what is left; longer pairs meet by length.
+    The ratio is the recursive longest common block of the standard library.
+    """
+
+    def lefts(relation: str) -> str:
+        return f"""
+        select word, unnest(list_distinct(list_concat([{{'t': word, 'd': 0}}],
+          list_transform(one, lambda x: {{'t': x, 'd': 1}}),
+          case when length(word) >= 11 then flatten(list_transform(one, lambda y:
+            list_transform({_sql_removed('y')}, lambda x: {{'t': x, 'd': 2}}))) else [] end))) as l
+        from (select word, {_sql_removed('word')} as one from {relation} where length(word) <= 15)"""
+
+    return f"""
+  unknown as (select distinct word from {words} where length(word) >= 5
+              and not contains(word, 'ml') and not regexp_full_match(word, '[0-9]*')
+              and word not in (select word from {vocab})),
+  left_w as ({lefts('unknown')}),
+  left_v as ({lefts(vocab)}),
+  pairs as (
+    select distinct w.word, v.word as cand from left_w w join left_v v on w.l.t = v.l.t
+    where w.l.d + v.l.d <= (length(w.word) + length(v.word)) // 10
+    union
+    select w.word, v.word from unknown w join {vocab} v
+      on length(v.word) between length(w.word) * 9 // 11 and length(w.word) * 11 // 9 + 1
+    where length(w.word) + length(v.word) >= 30),
+  blocks as (
+    select word, cand, cand as a, word as b, {_NEXT_BLOCK.format(a='cand', b='word')} as n from pairs
+    union all
+    select word, cand, s.a, s.b, {_NEXT_BLOCK.format(a='s.a', b='s.b')} from (
+      select word, cand, unnest([
+        {{'a': substr(a, 1, -n.first - 1), 'b': substr(b, 1, n.j - 1)}},
+        {{'a': substr(a, -n.first + n.k), 'b': substr(b, n.j + n.k)}}]) as s
+      from blocks where n is not null)
+    where s.a <> '' and s.b <> ''),
+  ratios as (select word, cand, 2.0 * sum(n.k) / (length(word) + length(cand)) as r
+             from blocks where n is not null group by word, cand),
+  fixes as (select word, cand as repaired from ratios where r >= 0.9
+            qualify row_number() over (partition by word order by r desc, cand desc) = 1)"""
+
+
+# Letters are lost inside the pieces between single spaces.
+_LOST = """
+  with recursive pieces as (
+    select doc_id, unnest(string_split(lower(text), ' ')) as w,
+           generate_subscripts(string_split(lower(text), ' '), 1) as p from documents),
+  lost_of as (
+    select w, coalesce(array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda p:
+        not (p > 5 and l[p] = 'n' and p < len(l)
+             and regexp_full_match(array_to_string(l[p - 5:p - 1], ''), '[a-z]{5}')
+             and regexp_full_match(l[p + 1], '[a-z]'))), lambda p: l[p]), ''), '') as word
+    from (select w, string_split(w, '') as l from (select distinct w from pieces))),
+  vocab as (select distinct word from (
+      select unnest(string_split(regexp_replace(lower(text), '[^a-z ]+', ' ', 'g'), ' ')) as word
+      from benchmark
+      union all
+      select unnest(['do bem', 'ln', 'ow', 'budweiser', 'bohemia', 'brahma', 'skol',
+                     'antarctica', 'wals', 'beats', 'pilsen', 'ml', 'misto', 'garrafa']))
+    where length(word) > 1)"""
+_TYPO_SQL = f"""{_LOST}, {_sql_repairs('lost_of', 'vocab')}
+  select doc_id, string_agg(o.word, ' ' order by p) as text,
+         nullif(string_agg(coalesce(repaired, o.word), ' ' order by p), '') as repaired
+  from pieces join lost_of o using (w) left join fixes f on f.word = o.word group by doc_id"""
+_TYPO_DROPPED_SQL = f"""{_LOST}, {_sql_repairs('lost_of', 'vocab')},
+  parts as (
+    select doc_id, p, o.word, case when repaired is null and o.word not in (select word from vocab)
+        and not contains(o.word, 'ml') and not regexp_full_match(o.word, '[0-9]*')
+      then null else coalesce(repaired, o.word) end as kept
+    from pieces join lost_of o using (w) left join fixes f on f.word = o.word)
+  select doc_id, string_agg(word, ' ' order by p) as text,
+         case when string_agg(word, ' ' order by p) <> '' then coalesce(string_agg(kept, ' ' order by p), '') end as repaired
+  from parts group by doc_id"""
+
+
+_VOCABULARY_SQL = f"""
+  wnames as (
+    select distinct lower(p_name || ' ' || p_brand || ' ' || p_type || ' ' || p_size || 'ml')
+      as words from part where p_type in ({_sql_list(MAIN_TYPES)})),
+  {_vocab_treated},
+  unit_names as (select {sql_unit('words')} as words from {_vocab_done}),
+  vocab as (select distinct word from (
+    select unnest(string_split(words, ' ')) as word from unit_names
+    union all
+    select unnest(['do bem', 'ln', 'ow', 'budweiser', 'bohemia', 'brahma', 'skol',
+                   'antarctica', 'wals', 'beats', 'pilsen', 'ml', 'misto', 'garrafa']))
+    where length(word) > 1)"""
+_PREDICT_SQL = f"""{_CASCADE.replace('with ', 'with recursive ', 1)}, {_VOCABULARY_SQL},
+  rest as (select * from treated where product_id not in (select PRODUCT_ID from matched)),
+  named as (select distinct product_treated from rest),
+  parts as (select product_treated, unnest(string_split(product_treated, ' ')) as word,
+                   generate_subscripts(string_split(product_treated, ' '), 1) as p from named),
+  {_sql_repairs('parts', 'vocab')},
+  mended as (select product_treated, nullif(string_agg(coalesce(repaired, parts.word), ' ' order by p), '') as text
+             from parts left join fixes on fixes.word = parts.word group by product_treated),
+  united as (select r.* exclude (brand_id), {sql_unit('m.text')} as d
+             from rest r join mended m on r.product_treated = m.product_treated)
+  select * exclude (d), d as product_description_treated, {sql_number('d')} as number_description,
+         {sql_brand('d')} as brand_description
+  from united"""
+
+
 QUERIES = {
     "match_ean": (match_ean, _sql_one_key("ean")),
     "match_description": (match_description, _sql_one_key("name")),
@@ -453,7 +572,7 @@ QUERIES = {
         where length(word) > 1
         """,
     ),
-    "predict_input": (predict_input, None),
-    "typo_repair": (typo_repair, None),
-    "typo_repair_dropped": (typo_repair_dropped, None),
+    "predict_input": (predict_input, _PREDICT_SQL),
+    "typo_repair": (typo_repair, _TYPO_SQL),
+    "typo_repair_dropped": (typo_repair_dropped, _TYPO_DROPPED_SQL),
 }
