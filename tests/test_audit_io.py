@@ -156,3 +156,17 @@ def test_shared_folder(session):
     assert shared_folder(session) == shared_folder(session)
     assert scratch_path(session, "a") != scratch_path(session, "a")
     assert cut_lineage(session.range(3)).count() == 3
+
+
+def test_steps_are_stored_and_removed(session):
+    from pathlib import Path
+
+    from tillroll.session import cut_lineage, remove_steps, shared_folder
+
+    folder = Path(shared_folder(session).removeprefix("file:"))
+    remove_steps(session)
+    before = set(folder.glob("step-*"))
+    assert cut_lineage(session.range(5)).count() == 5
+    assert len(set(folder.glob("step-*")) - before) == 1
+    remove_steps(session)
+    assert set(folder.glob("step-*")) == before

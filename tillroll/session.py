@@ -59,13 +59,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Steps this process has written and not removed.
+_steps: list[str] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     The copy outlives an executor, and unlike a checkpoint it can be read by
-    column and has a size the optimizer knows.
+    column and has a size the optimizer knows. It stays until ``remove_steps``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "step")
     df.write.parquet(path)
+    _steps.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_steps(spark: SparkSession) -> None:
+    """Delete the steps written so far, once the results built on them are written."""
+    context = spark.sparkContext
+    while _steps:
+        path = context._jvm.org.apache.hadoop.fs.Path(_steps.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
