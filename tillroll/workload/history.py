@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -170,7 +171,7 @@ _PRESET = """
 
 def table_written(spark, folder):
     """A catalogue table overwritten whole, read back by the guarded read."""
-    name = "tillroll_supplier_copy"
+    name = f"supplier_{uuid.uuid4().hex}"
     rows = table(spark, folder, "supplier")
     writers.overwrite_table(rows.limit(0), name)
     writers.overwrite_table(rows, name)
