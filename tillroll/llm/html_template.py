@@ -216,7 +216,9 @@ def with_main_text(
         host_of(F.col(f"`{url}`")).alias("host"), F.monotonically_increasing_id().alias("page"), F.col(f"`{html}`").alias("html")
     )
     key, fixed, linking = (unused(pages, n) for n in ("host_key", "fixed_tokens", "linking_slots"))
-    found = templates(known).toDF(key, fixed, linking)
+    # Stored, its size is known: a small table of templates is broadcast by the
+    # engine, and the pages are not shuffled.
+    found = cut_lineage(templates(known).toDF(key, fixed, linking))
     kept = [F.col(f"`{c}`") for c in pages.columns if c not in names]
     joined = pages.withColumn(key, host_of(F.col(f"`{url}`"))).join(found, key, "left")
     made = joined.select(*kept, extractor()(F.col(f"`{html}`"), F.col(fixed), F.col(linking)).alias(text))
