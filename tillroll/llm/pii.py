@@ -34,7 +34,7 @@ from tillroll.llm.texts import slices, unused
 from tillroll.workload.tables import table
 
 #: The session setting that holds the key, and the key where it is unset (tests).
-SETTING, TEST_KEY = "tillroll.pseudonym.key", "a key for tests, not for use"
+SETTING, TEST_KEY = "spark.tillroll.pseudonym.key", "a key for tests, not for use"
 
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{1,64}+)@((?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24})(?![A-Za-z0-9])")
 NUMBERS = re.compile(
