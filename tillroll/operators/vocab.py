@@ -98,10 +98,11 @@ def _pieces(word: Column, as_candidate: bool) -> Column:
     within the cutoff loses at most ``d``, a tenth of the joint length, and that is
     below 2/9 of the candidate's length, so it touches fewer pieces than there are
     (sizes follow from that). One piece is in the word unchanged, shifted by at most
-    ``d``: in the same stretch of letters or a neighbouring one, if a stretch is
-    longer than any ``d``. Sizes and stretches depend on the candidate's length
-    class, a power of two; a word has at most three classes of partners. The keys of
-    a word are in proportion to its length, whatever the vocabulary holds.
+    ``d``. Up to 63 letters a key names the piece, and a word the few pieces that
+    near; beyond, it names a stretch of letters longer than any ``d``, and a word its
+    own stretch and both neighbours. Sizes and stretches depend on the candidate's
+    length class, a power of two; a word has at most three classes of partners. The
+    keys of a long word are in proportion to its length, whatever the vocabulary holds.
     """
     n = F.length(word)
 
@@ -114,7 +115,13 @@ def _pieces(word: Column, as_candidate: bool) -> Column:
 
         def keys(i: Column) -> Column:
             home = F.floor(i / stretch).cast("int")
-            homes = F.array(home) if as_candidate else F.array(home - 1, home, home + 1)
+            d = F.floor(n * 2 / 9)
+            first = F.greatest(F.ceil((i - d) / size), F.lit(0)).cast("int")
+            if as_candidate:
+                homes = F.array(F.when(k < 6, (i / size).cast("int")).otherwise(home))
+            else:
+                near = F.sequence(first, F.floor((i + d) / size).cast("int"))
+                homes = F.when(k < 6, near).otherwise(F.array(home - 1, home, home + 1))
             text = F.substring(word, i + 1, size)
             mark = k.cast("string")
             return F.transform(homes, lambda h: F.concat_ws(":", mark, h.cast("string"), text))
@@ -242,9 +249,11 @@ def repair_typos(
     if unmatched not in ("keep", "drop"):
         raise ValueError("unmatched is 'keep' or 'drop'")
     rows = cut_lineage(df)
-    texts = rows.select(F.col(text).alias("_text")).where("_text <> ''").distinct()
+    distinct = rows.select(F.col(text).alias("_text")).where("_text <> ''").distinct()
+    # Words travel with a number, not with their text.
+    texts = cut_lineage(distinct.withColumn("_id", F.monotonically_increasing_id()))
     word = F.explode(F.array_distinct(F.split("_text", " "))).alias("word")
-    tokens = cut_lineage(texts.select("_text", word))
+    tokens = texts.select("_id", word)
     found = corrections(tokens, vocab)
     if unmatched == "drop":
         # Every checked word that is unknown gets an entry, NULL when unmatched.
@@ -258,7 +267,7 @@ def repair_typos(
         found = unknown.join(found, "word", "left")
     found = cut_lineage(found)
     hits = lookup_join(tokens, found, ["word"], "inner", rule, broadcast_rows)
-    per_text = hits.groupBy("_text").agg(
+    per_text = hits.groupBy("_id").agg(
         F.map_from_entries(F.collect_list(F.struct("word", F.col("repaired")))).alias("_repairs")
     )
 
@@ -274,7 +283,8 @@ def repair_typos(
             F.transform(parts, lambda w: F.coalesce(F.try_element_at(repairs, w), w)), " "
         )
 
-    repaired = cut_lineage(per_text.select("_text", mended(F.col("_repairs")).alias("_repaired")))
+    changed = texts.join(per_text, "_id")
+    repaired = cut_lineage(changed.select("_text", mended(F.col("_repairs")).alias("_repaired")))
     joined = lookup_join(
         rows.withColumn("_text", F.col(text)), repaired, ["_text"], "left", rule, broadcast_rows
     )
