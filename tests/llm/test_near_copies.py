@@ -1,0 +1,77 @@
+import random
+
+import numpy as np
+
+import __spark_entry__ as repo
+import corpus_pipeline as cp
+from tillroll.llm import near_copies as nc
+
+
+def plain_set(text, words=5):
+    found = (text or "").encode().lower().split()
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
+
+
+def plain_kept(texts, similarity=0.8):
+    """Smallest id of each group, over all pairs."""
+    sets = {i: plain_set(t) for i, t in texts.items()}
+    group = {i: i for i in texts}
+    pairs = 0
+    for a in sorted(texts):
+        for b in sorted(texts):
+            x, y = sets[a], sets[b]
+            near = len(x & y) >= similarity * len(x | y) - 1e-9 if x and y else x == y
+            pairs += a < b and x != y and near
+            if a < b and near and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {i: low if g == high else g for i, g in group.items()}
+    return {i for i, g in group.items() if i == g}, pairs
+
+
+def changed(rng, text, n):
+    words = text.split()
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_stage_drops_copies_of_similarity_from_08(session):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(12):
+        base = " ".join(f"w{rng.randrange(4000)}" for _ in range(rng.choice([6, 12, 60, 200, 900])))
+        # Chains too: a changed copy is changed again.
+        texts += [base, changed(rng, base, 1), changed(rng, base, 2), changed(rng, base, len(base.split()) // 60)]
+        texts.append(changed(rng, texts[-1], len(base.split()) // 60))
+    rng.shuffle(texts)
+    texts = dict(enumerate(texts))
+    df = session.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    want, pairs = plain_kept(texts)
+    got = [r.doc_id for r in cp.near_duplicates(session, df, "").collect()]
+    assert sorted(got) == sorted(want) and pairs > 15
+
+
+def test_stage_equals_all_pairs_on_given_documents(session):
+    folder = repo.SMALL
+    docs = session.read.parquet(f"{folder}/documents.parquet")
+    want, pairs = plain_kept({r.doc_id: r.text for r in docs.collect()})
+    assert {r.doc_id for r in cp.near_duplicates(session, docs, folder).collect()} == want and pairs
+
+
+def test_keys_miss_rarely():
+    sketch, rng = nc.Sketch(nc.keys_for(0.8)), np.random.default_rng(6)
+    assert (1 - 0.8**nc.ROWS) ** sketch.n <= nc.MISS
+    for n in (9, 45, 900):
+        for _ in range(40):
+            both = rng.integers(0, 1 << 64, n * 8 // 9, dtype=np.uint64)
+            a, b = (np.concatenate([both, rng.integers(0, 1 << 64, n // 9, dtype=np.uint64)]) for _ in range(2))
+            assert set(sketch.keys(a)) & set(sketch.keys(b))
+
+
+def test_nulls_repeats_clashes_and_empty_tables(spark):
+    long = " ".join(f"v{k}" for k in range(30_000))
+    rows = [(3, "A b c d", "q"), (1, "a B c d", None), (1, "a b c d", "q"), (2, None, "q"), (9, " ", "q"), (8, long, "q"), (4, long + " end", "q"), (None, "solo", "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    kept = nc.without_near_copies(df)
+    assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 4]
+    assert nc.without_near_copies(df.limit(0)).count() == 0
