@@ -12,8 +12,9 @@ they are tried at a place of the text:
 * dates from 1900 to 2099: year first, or day and month first with ``/``, ``.``
   or ``-`` (where both orders are possible ``/`` puts the month first);
 * internet addresses, versions 4 and 6;
-* telephone numbers of 8 to 15 digits, written with ``+``, brackets or separators:
-  the last ten digits, or all after the country code if there are fewer.
+* telephone numbers of 8 to 15 digits that begin with ``+`` or a bracket, in groups
+  of any length, or written ddd-ddd-dddd: the last ten digits, or all after the
+  country code if there are fewer.
 
 Work is one pass over each text; nothing is looked up or shuffled.
 """
@@ -46,8 +47,8 @@ NUMBERS = re.compile(
     r"|(?P<day>[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4})(?![0-9A-Za-z])"
     r"|(?P<v4>(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![0-9A-Za-z]|\.[0-9])"
     r"|(?P<v6>(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])"
-    r"|(?P<phone>\+[0-9]{8,15}+(?![0-9])|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?![0-9])"
-    r"|\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9]))"
+    r"|(?P<phone>\+[0-9](?:[ .-]?[0-9]){0,24}(?:[ .-]?\([0-9]{1,5}\)(?:[ .-]?[0-9]){4,24})?"
+    r"|\([0-9]{2,5}\)(?:[ .-]?[0-9]){4,24}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9]))"
     r")"
 )
 MAYBE = re.compile(r"[0-9@]")
@@ -89,6 +90,16 @@ def _date(permuter: Permuter, kind: str, text: str) -> str | None:
     return "".join(pieces)
 
 
+def dialled(text: str) -> str:
+    """The longest run of whole groups that can be a number; groups that follow it in
+    the text, or a last single digit, are not part of it. Only the form decides."""
+    for group in reversed(list(re.finditer("[0-9]{2,}", text))):
+        # A group in brackets is not the end of a number.
+        if sum(c.isdigit() for c in text[: group.end()]) <= 15 and not text.startswith(")", group.end()):
+            return text[: group.end()]
+    return ""
+
+
 def _phone(permuter: Permuter, text: str) -> str | None:
     digits = re.sub("[^0-9]", "", text)
     if not 8 <= len(digits) <= 15:
@@ -160,14 +171,15 @@ def replace(text: str, permuter: Permuter) -> tuple[str, int]:
         part, pieces, start, search = out[k], [], 0, 0
         while m := NUMBERS.search(part, search):
             kind = next(name for name in KINDS if m[name])
-            new = pseudonym(permuter, kind, m[kind])
+            value = dialled(m[kind]) if kind == "phone" else m[kind]
+            new = pseudonym(permuter, kind, value)
             if new is None:
                 # Not valid: what begins later inside it may be another value.
                 search = m.start() + 1
                 continue
             found += 1
             pieces += [part[start : m.start()], new]
-            start = search = m.end()
+            start = search = m.start() + len(value)
         out[k] = "".join([*pieces, part[start:]])
     return "".join(out), found
 
