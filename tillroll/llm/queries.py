@@ -6,7 +6,7 @@ from importlib import import_module
 
 import corpus_pipeline
 
-AREAS = ("token_counts", "packing", "simhash", "subspace_join", "decontamination", "quality", "language", "html_template", "pii", "lm_scoring")
+AREAS = ("token_counts", "packing", "simhash", "subspace_join", "decontamination", "quality", "language", "html_template", "pii", "lm_scoring", "shard_tree", "vector_codes", "whitening")
 
 QUERIES: dict = {}
 for area in AREAS:
