@@ -82,15 +82,15 @@ def build_gold(
             return first_per_key(fresh, keys, [F.col(INGESTION).desc_nulls_last()])
         return newest_per_key(fresh, keys, INGESTION, distinct=True, rule=rule)
     if not gold_is_clean or spec.touched_by is None:
-        return _merged(gold, fresh, spec, rule)
+        return merge_newest(gold, fresh, spec, rule)
     values = fresh.select(F.col(spec.touched_by).alias("_touched")).distinct()
     same = F.col(spec.touched_by).eqNullSafe(F.col("_touched"))
     touched = gold.join(values, same, "left_semi")
     untouched = gold.where(F.col(INGESTION).isNotNull()).join(values, same, "left_anti")
-    return untouched.unionByName(_merged(touched, fresh, spec, rule))
+    return untouched.unionByName(merge_newest(touched, fresh, spec, rule))
 
 
-def _merged(
+def merge_newest(
     gold: DataFrame, fresh: DataFrame, spec: GoldSpec, rule: HotRule | None
 ) -> DataFrame:
     """The newest version of each key over both sides, equal rows once.

@@ -76,9 +76,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote."""
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(context._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def remove_steps(spark: SparkSession) -> None:
     """Delete the steps written so far, once the results built on them are written."""
-    context = spark.sparkContext
     while _steps:
-        path = context._jvm.org.apache.hadoop.fs.Path(_steps.pop())
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove_path(spark, _steps.pop())

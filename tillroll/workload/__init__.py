@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("standard", "gold", "audits", "texts", "matching", "history")
+AREAS = ("standard", "gold", "audits", "texts", "matching", "history", "stores")
 
 
 def all_queries() -> dict:
