@@ -1,19 +1,20 @@
-"""Tables on disk that grow: merged by partition, published in stages, listed."""
+"""Tables on disk that grow: merged by partition, published in stages, listed, audited."""
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from tillroll.functions import parse as p
-from tillroll.operators import audit, filters, shape
-from tillroll.plans import gold_store, publish
+from tillroll.operators import audit, filters, shape, sketch
+from tillroll.plans import audit_store, gold_store, publish
 from tillroll.session import scratch_path
 from tillroll.sources import partitions, readers, writers
-from tillroll.workload import gold
+from tillroll.workload import feeds, gold, history
 from tillroll.workload.feeds import with_ingestion
-from tillroll.workload.tables import table
+from tillroll.workload.tables import big, dec, table
 
 
 def _merged_gold(spark, folder):
@@ -76,7 +77,141 @@ def newest_snapshots_listed(spark, folder):
     return rows.withColumn("ingested", p.ingestion_day()).drop("year", "month", "day")
 
 
+FEED_AUDIT = audit_store.AuditSpec(
+    partition={"secao": "SECAO"},
+    day=p.day_compact("DATA"),
+    keys=("CNPJ", "CODIGOBARRAS", "DATA"),
+    sums={"quantity": p.locale_decimal("QUANTIDADEVENDA")},
+    store={"store": p.bigint_or_zero("CNPJ")},
+    source_file="TIPO",
+)
+
+
+def _feed_frames(spark, folder):
+    return audit_store.audit_once(feeds.virtual_sale_feed(spark, folder), FEED_AUDIT)
+
+
+def layer_audit_one_scan(spark, folder):
+    """All counts, ranges and totals of a feed after one scan, as one long table."""
+    frames = _feed_frames(spark, folder)
+
+    def long(name, first, second=None, quantity=None):
+        text = [F.lit(None).cast("string") if c is None else F.col(c).cast("string") for c in (first, second)]
+        total = F.lit(None).cast("decimal(38,6)") if quantity is None else F.col(quantity)
+        return frames[name].select(
+            F.lit(name).alias("frame"), text[0].alias("first"), text[1].alias("second"), "n_rows", total.alias("quantity")
+        )
+
+    parts = [
+        long("rows_per_partition", "secao"),
+        long("rows_per_day", "day"),
+        long("range", "min_value", "max_value"),
+        long("totals_per_day", "day", quantity="quantity"),
+        long("totals_per_store", "store", quantity="quantity"),
+        long("rows_per_file", "source_file", "secao"),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def layer_audit_one_scan_keys(spark, folder):
+    return _feed_frames(spark, folder)["duplicate_keys"]
+
+
+LINE_AUDIT = audit_store.AuditSpec(
+    partition={"flag": "l_returnflag"},
+    day=F.to_date("l_shipdate"),
+    keys=("l_orderkey", "l_linenumber"),
+    sums={"quantity": F.col("l_quantity").cast("decimal(38,6)")},
+)
+
+
+def _rerun(spark, folder):
+    """A layer in months, audited, then grown by some months and one month written
+    again without its returned lines, and audited again."""
+    lines = table(spark, folder, "lineitem").withColumns({"year": F.year("l_shipdate"), "month": F.month("l_shipdate")})
+    path, store = scratch_path(spark, "layer"), scratch_path(spark, "audits")
+    months = ("year", "month")
+    writers.append_partitioned(lines.where("year < 2001"), path, months)
+    audit_store.audit_partitions(spark, path, LINE_AUDIT, store)
+    writers.append_partitioned(lines.where("year >= 2001"), path, months)
+    again = lines.where("year = 1999 and month = 5 and l_returnflag <> 'R'")
+    writers.overwrite_partitions(again, path, months)
+    return audit_store.audit_partitions(spark, path, LINE_AUDIT, store)
+
+
+def layer_audit_rerun(spark, folder):
+    """Totals of the grown layer; the second audit scanned only what was new."""
+    second = _rerun(spark, folder)
+    return second.frames["totals_per_day"].withColumn("partitions_scanned", F.lit(len(second.scanned)))
+
+
+def layer_audit_rerun_keys(spark, folder):
+    return _rerun(spark, folder).frames["duplicate_keys"]
+
+
+def column_profile_estimated(spark, folder):
+    """Distinct counts from merged sketches of each line status, beside the exact ones."""
+    rows = table(spark, folder, "lineitem")
+    by_status = sketch.column_sketches(rows, {"status": F.col("l_linestatus")})
+    profile = sketch.estimated_profile(sketch.merge_sketches(by_status))
+    exact = audit.column_profile(rows).select("column", F.col("n_distinct").alias("exact"))
+    off = F.abs(F.col("n_distinct") - F.col("exact")) / F.col("exact")
+    return profile.join(exact, "column").select(
+        "column", "kind", "n_rows", "n_nulls", "exact", (off <= 4 * sketch.standard_error()).alias("within_error")
+    )
+
+
+_LINES_AFTER = """
+  select *, cast(l_shipdate as date) as d from lineitem
+  where not (year(l_shipdate) = 1999 and month(l_shipdate) = 5 and l_returnflag = 'R')
+"""
+_FEED = f"(select *, {history._DAY} as d, {dec('QUANTIDADEVENDA')} as q from ({feeds.VIRTUAL_SALE_SQL}))"
+
 QUERIES = {
+    "layer_audit_one_scan": (
+        layer_audit_one_scan,
+        f"""
+        with feed as {_FEED},
+        sets as (
+          select SECAO, d, {big('CNPJ')} as store, TIPO, count(*) as n, sum(q) as q,
+                 grouping(SECAO) as gs, grouping(d) as gd, grouping({big('CNPJ')}) as gc, grouping(TIPO) as gt
+          from feed group by grouping sets ((SECAO), (d), ({big('CNPJ')}), (TIPO, SECAO)))
+        select 'rows_per_partition' as frame, SECAO as first, null as second, n as n_rows,
+               cast(null as decimal(38,6)) as quantity from sets where gs = 0 and gt = 1
+        union all select 'rows_per_day', cast(d as varchar), null, n, null from sets where gd = 0
+        union all select 'totals_per_day', cast(d as varchar), null, n, cast(q as decimal(38,6)) from sets where gd = 0
+        union all select 'totals_per_store', cast(store as varchar), null, n, cast(q as decimal(38,6)) from sets where gc = 0
+        union all select 'rows_per_file', TIPO, SECAO, n, null from sets where gt = 0
+        union all select 'range', cast(min(d) as varchar), cast(max(d) as varchar), count(*), null from feed
+        """,
+    ),
+    "layer_audit_one_scan_keys": (layer_audit_one_scan_keys, history.QUERIES["layer_audit_duplicates"][1]),
+    "layer_audit_rerun": (
+        layer_audit_rerun,
+        f"""
+        select d as day, count(*) as n_rows, cast(sum(cast(l_quantity as decimal(38,6))) as decimal(38,6)) as quantity,
+               (select count(distinct date_trunc('month', d)) + 1 from ({_LINES_AFTER}) where year(d) >= 2001)
+                 as partitions_scanned
+        from ({_LINES_AFTER}) group by 1
+        """,
+    ),
+    "layer_audit_rerun_keys": (
+        layer_audit_rerun_keys,
+        f"select l_orderkey, l_linenumber, count(*) as n_rows from ({_LINES_AFTER}) group by 1, 2 having count(*) > 1",
+    ),
+    "column_profile_estimated": (
+        column_profile_estimated,
+        " union all ".join(
+            f"select '{c}' as \"column\", '{kind}' as kind, cast(count(*) as bigint) as n_rows, "
+            f"cast(count(*) - count({c}) as bigint) as n_nulls, "
+            f"cast(count(distinct {c}) as bigint) as exact, true as within_error from lineitem"
+            for c, kind in {
+                "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+                "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+                "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+            }.items()
+        ),
+    ),
     "gold_partition_merge": (gold_partition_merge, gold.QUERIES["gold_incremental_latest"][1]),
     "gold_partitions_touched": (
         gold_partitions_touched,
