@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import parse as p
-from tillroll.operators import audit, dedup, filters, shape
+from tillroll.operators import audit, checksum, dedup, filters, shape
 from tillroll.workload.feeds import comma_text, text
 from tillroll.workload.tables import big, comma, dec, spread, table
 
@@ -218,6 +218,23 @@ def row_diff(spark, folder):
     return audit.row_differences(before, after, ["o_orderkey"], ["o_orderstatus", "o_custkey"])
 
 
+def row_diff_by_checksum(spark, folder):
+    """The same differences; rows meet only in buckets whose checksums differ."""
+    before, after = _snapshots(spark, folder)
+    return checksum.row_differences(before, after, ["o_orderkey"], ["o_orderstatus", "o_custkey"])
+
+
+def differing_partitions(spark, folder):
+    """Months in which orders and a later load of two of them are not the same."""
+    orders = table(spark, folder, "orders").withColumn("month", F.trunc("o_orderdate", "month"))
+    changed = F.col("month").isin(dt.date(1998, 2, 1), dt.date(1999, 7, 1)) & (F.col("o_orderstatus") == "F")
+    later = orders.where(~changed | (F.col("o_orderkey") % 2 == 0))
+    columns = ["o_custkey", "o_orderstatus", "o_totalprice"]
+    return checksum.differing_partitions(orders, later, ["month"], ["o_orderkey", "month"], columns).select(
+        "month", (F.col("left_rows") - F.col("right_rows")).alias("rows_lost")
+    )
+
+
 def row_equality(spark, folder):
     before, after = _snapshots(spark, folder)
     return audit.row_equality(before, after, ["o_orderkey"], ["o_orderstatus", "o_custkey"])
@@ -480,3 +497,13 @@ QUERIES = {
     ),
     "row_ids": (row_ids, "select 2 * count(*) as n_rows, 2 * count(*) as n_ids from orders"),
 }
+QUERIES["row_diff_by_checksum"] = (row_diff_by_checksum, QUERIES["row_diff"][1])
+QUERIES["differing_partitions"] = (
+    differing_partitions,
+    """
+    select cast(date_trunc('month', o_orderdate) as date) as month, count(*) as rows_lost from orders
+    where date_trunc('month', o_orderdate) in (date '1998-02-01', date '1999-07-01')
+      and o_orderstatus = 'F' and o_orderkey % 2 <> 0
+    group by 1
+    """,
+)
