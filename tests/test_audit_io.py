@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.operators import audit
 from tillroll.plans import backfill as bf
@@ -170,3 +171,53 @@ def test_steps_are_stored_and_removed(session):
     assert len(set(folder.glob("step-*")) - before) == 1
     remove_steps(session)
     assert set(folder.glob("step-*")) == before
+
+
+def test_years_as_declared(spark):
+    root = scratch_path(spark, "years")
+    first = [("1", "1,5", "2024-01-01", "x"), ("two", "bad", None, "x"), (None, None, "?", "x"), (str(2**40), "-2", "2024-01-02 10:00", "x")]
+    spark.createDataFrame(first, "K string, v string, d string, extra string").write.parquet(f"{root}/2021_x")
+    second = spark.createDataFrame([(2**40, 2.25, [1]), (7, float("nan"), None)], "k long, v double, d array<int>")
+    second.drop("d").write.parquet(f"{root}/2022_x")
+    third = spark.createDataFrame([(dt.date(2024, 1, 3), Decimal("123456.78"))], "d date, v decimal(10,2)")
+    third.write.parquet(f"{root}/2023_x")
+    schema = T.StructType.fromDDL("k int, v decimal(6,2), d date, n string")
+    globs = [f"{root}/{y}*" for y in (2021, 2022, 2023)]
+    got = readers.read_years_as(spark, globs, schema, from_text={"v": lambda c: F.translate(c, ",", ".")})
+    assert got.columns == ["k", "v", "d", "n", "misfits"] and got.drop("misfits").dtypes == [(f.name, f.dataType.simpleString()) for f in schema]
+    assert rows(got) == sorted(
+        [
+            (1, Decimal("1.50"), dt.date(2024, 1, 1), None, []), (None, None, None, None, ["k", "v"]), (None, None, None, None, ["d"]),
+            (None, Decimal("-2.00"), dt.date(2024, 1, 2), None, ["k"]), (None, Decimal("2.25"), None, None, ["k"]), (7, None, None, None, ["v"]),
+            (None, None, dt.date(2024, 1, 3), None, ["v"]),
+        ],
+        key=repr,
+    )
+    assert rows(readers.count_misfits(got)) == [("d", 1), ("k", 3), ("v", 3)]
+    assert readers.undeclared_columns(spark, globs, schema) == {globs[0]: ["extra"]}
+
+
+def test_table_partitions_are_replaced_in_a_session_of_their_own(session):
+    name = "fact_of_a_test"
+    data = session.createDataFrame([(1, 2024), (2, 2025)], "k int, year int")
+    session.conf.set("spark.sql.session.timeZone", "America/Recife")
+    session.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        seen = []
+        writers.overwrite_partitions_of_table(data, name, ("year",))
+        plain, child = writers._session_with, None
+
+        def watched(*args):
+            nonlocal child
+            child = plain(*args)
+            seen.append((session.conf.get(writers.OVERWRITE_MODE), child.conf.get(writers.OVERWRITE_MODE), child.conf.get("spark.sql.session.timeZone")))
+            return child
+
+        writers._session_with = watched
+        writers.overwrite_partitions_of_table(session.createDataFrame([(2025, 9)], "year int, k int"), name, ("year",))
+        assert seen == [("STATIC", "dynamic", "America/Recife")] and session.conf.get(writers.OVERWRITE_MODE) == "STATIC"
+        assert rows(readers.read_table(session, name)) == [(1, 2024), (9, 2025)]
+    finally:
+        writers._session_with = plain
+        session.conf.set("spark.sql.session.timeZone", "UTC")
+        session.sql(f"DROP TABLE IF EXISTS {name}")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.shape import BUSINESS_PARTITION, INGESTION_PARTITION
@@ -42,20 +44,33 @@ def overwrite_partitions_of_table(
 ) -> None:
     """As above for a catalogue table, which is created when absent.
 
-    An insert into a table takes the mode from the session, not from a write
-    option, so the setting is made for the insert and put back.
+    An insert into a table takes the mode from its session, not from a write option.
+    The insert runs in a session of its own, so no other job of this one sees it.
     """
     spark = df.sparkSession
     rows = _by_partition(df, partition)
     if not spark.catalog.tableExists(table):
         rows.write.format(fmt).partitionBy(*partition).saveAsTable(table)
         return
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    view = f"rows_of_{uuid.uuid4().hex}"
+    rows.select(*spark.table(table).columns).createGlobalTempView(view)
     try:
-        rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        insert = f"INSERT OVERWRITE TABLE {table} SELECT * FROM global_temp.{view}"
+        _session_with(spark, OVERWRITE_MODE, "dynamic").sql(insert)
     finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+        spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(table)
+
+
+def _session_with(spark: SparkSession, key: str, value: str) -> SparkSession:
+    """A session like this one, of the same application, with one other setting."""
+    other = spark.newSession()
+    for name, setting in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            other.conf.set(name, setting)
+    other.conf.set(key, value)
+    other.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return other
 
 
 def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:

@@ -6,12 +6,13 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions import parse as p
 from tillroll.operators import audit, filters, shape
 from tillroll.plans import backfill as plan
 from tillroll.plans import layer_audit
-from tillroll.session import scratch_path
+from tillroll.session import cut_lineage, scratch_path
 from tillroll.sources import readers, writers
 from tillroll.workload import feeds
 from tillroll.workload.feeds import comma_text
@@ -175,7 +176,106 @@ def table_written(spark, folder):
     rows = table(spark, folder, "supplier")
     writers.overwrite_table(rows.limit(0), name)
     writers.overwrite_table(rows, name)
-    return readers.read_required_table(spark, name)
+    return _read_and_dropped(spark, name)
+
+
+def _read_and_dropped(spark, name):
+    """The rows of a catalogue table that is not left behind."""
+    try:
+        return cut_lineage(readers.read_required_table(spark, name))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def fact_table_partitions_replaced(spark, folder):
+    """A fact table by business day, one month of it written again."""
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.last_day("l_shipdate").alias("DATA"), F.lit(1).alias("load")
+    )
+    fact, name = shape.with_day_parts(rows, "DATA"), f"fact_{uuid.uuid4().hex}"
+    writers.overwrite_partitions_of_table(fact, name)
+    again = filters.between_days(fact, "DATA", dt.date(2000, 3, 1), dt.date(2000, 3, 31))
+    writers.overwrite_partitions_of_table(again.where("l_linenumber > 1").withColumn("load", F.lit(2)), name)
+    return audit.count_by(_read_and_dropped(spark, name), day="DATA", load="load")
+
+
+#: What the yearly feed is to be, whatever the years hold.
+YEARLY = T.StructType.fromDDL("line bigint, qty decimal(38,6), note string, day date")
+
+
+def _drifting_years(spark, folder):
+    """Three years of one feed: the quantity as text, as a decimal, as a double; the day
+    as text, then a date; a note only in the first and an undeclared column in the last."""
+    lines = table(spark, folder, "lineitem").withColumn("y", F.year("l_shipdate"))
+    some_bad = F.when(F.col("l_linenumber") == 3, "n/a").otherwise(comma_text("l_quantity"))
+    root = scratch_path(spark, "drift")
+    years = {
+        1997: [F.col("l_orderkey").cast("string").alias("LINE"), some_bad.alias("QTY"), F.col("l_returnflag").alias("note"),
+               F.when(F.col("l_linenumber") == 4, "?").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("DAY")],
+        1998: [F.col("l_orderkey").cast("int").alias("line"), F.col("l_quantity").cast("decimal(12,2)").alias("qty"), F.to_date("l_shipdate").alias("day")],
+        1999: [F.col("l_orderkey").alias("line"), F.col("l_quantity").alias("qty"), F.to_date("l_shipdate").alias("day"), F.col("l_tax").alias("extra")],
+    }
+    for year, columns in years.items():
+        lines.where(F.col("y") == year).select(*columns).write.parquet(f"{root}/{year}_feed")
+    globs = [f"{root}/{year}*" for year in years]
+    return readers.read_years_as(spark, globs, YEARLY, from_text={"qty": lambda c: F.replace(c, F.lit(","), F.lit("."))})
+
+
+def yearly_declared(spark, folder):
+    return _drifting_years(spark, folder).groupBy("day", "note").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.try_sum("qty").cast("decimal(38,6)").alias("qty"), F.sum(F.size("misfits")).alias("misfits")
+    )
+
+
+def yearly_misfits(spark, folder):
+    return readers.count_misfits(_drifting_years(spark, folder))
+
+
+def _preset_source(spark, folder, iso=False):
+    """Orders dated 8,600 days later as a history zone, loaded at the end of their month."""
+    later = F.date_add("o_orderdate", 8600)
+    text = F.date_format(later, "yyyy-MM-dd" if iso else "dd/MM/yyyy")
+    rows = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("ORDER"),
+        text.alias("DATA"),
+        text.alias("data_venda"),
+        F.col("o_orderpriority").alias("filename"),
+        F.concat(F.date_format(F.last_day(later), "yyyy-MM-dd"), F.lit(" 10:00:00")).alias("createdDate"),
+        F.when(F.col("o_orderstatus") == "P", "2025-01-01").otherwise("").alias("updatedDate"),
+        F.lit("").alias("lastReceived"),
+        F.col("o_orderstatus").alias("status"),
+        F.last_day(later).alias("_day"),
+    )
+    return shape.with_day_parts(rows, "_day").drop("_day")
+
+
+def _preset(name, iso=False, drop=shape.BUSINESS_PARTITION, twice=False):
+    """A preset run from files to files; ``twice`` where a rerun must change nothing."""
+
+    def run(spark, folder):
+        spec = plan.HISTORIES[name]
+        source, target = scratch_path(spark, "source"), scratch_path(spark, name)
+        rows = _preset_source(spark, folder, iso).drop(*drop)
+        (rows.unionByName(rows) if spec.whole_row_distinct else rows).write.parquet(source)
+        for _ in range(2 if twice else 1):
+            plan.backfill(spark, source, spec, target)
+        return readers.read_files(spark, target)
+
+    return run
+
+
+def _preset_sql(where="true", columns='"order", data, data_venda, status', fmt="%d/%m/%Y", day="last_day(d)"):
+    return f"""
+    select {columns}, year({day}) as year, month({day}) as month, day({day}) as day from (
+      select o_orderkey as "order", strftime(o_orderdate + interval 8600 day, '{fmt}') as data,
+             strftime(o_orderdate + interval 8600 day, '{fmt}') as data_venda, o_orderstatus as status,
+             cast(o_orderdate + interval 8600 day as date) as d from orders)
+    where {where}
+    """
+
+
+_ISO_SQL = "%Y-%m-%d"
+_UPPER = '"order" as "ORDER", data as "DATA", data_venda, status'
 
 
 def _audited(frame):
@@ -297,3 +397,54 @@ QUERIES = {
     ),
     "table_written": (table_written, "select * from supplier"),
 }
+QUERIES |= {
+    "history_sales_july_4": (_preset("sales_by_day_2024_07_04"), _preset_sql("d < date '2024-07-04'")),
+    "history_stock_may_13": (_preset("stock_by_day_2024_05_13"), _preset_sql("d < date '2024-05-13'")),
+    "history_sales_july_8": (_preset("sales_by_day_2024_07_08"), _preset_sql("d < date '2024-07-08'")),
+    "history_sales_august_20": (_preset("sales_by_day_2024_08_20"), _preset_sql("d < date '2024-08-20'", _UPPER)),
+    "history_created_day": (_preset("created_day"), _preset_sql(columns=_UPPER)),
+    "history_created_up_to_2023": (
+        _preset("created_up_to_2023", iso=True, twice=True), _preset_sql("year(d) <= 2023", _UPPER, _ISO_SQL)
+    ),
+    "history_half_months": (
+        _preset("half_months", iso=True, twice=True),
+        _preset_sql("year(d) <= 2023", _UPPER, _ISO_SQL, "case when day(d) < 16 then date_trunc('month', d) else date_trunc('month', d) + interval 15 day end"),
+    ),
+    "history_fact_by_business_day": (
+        _preset("fact_by_business_day", drop=(), twice=True),
+        _preset_sql(columns=_UPPER).replace("as year", "as ano_partition").replace("as month", "as mes_partition").replace("as day", "as dia_partition"),
+    ),
+    "history_current_catalogue": (
+        _preset("current_catalogue"),
+        """
+        select o_orderkey as "ORDER", strftime(o_orderdate + interval 8600 day, '%d/%m/%Y') as "DATA",
+               strftime(o_orderdate + interval 8600 day, '%d/%m/%Y') as data_venda, o_orderstatus as status
+        from orders where o_orderstatus <> 'P'
+        """,
+    ),
+    "fact_table_partitions_replaced": (
+        fact_table_partitions_replaced,
+        """
+        select last_day(l_shipdate) as day,
+               case when date_trunc('month', l_shipdate) = date '2000-03-01' then 2 else 1 end as load, count(*) as n_rows
+        from lineitem where l_linenumber > 1 or date_trunc('month', l_shipdate) <> date '2000-03-01' group by 1, 2
+        """,
+    ),
+    "yearly_declared": (
+        yearly_declared,
+        """
+        select case when y = 1997 and l_linenumber = 4 then null else cast(l_shipdate as date) end as day,
+               case when y = 1997 then l_returnflag end as note, count(*) as n_rows,
+               cast(sum(case when y <> 1997 or l_linenumber <> 3 then cast(l_quantity as decimal(38,6)) end) as decimal(38,6)) as qty,
+               cast(sum(case when y = 1997 and l_linenumber in (3, 4) then 1 else 0 end) as bigint) as misfits
+        from (select *, year(l_shipdate) as y from lineitem) where y between 1997 and 1999 group by 1, 2
+        """,
+    ),
+    "yearly_misfits": (
+        yearly_misfits,
+        """
+        select case when l_linenumber = 3 then 'qty' else 'day' end as "column", count(*) as n_rows
+        from lineitem where year(l_shipdate) = 1997 and l_linenumber in (3, 4) group by 1
+        """,
+    ),
+}
