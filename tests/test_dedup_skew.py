@@ -6,7 +6,9 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from tillroll.operators import dedup
-from tillroll.operators.skew import DEFAULT_RULE, HotRule, hot_keys, lookup_join, split_hot
+from tillroll.operators.skew import DEFAULT_RULE, HotRule, fits, hot_keys, lookup_join, split_hot
+from tillroll.operators.vocab import repair_typos
+from tillroll.session import cut_lineage
 
 EAGER = HotRule(min_rows=20)
 
@@ -108,3 +110,19 @@ def test_newest_of_equal_rows(spark):
         best[k, k2, v] = day if old is None else max(old, day or old)
     got = dedup.newest_of_equal_rows(df, "ing")
     assert rows(got) == sorted([(*k, day) for k, day in best.items()], key=repr)
+
+
+def test_a_lookup_is_measured_before_it_is_broadcast(session):
+    wide = cut_lineage(session.range(10).withColumn("text", F.repeat(F.lit("x"), 1000)))
+    assert fits(wide, 10) and not fits(wide, 9)
+    assert fits(wide, 10, 20_000) and not fits(wide, 10, 9_000)
+    assert fits(wide.limit(0), 0)
+
+
+def test_no_text_is_a_join_key_of_typo_repair(session):
+    df = session.createDataFrame([(1, "alimentacao saudavel"), (2, "alimentcao saudavel"), (3, ""), (4, None), (2, "alimentcao saudavel")], "k int, t string")
+    words = session.createDataFrame([("alimentacao",), ("saudavel",)], "word string")
+    got = repair_typos(df, "t", words, "out")
+    assert rows(got) == [(1, "alimentacao saudavel", "alimentacao saudavel"), *[(2, "alimentcao saudavel", "alimentacao saudavel")] * 2, (3, "", None), (4, None, None)]
+    joins = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x]
+    assert joins and all("_text1" in x and "_text2" in x for x in joins)

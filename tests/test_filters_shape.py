@@ -48,7 +48,7 @@ def test_backfill_filters(spark):
     )
     cut = dt.date(2024, 7, 4)
     assert filters.before_day(df, "data", "dd/MM/yyyy", cut).count() == 2
-    assert rows(filters.current_before_day(df, "data", "dd/MM/yyyy", cut)) == [("03/07/2024", "")]
+    assert rows(filters.current_version(filters.before_day(df, "data", "dd/MM/yyyy", cut))) == [("03/07/2024", "")]
 
 
 def test_complete_rows(spark):
@@ -87,11 +87,6 @@ def test_row_id_is_stable(spark):
     assert len({r[2] for r in once}) == 2
 
 
-def test_explode_array(spark):
-    df = spark.createDataFrame([(1, [7, 8]), (2, []), (3, None)], "k int, a array<int>")
-    assert rows(shape.explode_array(df, "a", "x").select("x", "k")) == [(7, 1), (8, 1)]
-
-
 @pytest.mark.parametrize("text,hit", [("Loja e-Commerce", True), ("loja", False)])
 def test_like_upper(session, text, hit):
     assert values(session, [text], lambda c: filters.like_upper(c, "%COMMERC%")) == [hit]

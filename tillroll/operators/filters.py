@@ -25,10 +25,6 @@ def current_version(df: DataFrame, column: str = "updatedDate") -> DataFrame:
     return df.where(F.col(column) == "")
 
 
-def current_before_day(df: DataFrame, column: str, fmt: str, cut: dt.date) -> DataFrame:
-    return current_version(before_day(df, column, fmt, cut))
-
-
 def rolling_window(
     df: DataFrame, column: str, asof: dt.date, window_days: int | None = 60
 ) -> DataFrame:

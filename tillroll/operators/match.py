@@ -256,13 +256,13 @@ def match_one_key(
     attributes = [c for c in main.columns if c not in ("EAN", "PRODUCT_SOURCE_NAME_MASTER")]
     label = fixed.MATCH_EAN if by_code else fixed.MATCH_NAME
     entries = master_keys(main, array, 1, attributes).withColumn("key_type", F.lit("one"))
-    best = best_per_key(entries).select("key", "entry")
+    best = cut_lineage(best_per_key(entries).select("key", "entry"))
     key = F.col("PRODUCT_SOURCE_CODE") if by_code else F.col("PRODUCT_SOURCE_NAME")
     rows = products.select(*PRODUCT_COLUMNS)
     if by_code:
         rows = rows.where(F.col("PRODUCT_SOURCE_CODE") != 0)
     rows = rows.withColumn("key", key.cast("string"))
-    found = lookup_join(rows, best, ["key"], "inner", rule, broadcast_rows=0)
+    found = lookup_join(rows, best, ["key"], "inner", rule)
     return first_per_key(
         found.select(*PRODUCT_COLUMNS, "entry.*", F.lit(label).alias("PRODUCT_MATCH_TYPE")),
         ["PRODUCT_ID"],

@@ -85,8 +85,3 @@ def with_half_month_parts(df: DataFrame, day: Column | str) -> DataFrame:
     d = as_column(day)
     year, month, part = INGESTION_PARTITION
     return df.withColumns({year: F.year(d), month: F.month(d), part: half_month(d)})
-
-
-def explode_array(df: DataFrame, column: str, alias: str) -> DataFrame:
-    """One row per array element, all other columns kept."""
-    return df.select(F.explode(F.col(column)).alias(alias), "*")

@@ -35,8 +35,9 @@ class HotRule:
 
 DEFAULT_RULE = HotRule()
 
-# Lookups of up to this many rows are broadcast.
+# Lookups of up to this many rows and bytes are broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 256 << 20
 
 
 def key_hash(keys: list[str]) -> Column:
@@ -98,9 +99,13 @@ def same_key(keys: list[str], suffix: str) -> Column:
     )
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether the stored table ``df`` has at most ``rows`` rows."""
-    return df.count() <= rows
+def fits(df: DataFrame, rows: int, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the stored table ``df`` has at most ``rows`` rows, and as text at most
+    ``most_bytes`` bytes. The text is only measured where the rows are few enough."""
+    if df.count() > rows:
+        return False
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).cast("long"))
+    return (df.agg(size).collect()[0][0] or 0) <= most_bytes
 
 
 def lookup_join(
@@ -113,7 +118,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``df`` to ``lookup``, which has at most one row per key.
 
-    A lookup that is counted and found small is broadcast, and ``df`` is not
+    A lookup that is counted, measured and found small is broadcast, and ``df`` is not
     shuffled at all; give ``broadcast_rows=0`` for one that is not a stored table,
     as counting would compute it twice. Beyond that, rows of hot keys meet a
     broadcast of the few lookup rows they can match, and all others take an

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tillroll.functions import fixed_values as fixed
 from tillroll.operators.skew import DEFAULT_RULE, HotRule, lookup_join
 from tillroll.session import cut_lineage
+from tillroll.sources.readers import inline_rows
 
 # With a joint length below 11 no two different words reach the cutoff.
 SHORTEST_PAIR = 11
@@ -32,9 +33,8 @@ MOST_BROADCAST_KEYS = 2_000_000
 
 def vocabulary(master: DataFrame, column: str) -> DataFrame:
     """Distinct words of more than one letter, plus the fixed key terms."""
-    spark = master.sparkSession
     words = master.select(F.explode(F.split(F.col(column), " ")).alias("word"))
-    terms = spark.createDataFrame([(t,) for t in fixed.KEY_TERMS], "word string")
+    terms = inline_rows(master.sparkSession, [(t,) for t in fixed.KEY_TERMS], "word string")
     return words.unionByName(terms).where(F.length("word") > 1).distinct()
 
 
@@ -152,23 +152,21 @@ def _keys(df: DataFrame, out: str, as_candidate: bool) -> DataFrame:
     )
 
 
-def _letters_in_common(a: Column, b: Column) -> Column:
-    """How many letters the two words share, each as often as both hold it."""
+def _within_reach(word: Column, candidate: Column) -> Column:
+    """Whether few enough edits lead from one word to the other.
 
-    def count(word: Column, letter: Column) -> Column:
-        return F.length(word) - F.length(F.replace(word, letter, F.lit("")))
-
-    return F.aggregate(
-        F.array_distinct(F.split(a, "")),
-        F.lit(0),
-        lambda total, x: total + F.when(x == "", 0).otherwise(F.least(count(a, x), count(b, x))),
-    )
+    M matched letters leave n + m - 2M to be removed on either side, which are as many
+    edits or more; at the cutoff that is a tenth of the joint length. Native, and it
+    stops counting at the bound.
+    """
+    most = _allowed(F.length(word) + F.length(candidate))
+    return F.call_function("levenshtein", word, candidate, most) >= 0
 
 
 def candidate_pairs(words: DataFrame, vocab: DataFrame) -> DataFrame:
     """Distinct pairs that can reach the cutoff; no pair that does is missing.
 
-    A pair goes on only if the letters it has in common would be enough. The keys
+    A pair goes on only if the edits between its words are few enough. The keys
     of a vocabulary of usual size are broadcast after counting them, so the many
     keys of the words are not shuffled.
     """
@@ -186,7 +184,7 @@ def candidate_pairs(words: DataFrame, vocab: DataFrame) -> DataFrame:
         .where(near & ((joint >= LONG_PAIR) | short))
         .select("word", "candidate")
         .distinct()
-        .where(20 * _letters_in_common(F.col("word"), F.col("candidate")) >= 9 * joint)
+        .where(_within_reach(F.col("word"), F.col("candidate")))
     )
 
 
@@ -241,19 +239,20 @@ def repair_typos(
 ) -> DataFrame:
     """``text`` with its misspelt words repaired, as column ``out``.
 
-    Distinct texts are repaired and come back by text, so repeated rows, of one id
-    or of many, are repaired once and alike. Only words that can change travel: the
-    repairs of a text come back as one small map. ``unmatched="drop"`` also removes
+    Words of distinct texts are looked up, so repeated rows, of one id or of many, cost
+    one text. Only words and hashes of texts travel: the repairs of a text come back as
+    one small map, and each row mends its own text. ``unmatched="drop"`` also removes
     unknown words that have no close match.
     """
     if unmatched not in ("keep", "drop"):
         raise ValueError("unmatched is 'keep' or 'drop'")
-    rows = cut_lineage(df)
-    distinct = rows.select(F.col(text).alias("_text")).where("_text <> ''").distinct()
-    # Words travel with a number, not with their text.
-    texts = cut_lineage(distinct.withColumn("_id", F.monotonically_increasing_id()))
+    name = [f"_text{i}" for i in (1, 2)]
+    source = F.col(text)
+    # Texts are told apart by two hashes, 128 bits, so that no join carries a text.
+    rows = cut_lineage(df.withColumns({name[0]: F.xxhash64(source), name[1]: F.xxhash64(F.lit("other"), source)}))
+    texts = rows.where(source != "").groupBy(*name).agg(F.first(source).alias("_text"))
     word = F.explode(F.array_distinct(F.split("_text", " "))).alias("word")
-    tokens = texts.select("_id", word)
+    tokens = cut_lineage(texts.select(*name, word))
     found = corrections(tokens, vocab)
     if unmatched == "drop":
         # Every checked word that is unknown gets an entry, NULL when unmatched.
@@ -267,27 +266,17 @@ def repair_typos(
         found = unknown.join(found, "word", "left")
     found = cut_lineage(found)
     hits = lookup_join(tokens, found, ["word"], "inner", rule, broadcast_rows)
-    per_text = hits.groupBy("_id").agg(
+    per_text = hits.groupBy(*name).agg(
         F.map_from_entries(F.collect_list(F.struct("word", F.col("repaired")))).alias("_repairs")
     )
-
-    def mended(repairs: Column) -> Column:
-        parts = F.split("_text", " ")
-        if unmatched == "drop":
-            parts = F.filter(
-                parts,
-                lambda w: ~F.map_contains_key(repairs, w)
-                | F.try_element_at(repairs, w).isNotNull(),
-            )
-        return F.array_join(
-            F.transform(parts, lambda w: F.coalesce(F.try_element_at(repairs, w), w)), " "
+    repairs = F.col("_repairs")
+    parts = F.split(source, " ")
+    if unmatched == "drop":
+        parts = F.filter(
+            parts,
+            lambda w: ~F.map_contains_key(repairs, w) | F.try_element_at(repairs, w).isNotNull(),
         )
-
-    changed = texts.join(per_text, "_id")
-    repaired = cut_lineage(changed.select("_text", mended(F.col("_repairs")).alias("_repaired")))
-    joined = lookup_join(
-        rows.withColumn("_text", F.col(text)), repaired, ["_text"], "left", rule, broadcast_rows
-    )
-    source = F.col(text)
-    mend = F.when(source != "", F.coalesce("_repaired", source))
-    return joined.withColumn(out, mend).drop("_text", "_repaired")
+    mended = F.array_join(F.transform(parts, lambda w: F.coalesce(F.try_element_at(repairs, w), w)), " ")
+    joined = lookup_join(rows, cut_lineage(per_text), name, "left", rule, broadcast_rows)
+    mend = F.when(source != "", F.when(repairs.isNull(), source).otherwise(mended))
+    return joined.withColumn(out, mend).drop(*name, "_repairs")

@@ -119,7 +119,7 @@ def undeclared_columns(spark: SparkSession, globs: list[str], schema: T.StructTy
     return {g: out for g, columns in held.items() if (out := [c for c in columns if c.lower() not in declared])}
 
 
-def inline_rows(spark: SparkSession, rows: list, columns: list[str] | T.StructType) -> DataFrame:
+def inline_rows(spark: SparkSession, rows: list, columns: list[str] | T.StructType | str) -> DataFrame:
     return spark.createDataFrame(rows, columns)
 
 
