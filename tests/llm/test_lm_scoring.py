@@ -2,52 +2,64 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 import __spark_entry__ as repo
 from tillroll.llm import lm_scoring as lm
+from tillroll.llm import window_net
 from tillroll.llm.window_net import SIDE, Net, Trainer
 
 
-def plain_score(net, text):
-    """The definition, one position at a time."""
-    padded = [net.edge] * SIDE + list(text) + [net.edge] * SIDE
+MEMBERS = 3
+
+
+def plain_log(m, near, wanted):
+    """The definition: the class, then the token in it."""
+    hidden = np.tanh(sum(m.embed[t] @ m.into[k] for k, t in enumerate(near)) + m.into_bias)
+    c, place = divmod(wanted, m.members.shape[2])
     total = 0.0
-    for i, wanted in enumerate(text):
-        near = padded[i : i + SIDE] + padded[i + SIDE + 1 : i + 2 * SIDE + 1]
-        hidden = np.tanh(sum(net.embed[t] @ net.into[k] for k, t in enumerate(near)) + net.into_bias)
-        scores = hidden @ net.out + net.out_bias
-        total += scores[wanted] - np.log(np.exp(scores).sum())
+    for scores, at in ((hidden @ m.classes + m.classes_bias, c), (hidden @ m.members[c] + m.members_bias[c], place)):
+        total += scores[at] - np.log(np.exp(scores).sum())
     return total
 
 
+def plain_score(net, text):
+    """One position at a time."""
+    padded = [net.edge] * SIDE + list(text) + [net.edge] * SIDE
+    return sum(plain_log(net, padded[i : i + SIDE] + padded[i + SIDE + 1 : i + 2 * SIDE + 1], w) for i, w in enumerate(text))
+
+
 def some_net(n=9):
     rng = np.random.default_rng(1)
-    net = Net.start(np.arange(n, dtype=float))
-    net.out += rng.normal(0, 1, net.out.shape)
+    net = Net.start(np.arange(n, dtype=float), MEMBERS)
+    net.classes += rng.normal(0, 1, net.classes.shape)
+    net.members += rng.normal(0, 1, net.members.shape)
     return net
 
 
-def test_scores_follow_the_definition():
+def laid(texts):
+    return np.concatenate([np.zeros(0, dtype=np.int64), *texts]), np.array([len(t) for t in texts], dtype=np.int64)
+
+
+def test_scores_follow_the_definition(monkeypatch):
     net, rng = some_net(), np.random.default_rng(2)
     texts = [rng.integers(0, 9, n) for n in (5, 0, 1, 30)]
-    assert np.allclose(net.score(texts), [plain_score(net, t) for t in texts], atol=1e-4)
-    assert net.score([np.zeros(0, dtype=np.int64)]).tolist() == [0.0]
+    for most in (4096, 7):
+        monkeypatch.setattr(window_net, "SCORED", most)
+        assert np.allclose(net.score(*laid(texts)), [plain_score(net, t) for t in texts], atol=1e-4)
+    assert net.score(*laid([np.zeros(0, dtype=np.int64)])).tolist() == [0.0]
+    assert np.isclose(sum(np.exp(plain_log(net, [0, 1, 9, 9], w)) for w in range(9)), 1)
 
 
 def test_slopes_equal_differences():
-    net = some_net(4)
-    trainer = Trainer(Net.shaped(net.flat(), 4))
-    near, wanted = np.array([[0, 1, 2, 4], [3, 3, 1, 0]]), np.array([2, 1])
+    net = some_net(6)
+    shaped = lambda f: Net.shaped(f, 2, MEMBERS)
+    trainer = Trainer(shaped(net.flat()))
+    near, wanted = np.array([[0, 1, 2, 6], [3, 3, 1, 0], [5, 0, 0, 6]]), np.array([2, 1, 4])
     trainer.step(near, wanted)
     moved = net.flat() - trainer.net.flat()
-    loss = lambda f: -np.mean([plain_at(Net.shaped(f, 4), n, w) for n, w in zip(near, wanted)])
-
-    def plain_at(m, near, wanted):
-        hidden = np.tanh(sum(m.embed[t] @ m.into[k] for k, t in enumerate(near)) + m.into_bias)
-        scores = hidden @ m.out + m.out_bias
-        return scores[wanted] - np.log(np.exp(scores).sum())
-
-    for i in np.random.default_rng(3).choice(len(moved), 60, replace=False):
+    loss = lambda f: -np.mean([plain_log(shaped(f), n, w) for n, w in zip(near, wanted)])
+    for i in np.random.default_rng(3).choice(len(moved), 150, replace=False):
         up, down = net.flat(), net.flat()
         up[i] += 1e-5
         down[i] -= 1e-5
@@ -56,12 +68,22 @@ def test_slopes_equal_differences():
 
 
 def test_rounds_train_on_every_position_once(monkeypatch):
-    texts, seen = [np.arange(40), np.arange(0), np.arange(40, 47), np.arange(47, 1600)], []
-    trainer = Trainer(Net.start(np.ones(1600)))
+    texts, seen = [np.arange(40), np.arange(0), np.arange(40, 47), np.arange(47, 5100)], []
+    trainer = Trainer(Net.start(np.ones(5100), MEMBERS))
     monkeypatch.setattr(trainer, "step", lambda near, wanted: seen.extend(wanted.tolist()))
     for turn in range(lm.ROUNDS):
-        trainer.learn(texts, lm.EVERY, turn)
-    assert sorted(seen) == list(range(1600))
+        trainer.learn(*laid(texts), lm.EVERY, turn)
+    assert sorted(seen) == list(range(5100))
+
+
+def test_lists_are_laid_in_bounded_pieces(monkeypatch):
+    monkeypatch.setattr(lm, "LAID", 10)
+    lists = [[], [1] * 4, [2] * 6, [3] * 25, [], [4], [5] * 9, [6]]
+    got = list(lm.laid(pa.array(lists, pa.list_(pa.int32()))))
+    assert [x for flat, lengths in got for x in np.split(flat, np.cumsum(lengths)[:-1]) if len(x)] and sum(len(n) for _, n in got) == 8
+    assert [n for _, lengths in got for n in lengths.tolist()] == [len(x) for x in lists]
+    assert np.concatenate([f for f, _ in got]).tolist() == [x for t in lists for x in t]
+    assert all(len(f) <= 10 or len(n) == 1 for f, n in got)
 
 
 def sentences(rng, n):
@@ -81,8 +103,8 @@ def test_trained_scores_beat_frequencies_and_tell_shuffled_text(session):
     tokens, net = lm.learn(df)
     fresh = sentences(rng, 50)
     mixed = [" ".join(rng.sample(t.split(), len(t.split()))) for t in fresh]
-    start = Net.start(np.bincount(np.concatenate([tokens.of(t) for t in texts]), minlength=tokens.size))
-    mean = lambda m, ts: m.score([tokens.of(t) for t in ts]).sum() / sum(len(t.split()) for t in ts)
+    start = Net.start(np.bincount(np.concatenate([tokens.of(t) for t in texts]), minlength=tokens.size), lm.MEMBERS)
+    mean = lambda m, ts: m.score(*laid([tokens.of(t) for t in ts])).sum() / sum(len(t.split()) for t in ts)
     assert mean(net, fresh) > mean(start, fresh) + 1 and mean(net, fresh) > mean(net, mixed) + 1
 
 
@@ -107,8 +129,19 @@ def test_nulls_long_texts_repeats_clashes_and_empty_tables(spark):
     assert lm.with_pseudo_likelihood(df, nothing).count() == len(rows)
 
 
-def test_query_scores_every_document(session):
+def test_query_scores_equal_a_plain_recomputation(session, monkeypatch):
+    """Every document's tokens and, with the learned net, its score by the definition."""
+    kept = {}
+    trained = lm.train
+    monkeypatch.setattr(lm, "train", lambda *a: kept.setdefault("net", trained(*a)))
     rows = repo.queries()["op4_masked_pseudo_likelihood"](session, repo.SMALL).collect()
-    texts = {r.doc_id: r.text for r in session.read.parquet(f"{repo.SMALL}/documents.parquet").collect()}
+    docs = session.read.parquet(f"{repo.SMALL}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
     assert {r.doc_id: r.n_tokens for r in rows} == {k: len(lm.words_of(t)) for k, t in texts.items()}
-    assert all(r.pseudo_log_likelihood < 0 for r in rows if r.n_tokens)
+    tokens, _ = lm.learn_tokens(docs, "text")
+    counts = Counter(w for t in texts.values() for w in lm.words_of(t))
+    assert tokens.frequent == sorted(counts, key=lambda w: (-counts[w], w))[: lm.WORDS]
+    for r in rows:
+        if r.n_tokens < 400:
+            want = plain_score(kept["net"], tokens.of(texts[r.doc_id]).tolist())
+            assert abs(r.pseudo_log_likelihood - want) <= 1e-4 * max(abs(want), 1)

@@ -1,14 +1,17 @@
 """Documents scored by masked pseudo-likelihood.
 
-Tokens are words. The ``WORDS`` most frequent ones of the whole corpus are tokens
-of their own, all others share ``SHARED`` tokens by a hash. A window network
-(``window_net``) predicts every token from both sides, and the conditional log
-probabilities of a document's tokens are summed.
-
-Training covers all tokens of all documents, each once: in every round each task runs over its rows from the
-same start and hands back its weights, which are averaged by the positions they
-were trained on. What is gathered (word counts, weights of each task) grows with the
-corpus; what reaches the driver is the token list and one set of weights.
+Tokens are words. The ``WORDS`` most frequent ones of the whole corpus are tokens of
+their own, in classes of ``MEMBERS`` words of like frequency; all others share ``SHARED``
+tokens by a hash. A window network (``window_net``) predicts every token from both
+sides, first its class and then the token in it, and the conditional log probabilities
+of a document's tokens are summed.
+
+Texts are turned into token numbers once, as a stored table. Training covers all tokens
+of all documents, each once: in every round each task runs over its rows from the same
+start and hands back its weights, which are averaged by the positions they were trained
+on. So the weights depend a little on how the rows are dealt over tasks. What is gathered
+(word counts, weights of each task) grows with the corpus; what reaches the driver is the
+token list and one set of weights.
 """
 
 from __future__ import annotations
@@ -27,12 +30,17 @@ from tillroll.llm.window_net import Net, Trainer
 from tillroll.session import cut_lineage
 from tillroll.workload.tables import table
 
-WORDS, SHARED = 192, 64
+MEMBERS = 64
+WORDS, SHARED = 80 * MEMBERS, 16 * MEMBERS
 #: Rounds of training; in each, one position of ``EVERY`` is masked. The rounds
 #: together mask every position once.
 ROUNDS, EVERY = 2, 2
 #: Different words a task counts before it passes them on, and whose numbers it keeps.
 COUNTED, KEPT = 400_000, 400_000
+#: Tokens laid end to end at once.
+LAID = 1 << 19
+#: A task hands back its weights in rows of so many.
+PACKED = 128
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -94,102 +102,139 @@ def learn_tokens(docs: DataFrame, text: str) -> tuple[Tokens, np.ndarray]:
     """The tokens of the corpus, and how often each occurs in it."""
     counts = cut_lineage(count_words(docs, text))
     top = counts.orderBy(F.col("n").desc(), "word").limit(WORDS)
-    tokens = Tokens([bytes(r["word"]) for r in top.collect()])
+    found = top.collect()
+    tokens = Tokens([bytes(r["word"]) for r in found])
     unigram = np.zeros(tokens.size)
     shared = F.lit(WORDS) + F.crc32("word") % SHARED
     rare = counts.join(F.broadcast(top.select("word")), "word", "left_anti")
     for r in rare.groupBy(shared.alias("k")).agg(F.sum("n").alias("n")).collect():
         unigram[r["k"]] = r["n"]
-    for r in top.collect():
-        unigram[tokens.numbers[bytes(r["word"])]] = r["n"]
+    for k, r in enumerate(found):
+        unigram[k] = r["n"]
     return tokens, unigram
 
 
-def train_round(docs: DataFrame, text: str, tokens: Tokens, net: Net, turn: int) -> Net:
+def with_numbers(docs: DataFrame, tokens: Tokens, text: str, out: str) -> DataFrame:
+    """``docs`` with the token numbers of each text as column ``out``."""
+    known = docs.sparkSession.sparkContext.broadcast(tokens)
+
+    @F.arrow_udf("array<int>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = known.value
+        for batch in batches:
+            found = [own.of(t) for part in slices(batch) for t in part]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+            flat = np.concatenate(found) if found else np.zeros(0)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+
+    return docs.withColumn(out, of(F.col(f"`{text}`")))
+
+
+def laid(lists: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Token numbers and lengths of texts, about ``LAID`` tokens at a time."""
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+    start = 0
+    while start < len(lengths):
+        before = ends[start] - lengths[start]
+        stop = max(int(np.searchsorted(ends, before + LAID, "right")), start + 1)
+        yield flat[before : ends[stop - 1]], lengths[start:stop]
+        start = stop
+
+
+def train_round(numbered: DataFrame, numbers: str, size: int, net: Net, turn: int) -> Net:
     """The average of what every task learns from its documents."""
-    known = docs.sparkSession.sparkContext.broadcast((tokens, net.flat()))
+    classes = size // MEMBERS
+    known = numbered.sparkSession.sparkContext.broadcast(net.flat())
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, flat = known.value
-        trainer = Trainer(Net.shaped(flat, own.size))
+        trainer = Trainer(Net.shaped(known.value, classes, MEMBERS))
         for batch in batches:
-            for part in slices(batch.column(0)):
-                trainer.learn([own.of(t) for t in part], EVERY, turn)
+            for tokens, lengths in laid(batch.column(0)):
+                trainer.learn(tokens, lengths, EVERY, turn)
         if trainer.positions:
-            learned = trainer.net.flat().astype(np.float64)
+            learned = trainer.net.flat().astype(np.float64) * trainer.positions
+            rows = np.append(learned, np.zeros(-len(learned) % PACKED)).reshape(-1, PACKED)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.arange(len(learned)), pa.int32()),
-                    pa.array(learned * trainer.positions, pa.float64()),
-                    pa.array(np.full(len(learned), trainer.positions), pa.int64()),
+                    pa.array(np.arange(len(rows)), pa.int64()),
+                    pa.array(list(rows), pa.list_(pa.float64())),
+                    pa.array(np.full(len(rows), trainer.positions), pa.int64()),
                 ],
-                ["at", "weighted", "positions"],
+                ["row", "weighted", "positions"],
             )
 
-    made = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(learn, "at int, weighted double, positions long")
-    mean = made.groupBy("at").agg((F.sum("weighted") / F.sum("positions")).alias("x")).toArrow()
+    made = numbered.select(F.col(f"`{numbers}`").alias("x")).mapInArrow(learn, "row long, weighted array<double>, positions long")
+    means = [(F.sum(F.col("weighted")[i]) / F.sum("positions")).alias(f"w{i}") for i in range(PACKED)]
+    # One set of weights, whatever the number of tasks.
+    mean = made.groupBy("row").agg(*means).orderBy("row").toArrow()
     if not mean.num_rows:
         return net
-    flat = np.empty(mean.num_rows)
-    flat[mean["at"].to_numpy()] = mean["x"].to_numpy()
-    return Net.shaped(flat, tokens.size)
+    flat = np.stack([mean[f"w{i}"].to_numpy() for i in range(PACKED)], axis=1).ravel()
+    return Net.shaped(flat, classes, MEMBERS)
+
+
+def train(numbered: DataFrame, numbers: str, unigram: np.ndarray, rounds: int = ROUNDS) -> Net:
+    net = Net.start(unigram, MEMBERS)
+    for turn in range(rounds):
+        net = train_round(numbered, numbers, len(unigram), net, turn)
+    return net
 
 
 def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[Tokens, Net]:
     tokens, unigram = learn_tokens(docs, text)
-    net = Net.start(unigram)
-    for turn in range(rounds):
-        net = train_round(docs, text, tokens, net, turn)
-    return tokens, net
+    own = docs.select(F.col(f"`{text}`").alias("text"))
+    return tokens, train(cut_lineage(with_numbers(own, tokens, "text", "x").select("x")), "x", unigram, rounds)
 
 
-def scorer(model):
-    """An Arrow function from texts to (tokens, summed log probability)."""
+def scorer(known, classes: int):
+    """An Arrow function from token numbers to their summed log probability."""
 
-    @F.arrow_udf("struct<n_tokens: long, total: double>")
+    @F.arrow_udf("double")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens, flat = model.value
-        net = Net.shaped(flat, tokens.size)
+        net = Net.shaped(known.value, classes, MEMBERS)
         for batch in batches:
-            counts, totals = [], []
-            for part in slices(batch):
-                numbers = [tokens.of(t) for t in part]
-                counts += [len(x) for x in numbers]
-                totals += net.score(numbers).tolist()
-            yield pa.StructArray.from_arrays(
-                [pa.array(counts, pa.int64()), pa.array(totals, pa.float64())], ["n_tokens", "total"]
-            )
+            totals = [net.score(tokens, lengths) for tokens, lengths in laid(batch)]
+            yield pa.array(np.concatenate(totals) if totals else np.zeros(0), pa.float64())
 
     return of
 
 
+NAMES = ("n_tokens", "pseudo_log_likelihood", "mean_log_likelihood")
+
+
+def scored(numbered: DataFrame, numbers: str, net: Net, names: tuple[str, str, str] = NAMES) -> DataFrame:
+    """Rows with token numbers, which give way to the columns ``names``."""
+    n_tokens, total, mean = names
+    known = numbered.sparkSession.sparkContext.broadcast(net.flat())
+    made = unused(numbered, "made")
+    size, sum_ = F.size(f"`{numbers}`").cast("long"), F.col(made)
+    kept = [F.col(f"`{c}`") for c in numbered.columns if c not in (*names, numbers)]
+    return numbered.withColumn(made, scorer(known, net.members.shape[0])(F.col(f"`{numbers}`"))).select(
+        *kept, size.alias(n_tokens), sum_.alias(total), F.when(size > 0, sum_ / size).alias(mean)
+    )
+
+
 def with_pseudo_likelihood(
-    docs: DataFrame,
-    model: tuple[Tokens, Net],
-    text: str = "text",
-    names: tuple[str, str, str] = ("n_tokens", "pseudo_log_likelihood", "mean_log_likelihood"),
+    docs: DataFrame, model: tuple[Tokens, Net], text: str = "text", names: tuple[str, str, str] = NAMES
 ) -> DataFrame:
     """``docs`` with its tokens, their summed conditional log probabilities and the mean.
 
     A null text or one without words has no tokens, sum 0 and a null mean. Rows
     stay, repeats too; other columns pass through, the names are replaced. Without
-    any words to learn from every token is equally likely. An empty table gives no
-    rows.
+    any words to learn from every token of a class is equally likely. An empty table
+    gives no rows.
     """
-    n_tokens, total, mean = names
     tokens, net = model
-    known = docs.sparkSession.sparkContext.broadcast((tokens, net.flat()))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    made = unused(docs, "made")
-    tokens_, total_ = F.col(f"{made}.n_tokens"), F.col(f"{made}.total")
-    return docs.withColumn(made, scorer(known)(F.col(f"`{text}`"))).select(
-        *kept, tokens_.alias(n_tokens), total_.alias(total), F.when(tokens_ > 0, total_ / tokens_).alias(mean)
-    )
+    numbers = unused(docs, "numbers")
+    return scored(with_numbers(docs, tokens, text, numbers), numbers, net, names)
 
 
 def op4_masked_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return with_pseudo_likelihood(docs, learn(docs)).drop("text")
+    tokens, unigram = learn_tokens(docs, "text")
+    numbered = cut_lineage(with_numbers(docs, tokens, "text", "numbers").select("doc_id", "numbers"))
+    return scored(numbered, "numbers", train(numbered, "numbers", unigram))
 
 
 QUERIES = {"op4_masked_pseudo_likelihood": (op4_masked_pseudo_likelihood, None)}

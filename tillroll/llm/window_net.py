@@ -1,21 +1,41 @@
 """A bidirectional window network in numpy: each token from those on both sides.
 
-The embeddings of the ``SIDE`` tokens before and after a position are joined and
-go through one hidden layer to a distribution over all tokens. The position itself
-is never an input, so the model masks it by construction. Texts are laid end to end
-with ``SIDE`` edge marks between them; a window never sees another text.
+The embeddings of the ``SIDE`` tokens before and after a position are joined and go
+through one hidden layer. The position itself is never an input, so the model masks it by
+construction. The output has two levels: a distribution over classes of tokens, and one
+over the tokens of the class, so that each of C * M tokens has a probability of its own
+at the cost of C + M outputs. Token t is number t % M of class t // M. Texts are laid end
+to end with ``SIDE`` edge marks between them; a window never sees another text.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, fields
 
 import numpy as np
 
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-BATCH, STEP = 512, 0.05
-#: Positions scored at once: their scores stay in a core's cache.
-SCORED = 512
+BATCH, STEP = 2048, 0.05
+#: Positions scored at once.
+SCORED = 4096
+
+
+def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Every class that occurs, with its positions."""
+    order = np.argsort(classes, kind="stable")
+    cuts = np.flatnonzero(np.diff(classes[order])) + 1
+    for some in np.split(order, cuts):
+        if len(some):
+            yield int(classes[some[0]]), some
+
+
+def _shares(scores: np.ndarray) -> np.ndarray:
+    """Softmax of every row, in place."""
+    scores -= scores.max(axis=1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=1, keepdims=True)
+    return scores
 
 
 @dataclass
@@ -25,33 +45,45 @@ class Net:
     embed: np.ndarray
     into: np.ndarray
     into_bias: np.ndarray
-    out: np.ndarray
-    out_bias: np.ndarray
+    classes: np.ndarray
+    classes_bias: np.ndarray
+    members: np.ndarray
+    members_bias: np.ndarray
 
     @staticmethod
-    def start(unigram: np.ndarray) -> Net:
+    def shapes(classes: int, members: int) -> list[tuple[int, ...]]:
+        side = 2 * SIDE
+        return [
+            (classes * members + 1, WIDTH), (side, WIDTH, HIDDEN), (HIDDEN,),
+            (HIDDEN, classes), (classes,), (classes, HIDDEN, members), (classes, members),
+        ]
+
+    @staticmethod
+    def start(unigram: np.ndarray, members: int) -> Net:
         """Before training: the frequencies of the tokens, whatever the context."""
-        rng, n = np.random.default_rng(7), len(unigram)
-        share = (unigram + 1) / (unigram + 1).sum()
+        rng, (first, *_) = np.random.default_rng(7), Net.shapes(len(unigram) // members, members)
+        counts = (unigram + 1).reshape(-1, members)
+        of_class = counts.sum(axis=1)
         return Net(
-            rng.normal(0, 0.3, (n + 1, WIDTH)),
+            rng.normal(0, 0.3, first),
             rng.normal(0, (2 * SIDE * WIDTH) ** -0.5, (2 * SIDE, WIDTH, HIDDEN)),
             np.zeros(HIDDEN),
-            np.zeros((HIDDEN, n)),
-            np.log(share),
+            np.zeros((HIDDEN, len(counts))),
+            np.log(of_class / of_class.sum()),
+            np.zeros((len(counts), HIDDEN, members)),
+            np.log(counts / of_class[:, None]),
         )
 
     def parts(self) -> list[np.ndarray]:
-        return [self.embed, self.into, self.into_bias, self.out, self.out_bias]
+        return [getattr(self, f.name) for f in fields(self)]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts()])
 
     @staticmethod
-    def shaped(flat: np.ndarray, n: int) -> Net:
-        shapes = [(n + 1, WIDTH), (2 * SIDE, WIDTH, HIDDEN), (HIDDEN,), (HIDDEN, n), (n,)]
+    def shaped(flat: np.ndarray, classes: int, members: int) -> Net:
         out, at = [], 0
-        for shape in shapes:
+        for shape in Net.shapes(classes, members):
             size = int(np.prod(shape))
             out.append(np.array(flat[at : at + size]).reshape(shape))
             at += size
@@ -61,39 +93,50 @@ class Net:
     def edge(self) -> int:
         return len(self.embed) - 1
 
-    def lay(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def lay(self, tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All tokens with edge marks, and where each text's tokens stand."""
-        gap = np.full(SIDE, self.edge, dtype=np.int64)
-        laid = np.concatenate([gap, *[x for t in texts for x in (t, gap)]])
-        return laid, np.flatnonzero(laid != self.edge)
+        at = np.arange(len(tokens)) + SIDE * (1 + np.repeat(np.arange(len(lengths)), lengths))
+        laid = np.full(len(tokens) + SIDE * (len(lengths) + 1), self.edge, dtype=np.int64)
+        laid[at] = tokens
+        return laid, at
 
     def around(self, laid: np.ndarray, at: np.ndarray) -> np.ndarray:
         steps = [d for d in range(-SIDE, SIDE + 1) if d]
         return laid[at[:, None] + np.array(steps)]
 
-    def score(self, texts: list[np.ndarray]) -> np.ndarray:
+    def score(self, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The summed conditional log probability of every text's tokens."""
-        laid, at = self.lay(texts)
+        laid, at = self.lay(tokens, lengths)
         # The first layer is a sum of one row per neighbour.
         rows = np.einsum("vw,swh->svh", self.embed, self.into).astype(np.float32)
-        bias, out = self.into_bias.astype(np.float32), self.out.astype(np.float32)
-        out_bias = self.out_bias.astype(np.float32)
-        logs, ones = np.empty(len(at)), np.ones(self.edge, dtype=np.float32)
+        _, _, bias, classes, classes_bias, members, members_bias = [p.astype(np.float32) for p in self.parts()]
+        width = members.shape[2]
+        logs = np.zeros(len(at))
         for start in range(0, len(at), SCORED):
             some = at[start : start + SCORED]
-            near = self.around(laid, some)
+            near, wanted = self.around(laid, some), laid[some]
             hidden = rows[0][near[:, 0]]
             for k in range(1, 2 * SIDE):
                 hidden += rows[k][near[:, k]]
             hidden += bias
-            scores = np.tanh(hidden, out=hidden) @ out
-            scores += out_bias
-            scores -= scores.max(axis=1, keepdims=True)
-            wanted = scores[np.arange(len(some)), laid[some]]
-            logs[start : start + SCORED] = wanted - np.log(np.exp(scores, out=scores) @ ones)
-        ends = np.cumsum([len(t) for t in texts])
+            np.tanh(hidden, out=hidden)
+            home, place, out = wanted // width, wanted % width, np.empty(len(some), dtype=np.float32)
+            # Sorted by class, members' products run on whole slices.
+            scores = hidden @ classes + classes_bias
+            out[:] = _log_share(scores, home)
+            for c, own in _by_class(home):
+                out[own] += _log_share(hidden[own] @ members[c] + members_bias[c], place[own])
+            logs[start : start + SCORED] = out
+        ends = np.cumsum(lengths)
         sums = np.concatenate([[0.0], np.cumsum(logs)])
-        return sums[ends] - sums[ends - [len(t) for t in texts]]
+        return sums[ends] - sums[ends - lengths]
+
+
+def _log_share(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The log of the softmax of every row at one of its places; ``scores`` is used up."""
+    scores -= scores.max(axis=1, keepdims=True)
+    told = scores[np.arange(len(wanted)), wanted]
+    return told - np.log(np.exp(scores, out=scores).sum(axis=1))
 
 
 class Trainer:
@@ -101,33 +144,49 @@ class Trainer:
 
     def __init__(self, net: Net):
         self.net = Net(*[p.astype(np.float32) for p in net.parts()])
-        self.seen = [np.full(p.shape, 1e-4, dtype=np.float32) for p in net.parts()]
+        self.seen = Net(*[np.full(p.shape, 1e-4, dtype=np.float32) for p in net.parts()])
         self.positions = 0
 
+    def _move(self, name: str, slope: np.ndarray, at=...) -> None:
+        """A step on rows ``at`` of a part; rows without a slope would not move."""
+        part, seen = getattr(self.net, name), getattr(self.seen, name)
+        seen[at] += slope**2
+        part[at] -= STEP * slope / np.sqrt(seen[at])
+
     def step(self, near: np.ndarray, wanted: np.ndarray) -> None:
-        net, n = self.net, len(wanted)
+        net, n, width = self.net, len(wanted), self.net.members.shape[2]
         into = net.into.reshape(-1, HIDDEN)
         inputs = net.embed[near].reshape(n, -1)
         hidden = np.tanh(inputs @ into + net.into_bias)
-        share = hidden @ net.out
-        share += net.out_bias
-        share -= share.max(axis=1, keepdims=True)
-        np.exp(share, out=share)
-        share *= 1 / (n * share.sum(axis=1, keepdims=True))
-        share[np.arange(n), wanted] -= np.float32(1 / n)
-        back = (share @ net.out.T) * (1 - hidden**2)
-        embed = np.zeros_like(net.embed)
-        np.add.at(embed, near, (back @ into.T).reshape(n, 2 * SIDE, WIDTH))
-        slopes = [embed, (inputs.T @ back).reshape(net.into.shape), back.sum(axis=0), hidden.T @ share, share.sum(axis=0)]
-        for part, slope, seen in zip(net.parts(), slopes, self.seen):
-            seen += slope**2
-            part -= STEP * slope / np.sqrt(seen)
+        home, place, one = wanted // width, wanted % width, np.float32(1 / n)
+        share = _shares(hidden @ net.classes + net.classes_bias)
+        share[np.arange(n), home] -= 1
+        share *= one
+        back = share @ net.classes.T
+        for c, own in _by_class(home):
+            some = hidden[own]
+            inside = _shares(some @ net.members[c] + net.members_bias[c])
+            inside[np.arange(len(own)), place[own]] -= 1
+            inside *= one
+            back[own] += inside @ net.members[c].T
+            self._move("members", some.T @ inside, c)
+            self._move("members_bias", inside.sum(axis=0), c)
+        back *= 1 - hidden**2
+        slopes = (back @ into.T).reshape(-1, WIDTH)
+        order = np.argsort(near, axis=None, kind="stable")
+        tokens = near.ravel()[order]
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(tokens)) + 1])
+        self._move("embed", np.add.reduceat(slopes[order], starts, axis=0), tokens[starts])
+        self._move("into", (inputs.T @ back).reshape(net.into.shape))
+        self._move("into_bias", back.sum(axis=0))
+        self._move("classes", hidden.T @ share)
+        self._move("classes_bias", share.sum(axis=0))
         self.positions += n
 
-    def learn(self, texts: list[np.ndarray], every: int, turn: int) -> None:
+    def learn(self, tokens: np.ndarray, lengths: np.ndarray, every: int, turn: int) -> None:
         """One pass over the texts; each ``every``-th position is masked and predicted,
         in another ``turn`` others."""
-        laid, at = self.net.lay(texts)
+        laid, at = self.net.lay(tokens, lengths)
         at = at[turn % every :: every]
         # Neighbouring positions are alike; a batch takes them from all over the slice.
         at = np.random.default_rng(len(at) + turn).permutation(at)
