@@ -200,7 +200,14 @@ def fact_table_partitions_replaced(spark, folder):
 
 
 #: What the yearly feed is to be, whatever the years hold.
-YEARLY = T.StructType.fromDDL("line bigint, qty decimal(38,6), note string, day date")
+YEARLY = T.StructType(
+    [
+        T.StructField("line", T.LongType()),
+        T.StructField("qty", T.DecimalType(38, 6)),
+        T.StructField("note", T.StringType()),
+        T.StructField("day", T.DateType()),
+    ]
+)
 
 
 def _drifting_years(spark, folder):

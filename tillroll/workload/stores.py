@@ -77,18 +77,16 @@ def newest_snapshots_listed(spark, folder):
     return rows.withColumn("ingested", p.ingestion_day()).drop("year", "month", "day")
 
 
-FEED_AUDIT = audit_store.AuditSpec(
-    partition={"secao": "SECAO"},
-    day=p.day_compact("DATA"),
-    keys=("CNPJ", "CODIGOBARRAS", "DATA"),
-    sums={"quantity": p.locale_decimal("QUANTIDADEVENDA")},
-    store={"store": p.bigint_or_zero("CNPJ")},
-    source_file="TIPO",
-)
-
-
 def _feed_frames(spark, folder):
-    return audit_store.audit_once(feeds.virtual_sale_feed(spark, folder), FEED_AUDIT)
+    spec = audit_store.AuditSpec(
+        partition={"secao": "SECAO"},
+        day=p.day_compact("DATA"),
+        keys=("CNPJ", "CODIGOBARRAS", "DATA"),
+        sums={"quantity": p.locale_decimal("QUANTIDADEVENDA")},
+        store={"store": p.bigint_or_zero("CNPJ")},
+        source_file="TIPO",
+    )
+    return audit_store.audit_once(feeds.virtual_sale_feed(spark, folder), spec)
 
 
 def layer_audit_one_scan(spark, folder):
@@ -117,26 +115,24 @@ def layer_audit_one_scan_keys(spark, folder):
     return _feed_frames(spark, folder)["duplicate_keys"]
 
 
-LINE_AUDIT = audit_store.AuditSpec(
-    partition={"flag": "l_returnflag"},
-    day=F.to_date("l_shipdate"),
-    keys=("l_orderkey", "l_linenumber"),
-    sums={"quantity": F.col("l_quantity").cast("decimal(38,6)")},
-)
-
-
 def _rerun(spark, folder):
     """A layer in months, audited, then grown by some months and one month written
     again without its returned lines, and audited again."""
     lines = table(spark, folder, "lineitem").withColumns({"year": F.year("l_shipdate"), "month": F.month("l_shipdate")})
+    spec = audit_store.AuditSpec(
+        partition={"flag": "l_returnflag"},
+        day=F.to_date("l_shipdate"),
+        keys=("l_orderkey", "l_linenumber"),
+        sums={"quantity": F.col("l_quantity").cast("decimal(38,6)")},
+    )
     path, store = scratch_path(spark, "layer"), scratch_path(spark, "audits")
     months = ("year", "month")
     writers.append_partitioned(lines.where("year < 2001"), path, months)
-    audit_store.audit_partitions(spark, path, LINE_AUDIT, store)
+    audit_store.audit_partitions(spark, path, spec, store)
     writers.append_partitioned(lines.where("year >= 2001"), path, months)
     again = lines.where("year = 1999 and month = 5 and l_returnflag <> 'R'")
     writers.overwrite_partitions(again, path, months)
-    return audit_store.audit_partitions(spark, path, LINE_AUDIT, store)
+    return audit_store.audit_partitions(spark, path, spec, store)
 
 
 def layer_audit_rerun(spark, folder):
