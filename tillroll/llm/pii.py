@@ -199,7 +199,12 @@ def replacer(key: str, back: bool):
 
 
 def session_key(spark: SparkSession) -> str:
-    return spark.conf.get(SETTING, None) or TEST_KEY
+    """The key of the session; only a local one may go without, with a key that anybody
+    can read here and turn pseudonyms back."""
+    key = spark.conf.get(SETTING, None)
+    if not key and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {SETTING} to a secret of 1 to 64 bytes")
+    return key or TEST_KEY
 
 
 def with_pseudonyms(

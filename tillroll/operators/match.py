@@ -209,17 +209,20 @@ def match_products(
     if treated is not None:
         named_treated = treated.withColumnsRenamed(TREATED_NAMES)
         tables.append(typed(_treated_entries(main, master_treated, attributes), "treated"))
-    entries = cut_lineage(best_per_key(reduce(DataFrame.unionByName, tables)))
+    best_entries = best_per_key(reduce(DataFrame.unionByName, tables))
+    # Numbered in the order of the entries: numbers, not entries, travel with products.
+    entries = cut_lineage(best_entries.orderBy("entry").withColumn("number", F.monotonically_increasing_id()))
 
     filled = fill_own_volume(products).select(*PRODUCT_COLUMNS)
     keys = _product_keys(filled, named_treated)
-    found = lookup_join(keys, entries, ["key_type", "key"], "inner", rule)
+    found = lookup_join(keys, entries.drop("entry"), ["key_type", "key"], "inner", rule)
     # Entries of one stage are ordered too: equal stages never depend on row order.
-    best = (
+    chosen = (
         found.groupBy("PRODUCT_ID")
-        .agg(F.min(F.struct("stage", "entry")).alias("first"))
-        .select("PRODUCT_ID", "first.stage", "first.entry")
+        .agg(F.min(F.struct("stage", "number")).alias("first"))
+        .select("PRODUCT_ID", "first.stage", "first.number")
     )
+    best = lookup_join(chosen, entries.select("number", "entry"), ["number"], "inner", rule).drop("number")
 
     rows = first_per_key(filled, ["PRODUCT_ID"]).withColumn("_treated", F.lit(False))
     if named_treated is not None:
