@@ -66,6 +66,60 @@ def test_vectors_tell_classes_apart(session):
     assert ht.text_token(parse(rows[0][2])[0][0]) in made.fixed and len(made.fixed) == 2
 
 
+ARTICLE = "<article><h1>Title</h1><p>The text of the page.</article>"
+GOLD = "Title\nThe text of the page."
+ONE_PAGE = {
+    "state of the body": (f"<body class='home has-sidebar'><nav>menu</nav>{ARTICLE}</body>", GOLD),
+    "state of a wrapper": (f"<div class='single comments-open'>{ARTICLE}<div class=comments><p>nice</div></div>", GOLD),
+    "name of the article": (ARTICLE.replace("<article", "<article class=widget-page"), GOLD),
+    "name of a paragraph": (ARTICLE.replace("<p>", "<p id=search-algorithms>"), GOLD),
+    "form around the page": (f"<body><form id=aspnetForm><nav>menu</nav>{ARTICLE}<footer>foot</footer></form>", GOLD),
+    "form around a page without article": ("<form><h1>Title</h1><p>The text of the page.</form><form>Your mail</form>", GOLD),
+    "teaser article": ("<div class=post><h1>Title</h1><p>The text of the page.</div><aside><article><p>Read this too, it is long, long and long</article></aside>", GOLD),
+    "short teaser article outside": ("<div class=post><h1>Title</h1><p>The text of the page.</div><article>More</article>", GOLD + "\nMore"),
+    "short blocks": ("<h1>T</h1><pre>a = 1</pre><table><tr><td>x<td>y</table><blockquote>Said</blockquote><ul><li>one<li>two</ul>", "T\na = 1\nx\ny\nSaid\none\ntwo"),
+    "linked paragraph": ("<h1>T</h1><p><a href=x>See here for more</a></p><ul><li><a>Home</a><li><a>About</a></ul>", "T\nSee here for more"),
+    "article's own header": ("<article><header class=entry-header><h1>Title</h1><p>by me</header><p>Text</article>", "Title\nText"),
+    "boxes": ("<h1>T</h1><div class=ad-slot-left>Buy</div><div id=comments-list><p>nice</div><div class=site-footer>Us</div><p>Text", "T\nText"),
+    "long comments": (f"<div class=post><p>Text</div><div class=comments>{'<p>nice and long' * 50}</div>", "Text"),
+}
+
+
+def test_single_pages_by_their_names():
+    got = {name: ht.main_text(page, set(), set()) for name, (page, _) in ONE_PAGE.items()}
+    assert got == {name: gold for name, (_, gold) in ONE_PAGE.items()}
+
+
+def test_equal_pages_of_a_host_are_one(session):
+    rows = [(k, "http://a.b/", f"<body><h1>Title</h1><p>Body</p>{'<p>again' * (k // 8)}") for k in range(16)]
+    got = ht.with_main_text(session.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == {k: "Title\nBody" + "\nagain" * (k // 8) for k in range(16)}
+
+
+def test_template_decides_inside_articles(session):
+    """Notices and link lists that all pages have go, texts of the same length that vary stay."""
+    rows, gold = [], {}
+    for k in range(30):
+        body = "".join(f"<p>Line {k} {i}</p>" for i in range(1 + k % 3))
+        links = "".join(f"<li><a href=/{i}>Next {k} {i}</a></li>" for i in range(1 + k % 4))
+        rows.append((k, "//a.b/", f"<body><article><h1>Title {k}</h1>{body}<div>Read us daily</div><ul>{links}</ul><div><b>{k}</b></div></article>"))
+        gold[k] = "\n".join([f"Title {k}", *[f"Line {k} {i}" for i in range(1 + k % 3)], str(k)])
+    got = ht.with_main_text(session.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == gold
+    assert all(ht.main_text(r[2], set(), set()) != gold[r[0]] for r in rows)
+
+
+def test_a_host_without_articles_keeps_short_blocks(session):
+    rows, gold = [], {}
+    for k in range(20):
+        cells = [f"c{k}{i}" for i in range(1 + k % 5)]
+        row = "".join(f"<td>{c}" for c in cells)
+        rows.append((k, "//a.b/", f"<body class=no-sidebar><div class=top>Our site</div><div class=box><h2>H{k}</h2><pre>{k}</pre><table><tr>{row}</table></div><div class=foot>All rights</div>"))
+        gold[k] = "\n".join([f"H{k}", str(k), *cells])
+    got = ht.with_main_text(session.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == gold
+
+
 def test_query_equals_the_article_elements(session):
     folder = repo.SMALL.replace("0.001", "0.01")
     pages = {r.page_id: r for r in session.read.parquet(f"{folder}/pages.parquet").collect()}

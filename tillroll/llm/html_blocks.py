@@ -60,6 +60,8 @@ class Block:
     text: str
     words: int
     linked: int
+    #: For each element of the path, the how manieth of the page it is.
+    opened: tuple[int, ...] = ()
 
 
 def called(attributes: str) -> tuple[str, ...]:
@@ -80,6 +82,7 @@ def called(attributes: str) -> tuple[str, ...]:
 class _Page:
     def __init__(self) -> None:
         self.open: list[Element] = []
+        self.opened: list[int] = []
         self.blocks: list[Block] = []
         self.tags: list[tuple[tuple[Element, ...], bool]] = []
         self.parts: list[str] = []
@@ -90,12 +93,12 @@ class _Page:
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
             words = text.count(" ") + 1
-            self.blocks.append(Block(tuple(self.open), text, words, min(self.linked, words)))
+            self.blocks.append(Block(tuple(self.open), text, words, min(self.linked, words), tuple(self.opened)))
         self.parts, self.linked = [], 0
 
     def close_to(self, depth: int) -> None:
         self.flush()
-        del self.open[depth:]
+        del self.open[depth:], self.opened[depth:]
 
     def start(self, name: str, attributes: str) -> None:
         for depth in range(len(self.open) - 1, -1, -1):
@@ -108,6 +111,7 @@ class _Page:
         element = Element(name, called(attributes) if attributes.strip() else ())
         if name not in VOID:
             self.open.append(element)
+            self.opened.append(len(self.tags))
             self.tags.append((tuple(self.open), True))
 
     def end(self, name: str) -> None:
