@@ -124,14 +124,16 @@ def cut_into_pieces(docs: DataFrame, path: str, capacity: int, doc_id: str, text
 
 def place(pieces: DataFrame, capacity: int) -> DataFrame:
     """``pieces`` (a stored table) with ``sequence_id`` and ``offset``."""
-    by_length = pieces.groupBy("length").count().collect()  # at most ``capacity`` rows
+    by_length = pieces.groupBy("length").agg(F.count("*").alias("count")).collect()  # at most ``capacity`` rows
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for r in by_length:
         counts[r["length"]] = r["count"]
     _, runs = plan(counts, capacity)
 
-    buckets = max(1, -(-int(counts.sum()) // RANKED_TOGETHER))
-    bucketed = pieces.withColumn("bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(buckets)))
+    # As many buckets as a length needs: most lengths are ranked in one.
+    needed = [(n, -(-int(counts[n]) // RANKED_TOGETHER)) for n in np.flatnonzero(counts).tolist()]
+    buckets = F.broadcast(pieces.sparkSession.createDataFrame(needed, "length long, buckets long"))
+    bucketed = pieces.join(buckets, "length").withColumn("bucket", F.pmod(F.xxhash64("row", "piece"), "buckets"))
     per_bucket = bucketed.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = per_bucket.select("length", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
