@@ -12,15 +12,15 @@ def shingles(text, words=5):
     found = (text or "").encode().lower().split()
     if not found:
         return set()
-    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
+    return {tuple(found[i : i + words]) for i in range(len(found) - words + 1)}
 
 
 def plain(docs, items, containment=0.8):
     out = []
     for doc_id, text in docs:
-        have = shingles(text)
         for item_id, item in items:
-            want = shingles(item)
+            words = min(5, len((item or "").encode().split()))
+            have, want = shingles(text, words), shingles(item, words)
             if want and len(want & have) >= containment * len(want) - 1e-9:
                 out.append((doc_id, item_id, len(want & have), len(want)))
     return sorted(out, key=repr)
@@ -75,13 +75,23 @@ def test_nulls_repeats_clashes_and_empty_tables(spark):
     i = spark.createDataFrame(items, "item_id long, text string")
     got = dc.contaminated(d, i)
     assert got.columns == ["doc_id", "item_id", "n_shared", "n_shingles"]
-    assert sorted(r.doc_id or 0 for r in got.collect()) == [0, 0, 3, 3, 3, 3, 4, 4]
+    assert sorted(r.doc_id or 0 for r in got.collect()) == [0] * 3 + [3] * 6 + [4] * 3
     kept = dc.decontaminate(d, i)
     assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 5]
     assert dc.contaminated(d, i.limit(0)).count() == 0 == dc.contaminated(d.limit(0), i).count()
     assert dc.decontaminate(d, i.limit(0)).count() == len(docs)
 
 
+def test_short_items_and_items_without_id(session):
+    docs = [(1, "what is The capital\tof France now said he to me"), (2, "the capital of a france"), (3, "the capital of france"), (4, "yes"), (5, "no yes"), (6, "yesterday france")]
+    items = [(1, " the capital of france "), (2, "yes"), (None, "france now said he to me")]
+    d, i = session.createDataFrame(docs, "doc_id long, text string"), session.createDataFrame(items, "item_id long, text string")
+    got = sorted((tuple(r) for r in dc.contaminated(d, i).collect()), key=repr)
+    assert got == plain(docs, items) and {r[:2] for r in got} == {(1, 1), (3, 1), (4, 2), (5, 2), (1, None)}
+    kept = dc.decontaminate(d, i.where("item_id is null"))
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5, 6]
+
+
 def test_query_equals_its_sql(session):
     folder = repo.SMALL.replace("0.001", "0.01")
     con = duckdb.connect()

@@ -15,8 +15,11 @@ as well: the fewer shingles, the more bins, up to one bin for each possible hash
 (every hash is then a minimum). ``MISS`` bounds the chance to miss a pair in any
 partition.
 
-The items are the query set: they are handled in blocks of at most ``BLOCK``
-shingles, each broadcast to one pass over the documents.
+An item of fewer words than a shingle is one shingle of its own length, and found
+where a document holds its words in a row.
+
+The items are the query set: Spark shingles them, and they are handled in blocks of
+at most ``BLOCK`` shingles, each broadcast to one pass over the documents.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.simhash import shingle_hashes
-from tillroll.llm.texts import slices
+from tillroll.llm.texts import by_bytes, slices
+from tillroll.session import cut_lineage
 from tillroll.workload.tables import table
 
 WORDS, CONTAINMENT = 5, 0.8
@@ -131,39 +135,61 @@ MATCHES_ARROW = pa.list_(
 )
 
 
-def matcher(block, words: int):
+#: Items by the words of their shingles.
+Block = dict[int, Items]
+
+
+def matches_of(text: str | None, block: Block) -> list[dict]:
+    """The items of a block that are in a text."""
+    out = []
+    for words, items in block.items():
+        hashes = np.unique(shingle_hashes(text, words))
+        if len(hashes):
+            out += items.matches(hashes)
+    return out
+
+
+def matcher(block):
     """An Arrow function from texts to the items of the broadcast block in them."""
 
     @F.arrow_udf(MATCHES)
     def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         items = block.value
         for batch in batches:
-            out = []
-            for part in slices(batch):
-                for text in part:
-                    hashes = np.unique(shingle_hashes(text, words))
-                    out.append(items.matches(hashes) if len(hashes) else [])
-            yield pa.array(out, MATCHES_ARROW)
+            yield pa.array([matches_of(t, items) for part in slices(batch) for t in part], MATCHES_ARROW)
 
     return match
 
 
-def item_blocks(items: DataFrame, words: int, item_id: str, text: str, containment: float) -> Iterator[Items]:
+SHINGLES = "struct<words: int, hashes: array<long>>"
+
+
+def shingled(words: int):
+    """An Arrow function from items to the words of their shingles and the distinct hashes."""
+
+    @F.arrow_udf(SHINGLES)
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            texts = [t for part in slices(batch) for t in part]
+            # No more words than a shingle has need be told apart.
+            lengths = [min(words, len(t.encode().split(None, words))) if t else 0 for t in texts]
+            hashes = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts]
+            yield pa.StructArray.from_arrays(
+                [pa.array(lengths, pa.int32()), pa.array(hashes, pa.list_(pa.int64()))], ["words", "hashes"]
+            )
+
+    return of
+
+
+def item_blocks(items: DataFrame, words: int, item_id: str, text: str, containment: float) -> Iterator[Block]:
     """The items in blocks of bounded size, fetched one block at a time."""
-    block: list[tuple[int, np.ndarray]] = []
-    size = 0
-    rows = items.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{text}`").alias("text"))
-    for row in rows.where("item_id is not null").toLocalIterator():
-        hashes = np.unique(shingle_hashes(row["text"], words))
-        if not len(hashes):
-            continue
-        if block and size + len(hashes) > BLOCK:
-            yield Items(block, containment)
-            block, size = [], 0
-        block.append((row["item_id"], hashes))
-        size += len(hashes)
-    if block:
-        yield Items(block, containment)
+    rows = items.select(F.col(f"`{item_id}`").alias("item_id"), shingled(words)(F.col(f"`{text}`")).alias("s"))
+    found = cut_lineage(rows.select("item_id", "s.*")).where("words > 0").toLocalIterator()
+    for some in by_bytes(found, lambda r: len(r.hashes), BLOCK):
+        block: dict[int, list[tuple[int | None, np.ndarray]]] = {}
+        for r in some:
+            block.setdefault(r.words, []).append((r.item_id, np.array(r.hashes, dtype=np.int64).view(np.uint64)))
+        yield {n: Items([(k, np.sort(h)) for k, h in held], containment) for n, held in block.items()}
 
 
 def contaminated(
@@ -178,16 +204,17 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, n_shared, n_shingles): every item found in every row of ``docs``.
 
-    Words are separated by ASCII white space, letters A-Z count as lower case. A
-    text of fewer words than a shingle is one shingle; a null or empty text, on
-    either side, matches nothing. Repeated rows match once each; items with a null
-    id are left out. Extra columns are not carried. Empty tables give no rows.
+    Words are separated by ASCII white space, letters A-Z count as lower case. An
+    item of fewer words than a shingle is in the documents that hold its words in a
+    row; a null or empty text, on either side, matches nothing. Repeated rows match
+    once each, an item with a null id like any other. Extra columns are not carried.
+    Empty tables give no rows.
     """
     spark = docs.sparkSession
     found = None
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     for block in item_blocks(items, words, item_id, item_text, containment):
-        match = matcher(spark.sparkContext.broadcast(block), words)
+        match = matcher(spark.sparkContext.broadcast(block))
         part = source.select("doc_id", F.inline(match("text")))
         found = part if found is None else found.union(part)
     if found is None:
@@ -209,7 +236,7 @@ def decontaminate(
     Every row is judged by its own text, as in ``contaminated``.
     """
     for block in item_blocks(items, words, item_id, item_text, containment):
-        match = matcher(docs.sparkSession.sparkContext.broadcast(block), words)
+        match = matcher(docs.sparkSession.sparkContext.broadcast(block))
         docs = docs.where(F.size(match(F.col(f"`{text}`"))) == 0)
     return docs
 
@@ -218,24 +245,32 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-def shingle_sql(source: str, row_id: str) -> str:
-    """Distinct shingles of five words of each row."""
-    words = (
-        r"list_filter(string_split_regex(translate(coalesce(text, ''), "
-        r"'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+def words_sql(source: str, row_id: str) -> str:
+    """The words of each row."""
+    return (
+        f"select {row_id}, list_filter(string_split_regex(translate(coalesce(text, ''), "
+        r"'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') w "
+        f"from {source}"
     )
+
+
+def shingle_sql(row_id: str, source: str) -> str:
+    """Distinct shingles of five words of each row that has so many."""
     return f"""
-  select distinct {row_id}, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) s
-  from (select {row_id}, {words} w from {source})"""
+  select distinct {row_id}, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) s
+  from {source} where len(w) >= 5"""
 
 
 OP10_SQL = f"""
-with d as ({shingle_sql("documents", "doc_id")}), b as ({shingle_sql("benchmark", "item_id")}),
+with dw as ({words_sql("documents", "doc_id")}), bw as ({words_sql("benchmark", "item_id")}),
+d as ({shingle_sql("doc_id", "dw")}), b as ({shingle_sql("item_id", "bw")}),
 sizes as (select item_id, count(*) n_shingles from b group by item_id),
 shared as (select doc_id, item_id, count(*) n_shared from d join b using (s) group by doc_id, item_id)
 select doc_id, item_id, n_shared, n_shingles from shared join sizes using (item_id)
 where n_shared >= ceil(0.8 * n_shingles - 1e-9)
+union all
+select doc_id, item_id, 1, 1 from dw join bw on contains(' ' || array_to_string(dw.w, ' ') || ' ', ' ' || array_to_string(bw.w, ' ') || ' ')
+where len(bw.w) between 1 and 4
 """
 
 QUERIES = {"op10_benchmark_decontamination": (op10_benchmark_decontamination, OP10_SQL)}
