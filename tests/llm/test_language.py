@@ -1,4 +1,5 @@
 import math
+from fractions import Fraction
 
 import numpy as np
 
@@ -31,6 +32,34 @@ def test_word_scores_sum_all_segmentations():
         assert np.allclose(scores, np.log(total))
 
 
+def exact(word, at, chances):
+    """The forward sum of one language in exact fractions."""
+    ahead = [Fraction(1)]
+    for end in range(1, len(word) + 1):
+        starts = [k for k in range(max(0, end - 20), end) if word[k:end] in at or k == end - 1]
+        ahead.append(sum(ahead[k] * Fraction(chances[at.get(word[k:end], len(at))]) for k in starts))
+    return math.log(ahead[-1].numerator) - math.log(ahead[-1].denominator)
+
+
+def test_long_words_are_summed_whole():
+    pieces = lg.pieces_of(PATH)
+    assert max(map(len, pieces)) == 16
+    at = {p: k for k, p in enumerate(pieces)}
+    chances = np.random.default_rng(2).uniform(size=(len(pieces) + 1, 2)) ** 9
+    chances /= chances.sum(axis=0)
+    model = lg.Model(["x", "y"], PATH, chances)
+    words = ["nation" * 5, "internationalresponsibilities" * 4, "ünstqx" * 20, "responsibilities" * 17, "日本語のqz" * 60, "q" * 700]
+    for word, scores in zip(words, model.word_scores(words)):
+        assert np.allclose(scores, [exact("▁" + word, at, chances[:, k]) for k in (0, 1)], rtol=1e-9)
+
+
+def test_learning_is_the_same_word_by_word(monkeypatch):
+    words, counts = ["the", "nations", "a", "über", "responsibilities"], np.array([[9, 1], [5, 0], [7, 0], [0, 9], [1, 6]], float)
+    want = lg.train(["a", "b"], words, counts, PATH).chances
+    monkeypatch.setattr(lg, "WORD", 0)
+    assert np.allclose(lg.train(["a", "b"], words, counts, PATH).chances, want, rtol=1e-9)
+
+
 def test_learning_raises_the_likelihood(monkeypatch):
     words, counts = ["the", "then", "that", "der", "dem", "den"], np.array([[9, 1], [5, 0], [7, 0], [0, 9], [1, 6], [0, 7]], float)
     before = -math.inf

@@ -7,7 +7,9 @@ probabilities are learned by expectation maximisation: forward and backward sums
 give the expected count of every piece over all segmentations.
 
 Words are runs of letters in lower case with the vocabulary's word mark in front.
-All words of one length are computed at once, for all languages.
+All words of one length are computed at once, for all languages. A word may have any
+length: sums of long ones are scaled as they go, and very long ones are followed one
+by one, with the pieces of all places found at once.
 """
 
 from __future__ import annotations
@@ -35,8 +37,11 @@ SAMPLE = 400
 ROUNDS, ADDED = 4, 0.02
 #: Probability of a character that is no piece, the same in every language.
 STRAY = 1e-7
-#: Longer runs of letters are cut at this length; pieces are at most so long.
-WORD, PIECE = 31, 12
+#: Letters up to which the sums of a word need no scaling and its scores are kept, and
+#: up to which words of one length are computed together.
+WORD, TOGETHER = 31, 256
+#: Steps between scalings: so many stray characters are far from the least double.
+STEPS = 16
 #: Words whose scores a worker keeps.
 KEPT = 400_000
 
@@ -45,10 +50,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str) -> list[str]:
-    found = LETTERS.findall(text.lower())
-    if max(map(len, found), default=0) > WORD:
-        found = [w[i : i + WORD] for w in found for i in range(0, len(w), WORD)]
-    return found
+    return LETTERS.findall(text.lower())
 
 
 def roll(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -63,7 +65,7 @@ def pieces_of(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     every = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    return sorted({p for p in every if len(p) <= PIECE and (p.removeprefix(MARK).isalpha() or p == MARK)})
+    return sorted({p for p in every if p.removeprefix(MARK).isalpha() or p == MARK})
 
 
 class Lattice:
@@ -98,11 +100,57 @@ class Lattice:
                     found = np.where(found < 0, self.size, found)
                 yield start, end, found
 
+    def endings(self, word: str) -> np.ndarray:
+        """Row e, column k: the piece of k + 1 characters whose last is character e, or
+        the number after the last piece (a stray character), or the next one (none)."""
+        codes = np.array([ord(c) for c in word], dtype=np.uint64)
+        n = len(codes)
+        out = np.full((n, self.longest), self.size + 1)
+        h = np.zeros(n, dtype=np.uint64)
+        for k in range(min(self.longest, n)):
+            h = roll(h[: n - k], codes[k:])
+            at = np.minimum(np.searchsorted(self.hashes, h), self.size - 1)
+            out[k:, k] = np.where(self.hashes[at] == h, self.order[at], self.size + (k > 0))
+        return out
+
+
+def log_sums(endings: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """Row t: the log of the sum over all segmentations of the first t characters."""
+    n, longest = endings.shape
+    out = np.zeros((n + 1, chances.shape[1]))
+    recent, scale = np.zeros((longest, chances.shape[1])), np.zeros(chances.shape[1])
+    recent[0] = 1
+    for e in range(n):
+        new = (recent * chances[endings[e]]).sum(axis=0)
+        recent[1:] = recent[:-1].copy()
+        recent[0] = new
+        out[e + 1] = scale + np.log(new)
+        if e % STEPS == STEPS - 1:
+            recent /= new
+            scale = out[e + 1]
+    return out
+
+
+def expected_counts(endings: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """How often each piece is expected in a word, over all its segmentations."""
+    n, longest = endings.shape
+    ahead = log_sums(endings, chances)
+    beginnings = np.full_like(endings, len(chances) - 1)
+    for k in range(min(longest, n)):
+        beginnings[k:, k] = endings[k:, k][::-1]
+    behind = log_sums(beginnings, chances)[::-1]
+    out = np.zeros_like(chances)
+    for k in range(min(longest, n)):
+        share = np.exp(ahead[: n - k] + behind[k + 1 :] - ahead[n]) * chances[endings[k:, k]]
+        for lang in range(chances.shape[1]):
+            out[:, lang] += np.bincount(endings[k:, k], share[:, lang], len(chances))
+    return out
+
 
 @dataclass
 class Model:
-    """Languages, and for every piece (the last row: a stray character; then a row
-    of zeros for spans that are no piece) its probability in each."""
+    """Languages, and for every piece (the last row: a stray character) its probability
+    in each."""
 
     languages: list[str]
     path: str
@@ -117,15 +165,23 @@ class Model:
         """Log probability of each word in each language, over all segmentations."""
         out = np.zeros((len(words), len(self.languages)))
         lengths = np.array([len(w) for w in words])
-        for n in np.unique(lengths):
+        for n in np.unique(lengths[lengths <= TOGETHER]):
             at = np.flatnonzero(lengths == n)
-            for some in np.array_split(at, -(-len(at) // 20_000)):
+            for some in np.array_split(at, -(-len(at) * int(n) // 400_000)):
                 ahead = np.zeros((n + 2, len(some), len(self.languages)))
                 ahead[0] = 1
+                scaled = 0
                 for start, end, piece in self.lattice().spans([MARK + words[k] for k in some]):
+                    if n > WORD and start >= scaled + STEPS:
+                        out[some] += np.log(ahead[start])
+                        ahead[start + 1 :] /= ahead[start]
+                        ahead[start] = 1
+                        scaled = start
                     hit = np.flatnonzero(piece >= 0)
                     ahead[end, hit] += ahead[start, hit] * self.chances[piece[hit]]
-                out[some] = np.log(ahead[n + 1])
+                out[some] += np.log(ahead[n + 1])
+        for k in np.flatnonzero(lengths > TOGETHER):
+            out[k] = log_sums(self.lattice().endings(MARK + words[k]), with_none(self.chances))[-1]
         return out
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -134,7 +190,8 @@ class Model:
         if not self.languages:
             return [(UNKNOWN, 0.0)] * len(texts)
         before = len(self.index)
-        fresh = list(set().union(*lists).difference(self.index))
+        # The longest last: their scores are not kept.
+        fresh = sorted(set().union(*lists).difference(self.index), key=len)
         if fresh:
             self.index.update(zip(fresh, range(before, before + len(fresh))))
             new = self.word_scores(fresh)
@@ -149,13 +206,19 @@ class Model:
             share = np.exp(total - total.max())
             best = int(np.argmax(total))
             out.append((self.languages[best], float(share[best] / share.sum())))
-        if len(self.index) > KEPT:
-            for word in fresh:
+        kept = 0 if len(self.index) > KEPT else sum(len(w) <= WORD for w in fresh)
+        if kept < len(fresh):
+            for word in fresh[kept:]:
                 del self.index[word]
-            self.scores = self.scores[:before].copy()
+            self.scores = self.scores[: before + kept].copy()
         return out
 
 
+def with_none(chances: np.ndarray) -> np.ndarray:
+    """``chances`` and a row of zeros, for spans that are no piece."""
+    return np.vstack([chances, np.zeros((1, chances.shape[1]))])
+
+
 @lru_cache(maxsize=2)
 def _lattice(path: str) -> Lattice:
     return Lattice(pieces_of(path))
@@ -170,7 +233,7 @@ def train(languages: list[str], words: list[str], counts: np.ndarray, path: str)
     model = Model(languages, path, chances)
     lengths = np.array([len(w) for w in words], dtype=int)
     groups = []
-    for n in np.unique(lengths):
+    for n in np.unique(lengths[lengths <= WORD]):
         at = np.flatnonzero(lengths == n)
         for some in np.array_split(at, -(-len(at) // 5000)):
             spans = [
@@ -179,6 +242,7 @@ def train(languages: list[str], words: list[str], counts: np.ndarray, path: str)
                 if len(hit := np.flatnonzero(piece >= 0))
             ]
             groups.append((n + 1, some, spans))
+    long = [(k, model.lattice().endings(MARK + words[k])) for k in np.flatnonzero(lengths > WORD)]
     for _ in range(ROUNDS):
         expected = np.full((n_pieces + 1, n_langs), ADDED)
         for n, some, spans in groups:
@@ -193,6 +257,8 @@ def train(languages: list[str], words: list[str], counts: np.ndarray, path: str)
                 share = weight[hit] * ahead[start, hit] * model.chances[piece] * behind[end, hit]
                 for lang in range(n_langs):
                     expected[:, lang] += np.bincount(piece, share[:, lang], n_pieces + 1)
+        for k, endings in long:
+            expected += counts[k] * expected_counts(endings, with_none(model.chances))[:-1]
         model.chances[:n_pieces] = expected[:n_pieces] / expected[:n_pieces].sum(axis=0)
     return model
 
