@@ -10,7 +10,6 @@ to end with ``SIDE`` edge marks between them; a window never sees another text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
@@ -21,13 +20,10 @@ BATCH, STEP = 2048, 0.05
 SCORED = 4096
 
 
-def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Every class that occurs, with its positions."""
-    order = np.argsort(classes, kind="stable")
-    cuts = np.flatnonzero(np.diff(classes[order])) + 1
-    for some in np.split(order, cuts):
-        if len(some):
-            yield int(classes[some[0]]), some
+def _runs(classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Where each class begins in sorted ``classes``, and (class, from, to) of its positions."""
+    starts = np.flatnonzero(np.diff(classes, prepend=-1))
+    return starts, list(zip(classes[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(classes)]))
 
 
 def _shares(scores: np.ndarray) -> np.ndarray:
@@ -114,19 +110,21 @@ class Net:
         logs = np.zeros(len(at))
         for start in range(0, len(at), SCORED):
             some = at[start : start + SCORED]
+            # In the order of classes, members' products run on whole slices.
+            order = np.argsort(laid[some] // width, kind="stable")
+            some = some[order]
             near, wanted = self.around(laid, some), laid[some]
             hidden = rows[0][near[:, 0]]
             for k in range(1, 2 * SIDE):
                 hidden += rows[k][near[:, k]]
             hidden += bias
             np.tanh(hidden, out=hidden)
-            home, place, out = wanted // width, wanted % width, np.empty(len(some), dtype=np.float32)
-            # Sorted by class, members' products run on whole slices.
-            scores = hidden @ classes + classes_bias
-            out[:] = _log_share(scores, home)
-            for c, own in _by_class(home):
-                out[own] += _log_share(hidden[own] @ members[c] + members_bias[c], place[own])
-            logs[start : start + SCORED] = out
+            home, place = wanted // width, wanted % width
+            inside = np.empty((len(some), width), dtype=np.float32)
+            for c, first, last in _runs(home)[1]:
+                np.matmul(hidden[first:last], members[c], out=inside[first:last])
+            inside += members_bias[home]
+            logs[start + order] = _log_share(hidden @ classes + classes_bias, home) + _log_share(inside, place)
         ends = np.cumsum(lengths)
         sums = np.concatenate([[0.0], np.cumsum(logs)])
         return sums[ends] - sums[ends - lengths]
@@ -155,6 +153,9 @@ class Trainer:
 
     def step(self, near: np.ndarray, wanted: np.ndarray) -> None:
         net, n, width = self.net, len(wanted), self.net.members.shape[2]
+        # In the order of classes, so that each is a slice.
+        order = np.argsort(wanted // width, kind="stable")
+        near, wanted = near[order], wanted[order]
         into = net.into.reshape(-1, HIDDEN)
         inputs = net.embed[near].reshape(n, -1)
         hidden = np.tanh(inputs @ into + net.into_bias)
@@ -163,14 +164,20 @@ class Trainer:
         share[np.arange(n), home] -= 1
         share *= one
         back = share @ net.classes.T
-        for c, own in _by_class(home):
-            some = hidden[own]
-            inside = _shares(some @ net.members[c] + net.members_bias[c])
-            inside[np.arange(len(own)), place[own]] -= 1
-            inside *= one
-            back[own] += inside @ net.members[c].T
-            self._move("members", some.T @ inside, c)
-            self._move("members_bias", inside.sum(axis=0), c)
+        starts, runs = _runs(home)
+        inside = np.empty((n, width), dtype=np.float32)
+        for c, first, last in runs:
+            np.matmul(hidden[first:last], net.members[c], out=inside[first:last])
+        inside += net.members_bias[home]
+        _shares(inside)
+        inside[np.arange(n), place] -= 1
+        inside *= one
+        slopes = np.empty((len(runs), HIDDEN, width), dtype=np.float32)
+        for k, (c, first, last) in enumerate(runs):
+            back[first:last] += inside[first:last] @ net.members[c].T
+            np.matmul(hidden[first:last].T, inside[first:last], out=slopes[k])
+        self._move("members", slopes, home[starts])
+        self._move("members_bias", np.add.reduceat(inside, starts, axis=0), home[starts])
         back *= 1 - hidden**2
         slopes = (back @ into.T).reshape(-1, WIDTH)
         order = np.argsort(near, axis=None, kind="stable")
