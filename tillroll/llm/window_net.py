@@ -26,6 +26,11 @@ def _runs(classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     return starts, list(zip(classes[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(classes)]))
 
 
+def _order(numbers: np.ndarray) -> np.ndarray:
+    """The stable order of numbers from 0; short ones are sorted by digits."""
+    return np.argsort(numbers.astype(np.uint16) if numbers.max(initial=0) < 1 << 16 else numbers, kind="stable")
+
+
 def _shares(scores: np.ndarray) -> np.ndarray:
     """Softmax of every row, in place."""
     scores -= scores.max(axis=1, keepdims=True)
@@ -111,7 +116,7 @@ class Net:
         for start in range(0, len(at), SCORED):
             some = at[start : start + SCORED]
             # In the order of classes, members' products run on whole slices.
-            order = np.argsort(laid[some] // width, kind="stable")
+            order = _order(laid[some] // width)
             some = some[order]
             near, wanted = self.around(laid, some), laid[some]
             hidden = rows[0][near[:, 0]]
@@ -145,16 +150,16 @@ class Trainer:
         self.seen = Net(*[np.full(p.shape, 1e-4, dtype=np.float32) for p in net.parts()])
         self.positions = 0
 
-    def _move(self, name: str, slope: np.ndarray, at=...) -> None:
-        """A step on rows ``at`` of a part; rows without a slope would not move."""
+    def _move(self, name: str, slope: np.ndarray) -> None:
+        """A step on a part; what has no slope does not move."""
         part, seen = getattr(self.net, name), getattr(self.seen, name)
-        seen[at] += slope**2
-        part[at] -= STEP * slope / np.sqrt(seen[at])
+        seen += slope**2
+        part -= np.float32(STEP) * slope / np.sqrt(seen)
 
     def step(self, near: np.ndarray, wanted: np.ndarray) -> None:
         net, n, width = self.net, len(wanted), self.net.members.shape[2]
         # In the order of classes, so that each is a slice.
-        order = np.argsort(wanted // width, kind="stable")
+        order = _order(wanted // width)
         near, wanted = near[order], wanted[order]
         into = net.into.reshape(-1, HIDDEN)
         inputs = net.embed[near].reshape(n, -1)
@@ -172,18 +177,18 @@ class Trainer:
         _shares(inside)
         inside[np.arange(n), place] -= 1
         inside *= one
-        slopes = np.empty((len(runs), HIDDEN, width), dtype=np.float32)
-        for k, (c, first, last) in enumerate(runs):
+        slopes, of_bias = np.zeros_like(net.members), np.zeros_like(net.members_bias)
+        for c, first, last in runs:
             back[first:last] += inside[first:last] @ net.members[c].T
-            np.matmul(hidden[first:last].T, inside[first:last], out=slopes[k])
-        self._move("members", slopes, home[starts])
-        self._move("members_bias", np.add.reduceat(inside, starts, axis=0), home[starts])
+            np.matmul(hidden[first:last].T, inside[first:last], out=slopes[c])
+        of_bias[home[starts]] = np.add.reduceat(inside, starts, axis=0)
+        self._move("members", slopes)
+        self._move("members_bias", of_bias)
         back *= 1 - hidden**2
-        slopes = (back @ into.T).reshape(-1, WIDTH)
-        order = np.argsort(near, axis=None, kind="stable")
-        tokens = near.ravel()[order]
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(tokens)) + 1])
-        self._move("embed", np.add.reduceat(slopes[order], starts, axis=0), tokens[starts])
+        # One row per neighbour and position, summed by token.
+        tokens, each = near.ravel(), np.ascontiguousarray((back @ into.T).reshape(-1, WIDTH).T)
+        sums = [np.bincount(tokens, x, len(net.embed)) for x in each]
+        self._move("embed", np.stack(sums, axis=1).astype(np.float32))
         self._move("into", (inputs.T @ back).reshape(net.into.shape))
         self._move("into_bias", back.sum(axis=0))
         self._move("classes", hidden.T @ share)
