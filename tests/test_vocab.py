@@ -142,3 +142,18 @@ def test_repair_equals_brute_force_on_the_sample_sentences(session):
         (i, " ".join(fixes.get(w, w) for w in s.split(" "))) for i, s in enumerate(sentences)
     ]
     assert fixes["antartica"] == "antarctica"
+
+
+@pytest.mark.parametrize("unmatched", ["keep", "drop"])
+def test_a_long_text_is_not_searched_in_a_map_for_each_word(session, unmatched):
+    """Every word is unknown to the vocabulary, so the text's repairs are as many."""
+    words = [f"palavra{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{i}" for i in range(3000)]
+    text = " ".join([*words, "antarticaa", "", "antarticaa", "12", "500ml", "ow", ""])
+    df = session.createDataFrame([(1, text), (2, "ow antarticaa"), (3, "ow"), (4, ""), (5, None)], "k int, t string")
+    got = vocab.repair_typos(df, "t", frame(session, ["antarctica", "ow"]), "out", unmatched)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "element_at" not in plan and "map_contains_key" not in plan
+    some = " ".join(words) + " " if unmatched == "keep" else ""
+    end = "antarctica  antarctica 12 500ml ow "
+    want = {1: some + end, 2: "ow antarctica", 3: "ow", 4: None, 5: None}
+    assert {r["k"]: r["out"] for r in got.collect()} == want

@@ -228,6 +228,24 @@ def corrections(
     )
 
 
+@F.pandas_udf(T.StringType())
+def _mended(text: pd.Series, words: pd.Series, repairs: pd.Series) -> pd.Series:
+    """Each text with its ``words`` replaced; a word whose repair is null goes.
+
+    A map column is searched from its start for every word, so this looks them up in
+    a dictionary: a text costs its own length.
+    """
+    out = []
+    for t, w, r in zip(text, words, repairs):
+        if t is None:
+            out.append(None)
+            continue
+        found = dict(zip(w, r))
+        kept = (found.get(part, part) for part in t.split(" "))
+        out.append(" ".join(part for part in kept if part is not None))
+    return pd.Series(out, dtype="object")
+
+
 def repair_typos(
     df: DataFrame,
     text: str,
@@ -270,13 +288,8 @@ def repair_typos(
         F.map_from_entries(F.collect_list(F.struct("word", F.col("repaired")))).alias("_repairs")
     )
     repairs = F.col("_repairs")
-    parts = F.split(source, " ")
-    if unmatched == "drop":
-        parts = F.filter(
-            parts,
-            lambda w: ~F.map_contains_key(repairs, w) | F.try_element_at(repairs, w).isNotNull(),
-        )
-    mended = F.array_join(F.transform(parts, lambda w: F.coalesce(F.try_element_at(repairs, w), w)), " ")
+    known = F.when(repairs.isNotNull(), F.make_valid_utf8(source))
+    mended = _mended(known, F.map_keys(repairs), F.map_values(repairs))
     joined = lookup_join(rows, cut_lineage(per_text), name, "left", rule, broadcast_rows)
     mend = F.when(source != "", F.when(repairs.isNull(), source).otherwise(mended))
     return joined.withColumn(out, mend).drop(*name, "_repairs")
