@@ -76,3 +76,12 @@ def test_predict_input_equals_brute_force(session):
         text = " ".join(fixes.get(w, w) for w in r["product_treated"].split(" "))
         want = text if "unidade" in text else text + " 1unidade"
         assert r["product_description_treated"] == want
+
+
+def test_the_cascade_stores_no_ids(session):
+    """No query on the stored tables returns the id, so its hashes are not made."""
+    from tillroll.workload import matching as m
+
+    products, treated = m._stored(session, str(FOLDER))
+    assert "id" not in treated.columns
+    assert "id" in m._treated_products(session, str(FOLDER), products).columns

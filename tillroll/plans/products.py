@@ -110,10 +110,11 @@ def treat_products(
     """Select, id, unique words, description treatment, volume mark.
 
     Names repeat across stores, so each distinct one is treated once and comes
-    back by name.
+    back by name. The id is hashed as the stored rows are read, so a caller that
+    drops it does not pay for it.
     """
-    rows = select_products(products, use_brand)
-    rows = cut_lineage(with_row_id(rows, "id", rows.columns).fillna(""))
+    rows = cut_lineage(select_products(products, use_brand))
+    rows = with_row_id(rows, "id", rows.columns).fillna("")
     names = rows.select("product_aggregated").distinct()
     treated = t.description_treatment(t.unique_words("product_aggregated"))
     done = add_volume_mark(

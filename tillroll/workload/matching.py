@@ -326,9 +326,9 @@ def match_description(spark, folder):
 
 
 def _stored(spark, folder) -> tuple[DataFrame, DataFrame]:
-    """The products and the treated products, each as a stored table."""
+    """The products and the treated products without their id, each as a stored table."""
     products = cut_lineage(distinct_products(spark, folder))
-    return products, cut_lineage(_treated_products(spark, folder, products))
+    return products, cut_lineage(_treated_products(spark, folder, products).drop("id"))
 
 
 def _cascade(spark, folder, products: DataFrame, treated: DataFrame) -> DataFrame:
@@ -378,7 +378,7 @@ def predict_input(spark, folder):
     rows = predict.predict_input(
         treated, master_treated(spark, folder), _cascade(spark, folder, products, treated)
     )
-    return rows.drop("id")
+    return rows
 
 
 def _misspelt(spark, folder) -> DataFrame:
