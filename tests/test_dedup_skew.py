@@ -126,3 +126,15 @@ def test_no_text_is_a_join_key_of_typo_repair(session):
     assert rows(got) == [(1, "alimentacao saudavel", "alimentacao saudavel"), *[(2, "alimentcao saudavel", "alimentacao saudavel")] * 2, (3, "", None), (4, None, None)]
     joins = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x]
     assert joins and all("_text1" in x and "_text2" in x for x in joins)
+
+
+def test_gold_is_rebalanced_before_a_task_sorts_it(session):
+    from tillroll.plans import incremental as plan
+
+    spec = plan.GoldSpec(keys=("K",), look_back=plan.last_days(7), first_load_one_row=True)
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    gold = session.createDataFrame([("a", 1, d1), ("a", 1, d1), ("b", 2, d2), ("b", 2, d2), ("c", 3, None)], "K string, V int, INGESTION_DATE date")
+    fresh = session.createDataFrame([("a", 5, d2), ("a", 4, d2), ("b", 0, d1)], "K string, V int, INGESTION_DATE date")
+    got = plan.merge_newest(gold, fresh, spec, None)
+    assert "RebalancePartitions" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got) == [("a", 4, d2), ("b", 2, d2)]

@@ -97,7 +97,9 @@ def merge_newest(
 
     Where the fresh side counts with one row per key, that row is chosen among
     its rows of the newest ingestion: the windows and the dedup then share the one
-    partitioning by key, and ranks are cut per task before the shuffle.
+    partitioning by key, and ranks are cut per task before the shuffle. For that cut a
+    task sorts its rows. A stored split may unpack to many times its size, so gold is
+    rebalanced first: a task sorts about as many bytes, however large gold is.
     """
     keys = list(spec.keys)
     if not spec.first_load_one_row:
@@ -105,7 +107,7 @@ def merge_newest(
             gold.unionByName(fresh), keys, INGESTION, distinct=True, rule=rule
         )
     order = total_order(fresh, [], keys)
-    both = gold.withColumn("_fresh", F.lit(False)).unionByName(
+    both = gold.hint("rebalance").withColumn("_fresh", F.lit(False)).unionByName(
         fresh.withColumn("_fresh", F.lit(True))
     )
     newest = newest_per_key(both, keys, INGESTION, rule=None)
