@@ -1,3 +1,4 @@
+import random
 import re
 import unicodedata
 
@@ -139,3 +140,19 @@ def test_every_abbreviation_by_hand(spark):
 def test_litres_of_any_size(spark):
     got = values(spark, ["agua 1,5 l", "agua 4,35 l", "x 12345678901234567890 l"], t.litres_to_ml)
     assert [" ".join(g.split()) for g in got] == ["agua 1500ml", "agua 4350ml", "x 12345678901234568000000ml"]
+
+
+def test_faster_patterns_give_what_the_rules_give(session):
+    """On random strings of pieces of the rules, and without touching plain words."""
+    r = random.Random(5)
+    bits = ["n/a", "n", "/", "a", "#", "12 ", "1", " ", "  ", "|", "é", "x", " x 3", "un", "unid", "caixa", "cx", "cxa com", "\n",
+            "jesus guarana", "brahma chop", "proibida pilsen", "150 bpm", "nao informado", "zer", "zr", "-", "_", " unidade", "0"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(1, 12))) for _ in range(4000)]
+    df = session.createDataFrame([(x,) for x in texts], "x string")
+    rules = [x for x in [*fixed.UNIT_RULES, *fixed.UNIT_GLUE_RULES, *fixed.BRAND_RULES] if x[0] in fixed.FASTER]
+    assert len(rules) == len(fixed.FASTER)
+    pairs = [(F.regexp_replace("x", f"(?d){p}", to), t.apply_rules(F.col("x"), [(p, to)])) for p, to in rules]
+    same = [a.eqNullSafe(b).alias(str(i)) for i, (a, b) in enumerate(pairs)]
+    assert all(df.select(*[F.min(c) for c in same]).first())
+    space = next(p for p in fixed.FASTER if p.startswith("n/a"))
+    assert session.range(1).select(F.regexp_count(F.lit("so two words|c"), F.lit(fixed.FASTER[space]))).first()[0] == 0

@@ -33,7 +33,7 @@ def apply_rules(c: Column, rules: list[tuple[str, str]]) -> Column:
     ``(?d)`` makes only a line feed end a line, whatever else the text holds.
     """
     for pattern, replacement in rules:
-        c = F.regexp_replace(c, f"(?d){pattern}", replacement)
+        c = F.regexp_replace(c, f"(?d){fixed.FASTER.get(pattern, pattern)}", replacement)
     return c
 
 
@@ -125,9 +125,15 @@ def brand_rules(c: Column | str) -> Column:
 
 
 def full_words(c: Column | str) -> Column:
-    """Abbreviations expanded and stop words removed, as an array."""
-    full = literal_map({a: full for full, short in fixed.ABBREVIATIONS.items() for a in short})
-    expanded = F.transform(words(c), lambda w: F.coalesce(F.try_element_at(full, w), w))
+    """Abbreviations expanded and stop words removed, as an array.
+
+    A map is searched from its start, so only words of the hashed set look in it.
+    """
+    pairs = {a: full for full, short in fixed.ABBREVIATIONS.items() for a in short}
+    full = literal_map(pairs)
+    expanded = F.transform(
+        words(c), lambda w: F.when(w.isin(list(pairs)), F.try_element_at(full, w)).otherwise(w)
+    )
     return F.filter(expanded, lambda w: ~w.isin(fixed.STOP_WORDS))
 
 
