@@ -7,6 +7,7 @@ from helpers import rows
 from tillroll.functions import fixed_values as fixed
 from tillroll.operators import vocab
 from tillroll.operators.skew import HotRule
+from tillroll.session import cut_lineage
 
 
 def frame(spark, words, name="word"):
@@ -157,3 +158,33 @@ def test_a_long_text_is_not_searched_in_a_map_for_each_word(session, unmatched):
     end = "antarctica  antarctica 12 500ml ow "
     want = {1: some + end, 2: "ow antarctica", 3: "ow", 4: None, 5: None}
     assert {r["k"]: r["out"] for r in got.collect()} == want
+
+
+def test_the_keys_of_a_word_are_few_and_find_two_letters_too_many(session):
+    """Words are many: one has a key a letter and half a letter more, not one a pair of letters."""
+    r = random.Random(9)
+    pairs = set()
+    for _ in range(60):
+        known = "".join(r.choice("abcde") for _ in range(r.randint(9, 13)))
+        word = known
+        for _ in range(2):
+            i = r.randrange(len(word) + 1)
+            word = word[:i] + r.choice("abcdefg") + word[i:]
+        pairs.add((word, known))
+    words = frame(session, sorted({w for w, _ in pairs}))
+    keys = vocab._keys(words, "word", False).groupBy("word").count().collect()
+    assert len(keys) == words.count() and all(x["count"] <= 2 * len(x["word"]) + 4 for x in keys)
+    assert set(rows(vocab.candidate_pairs(words, frame(session, sorted({k for _, k in pairs}))))) >= pairs
+
+
+def test_few_repairs_meet_the_words_where_the_texts_are(session, monkeypatch):
+    """Texts are only told apart, by a shuffle of all of them, for repairs that are many."""
+    stored = []
+    monkeypatch.setattr(vocab, "cut_lineage", lambda df: stored.append(df.columns) or cut_lineage(df))
+    df = session.createDataFrame([(1, "cervejaa ow cervejaa"), (2, "cervejaa ow cervejaa"), (3, "ow")], "k int, t string")
+    want = [(1, "cerveja ow cerveja"), (2, "cerveja ow cerveja"), (3, "ow")]
+    for few, tokens in ((1000, 0), (0, 1)):
+        stored.clear()
+        got = vocab.repair_typos(df, "t", frame(session, ["cerveja", "ow"]), "out", broadcast_rows=few)
+        assert rows(got.select("k", "out")) == want
+        assert stored.count(["_text1", "_text2", "word"]) == tokens
