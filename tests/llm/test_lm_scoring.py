@@ -51,6 +51,34 @@ def test_scores_follow_the_definition(monkeypatch):
     assert np.isclose(sum(np.exp(plain_log(net, [0, 1, 9, 9], w)) for w in range(9)), 1)
 
 
+def test_only_far_scores_are_shifted():
+    """Near ones need no search for the largest of every row; far ones stay right."""
+    near = np.array([[1, -2, 3], [0, 50, -59]], dtype=np.float32)
+    powers, lost = window_net._powers(near.copy())
+    assert lost == 0 and np.allclose(powers, np.exp(near))
+    far = np.array([[1000, 999, 0], [-2000, -2001, -2000]], dtype=np.float32)
+    powers, lost = window_net._powers(far.copy())
+    assert lost.tolist() == [1000, -2000] and np.isfinite(powers).all()
+    slopes = window_net._slopes(far.copy(), np.array([0, 2]))
+    share = np.exp(far - far.max(axis=1, keepdims=True))
+    share /= share.sum(axis=1, keepdims=True)
+    assert np.allclose(slopes, (share - np.array([[1, 0, 0], [0, 0, 1]])) / 2, atol=1e-6)
+    net, texts = some_net(), [np.array([0, 5, 8, 1, 1])]
+    for part, size in ((net.classes_bias, 300), (net.members_bias, 70)):
+        part += size * np.arange(part.size).reshape(part.shape)
+    assert np.allclose(net.score(*laid(texts)), [plain_score(net, t) for t in texts], rtol=1e-5)
+
+
+def test_a_step_moves_the_biases_of_the_net():
+    """They are rows of the same table as their weights, moved at once."""
+    trainer = Trainer(some_net())
+    before = [p.copy() for p in trainer.net.parts()]
+    trainer.step(np.array([[0, 1, 2, 9]]), np.array([4]))
+    assert trainer.net.members_bias.base is trainer.net.members.base is trainer.members
+    assert trainer.net.classes_bias.base is trainer.net.classes.base is trainer.classes
+    assert all((p != b).any() for p, b in zip(trainer.net.parts(), before))
+
+
 def test_slopes_equal_differences():
     net = some_net(6)
     shaped = lambda f: Net.shaped(f, 2, MEMBERS)

@@ -18,12 +18,14 @@ SIDE, WIDTH, HIDDEN = 2, 16, 32
 BATCH, STEP = 2048, 0.05
 #: Positions scored at once.
 SCORED = 4096
+#: Scores beyond this, either way, are shifted before they are exponents.
+FAR = 60
 
 
-def _runs(classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Where each class begins in sorted ``classes``, and (class, from, to) of its positions."""
+def _runs(classes: np.ndarray) -> list[tuple[int, int, int]]:
+    """(class, from, to) of the positions of each class in sorted ``classes``."""
     starts = np.flatnonzero(np.diff(classes, prepend=-1))
-    return starts, list(zip(classes[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(classes)]))
+    return list(zip(classes[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(classes)]))
 
 
 def _order(numbers: np.ndarray) -> np.ndarray:
@@ -31,12 +33,39 @@ def _order(numbers: np.ndarray) -> np.ndarray:
     return np.argsort(numbers.astype(np.uint16) if numbers.max(initial=0) < 1 << 16 else numbers, kind="stable")
 
 
-def _shares(scores: np.ndarray) -> np.ndarray:
-    """Softmax of every row, in place."""
-    scores -= scores.max(axis=1, keepdims=True)
-    np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
-    return scores
+def _powers(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+    """exp of ``scores`` in place, up to a factor for every row, and what the row lost."""
+    lost: np.ndarray | float = 0.0
+    if scores.size and max(scores.max(), -scores.min()) > FAR:
+        lost = scores.max(axis=1)
+        scores -= lost[:, None]
+    return np.exp(scores, out=scores), lost
+
+
+def _sums(rows: np.ndarray) -> np.ndarray:
+    """The sum of every row; a product is faster than a sum over short rows."""
+    return rows @ np.ones(rows.shape[1], dtype=rows.dtype)
+
+
+def _slopes(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Of the mean loss by every score, in place: softmax, less one at the wanted place."""
+    shares, n = _powers(scores)[0], np.float32(len(wanted))
+    shares *= (1 / (_sums(shares) * n))[:, None]
+    shares[np.arange(len(wanted)), wanted] -= 1 / n
+    return shares
+
+
+def _with_bias(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Weights with the bias as the row of an input that is always 1."""
+    return np.concatenate([weights, bias[..., None, :]], axis=-2, dtype=np.float32)
+
+
+def _by_class(hidden: np.ndarray, members: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+    """The scores of every position's class's members."""
+    inside = np.empty((len(hidden), members.shape[2]), dtype=np.float32)
+    for c, first, last in runs:
+        np.dot(hidden[first:last], members[c], out=inside[first:last])
+    return inside
 
 
 @dataclass
@@ -103,15 +132,15 @@ class Net:
 
     def around(self, laid: np.ndarray, at: np.ndarray) -> np.ndarray:
         steps = [d for d in range(-SIDE, SIDE + 1) if d]
-        return laid[at[:, None] + np.array(steps)]
+        return laid.take(at[:, None] + np.array(steps))
 
     def score(self, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The summed conditional log probability of every text's tokens."""
         laid, at = self.lay(tokens, lengths)
         # The first layer is a sum of one row per neighbour.
         rows = np.einsum("vw,swh->svh", self.embed, self.into).astype(np.float32)
-        _, _, bias, classes, classes_bias, members, members_bias = [p.astype(np.float32) for p in self.parts()]
-        width = members.shape[2]
+        bias, width = self.into_bias.astype(np.float32), self.members.shape[2]
+        classes, members = _with_bias(self.classes, self.classes_bias), _with_bias(self.members, self.members_bias)
         logs = np.zeros(len(at))
         for start in range(0, len(at), SCORED):
             some = at[start : start + SCORED]
@@ -119,17 +148,15 @@ class Net:
             order = _order(laid[some] // width)
             some = some[order]
             near, wanted = self.around(laid, some), laid[some]
-            hidden = rows[0][near[:, 0]]
+            sums = rows[0].take(near[:, 0], axis=0)
             for k in range(1, 2 * SIDE):
-                hidden += rows[k][near[:, k]]
-            hidden += bias
-            np.tanh(hidden, out=hidden)
+                sums += rows[k].take(near[:, k], axis=0)
+            sums += bias
+            hidden = np.ones((len(some), HIDDEN + 1), dtype=np.float32)
+            np.tanh(sums, out=hidden[:, :HIDDEN])
             home, place = wanted // width, wanted % width
-            inside = np.empty((len(some), width), dtype=np.float32)
-            for c, first, last in _runs(home)[1]:
-                np.matmul(hidden[first:last], members[c], out=inside[first:last])
-            inside += members_bias[home]
-            logs[start + order] = _log_share(hidden @ classes + classes_bias, home) + _log_share(inside, place)
+            inside = _by_class(hidden, members, _runs(home))
+            logs[start + order] = _log_share(hidden @ classes, home) + _log_share(inside, place)
         ends = np.cumsum(lengths)
         sums = np.concatenate([[0.0], np.cumsum(logs)])
         return sums[ends] - sums[ends - lengths]
@@ -137,62 +164,62 @@ class Net:
 
 def _log_share(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The log of the softmax of every row at one of its places; ``scores`` is used up."""
-    scores -= scores.max(axis=1, keepdims=True)
     told = scores[np.arange(len(wanted)), wanted]
-    return told - np.log(np.exp(scores, out=scores).sum(axis=1))
+    powers, lost = _powers(scores)
+    return told - lost - np.log(_sums(powers))
 
 
 class Trainer:
     """Adaptive gradient steps on batches of masked positions, in single precision."""
 
     def __init__(self, net: Net):
-        self.net = Net(*[p.astype(np.float32) for p in net.parts()])
-        self.seen = Net(*[np.full(p.shape, 1e-4, dtype=np.float32) for p in net.parts()])
+        # Biases are rows of their weights; the net's parts are views of these.
+        self.classes = _with_bias(net.classes, net.classes_bias)
+        self.members = _with_bias(net.members, net.members_bias)
+        embed, into, into_bias = (p.astype(np.float32) for p in net.parts()[:3])
+        self.net = Net(
+            embed, into, into_bias,
+            self.classes[:-1], self.classes[-1], self.members[:, :-1], self.members[:, -1],
+        )
+        moved = [embed, into, into_bias, self.classes, self.members]
+        self.seen = {id(p): np.full(p.shape, 1e-4, dtype=np.float32) for p in moved}
         self.positions = 0
 
-    def _move(self, name: str, slope: np.ndarray) -> None:
-        """A step on a part; what has no slope does not move."""
-        part, seen = getattr(self.net, name), getattr(self.seen, name)
-        seen += slope**2
-        part -= np.float32(STEP) * slope / np.sqrt(seen)
+    def _move(self, part: np.ndarray, slope: np.ndarray) -> None:
+        """A step on a part; what has no slope does not move. ``slope`` is used up."""
+        seen = self.seen[id(part)]
+        seen += slope * slope
+        slope *= np.float32(STEP)
+        slope /= np.sqrt(seen)
+        part -= slope
 
     def step(self, near: np.ndarray, wanted: np.ndarray) -> None:
         net, n, width = self.net, len(wanted), self.net.members.shape[2]
         # In the order of classes, so that each is a slice.
         order = _order(wanted // width)
         near, wanted = near[order], wanted[order]
-        into = net.into.reshape(-1, HIDDEN)
-        inputs = net.embed[near].reshape(n, -1)
-        hidden = np.tanh(inputs @ into + net.into_bias)
-        home, place, one = wanted // width, wanted % width, np.float32(1 / n)
-        share = _shares(hidden @ net.classes + net.classes_bias)
-        share[np.arange(n), home] -= 1
-        share *= one
-        back = share @ net.classes.T
-        starts, runs = _runs(home)
-        inside = np.empty((n, width), dtype=np.float32)
-        for c, first, last in runs:
-            np.matmul(hidden[first:last], net.members[c], out=inside[first:last])
-        inside += net.members_bias[home]
-        _shares(inside)
-        inside[np.arange(n), place] -= 1
-        inside *= one
-        slopes, of_bias = np.zeros_like(net.members), np.zeros_like(net.members_bias)
+        home, place = wanted // width, wanted % width
+        runs, into = _runs(home), net.into.reshape(-1, HIDDEN)
+        inputs = net.embed.take(near, axis=0).reshape(n, -1)
+        hidden = np.ones((n, HIDDEN + 1), dtype=np.float32)
+        own = np.tanh(inputs @ into + net.into_bias, out=hidden[:, :HIDDEN])
+        share = _slopes(hidden @ self.classes, home)
+        inside = _slopes(_by_class(hidden, self.members, runs), place)
+        back, slopes = np.empty((n, HIDDEN), dtype=np.float32), np.zeros_like(self.members)
         for c, first, last in runs:
-            back[first:last] += inside[first:last] @ net.members[c].T
-            np.matmul(hidden[first:last].T, inside[first:last], out=slopes[c])
-        of_bias[home[starts]] = np.add.reduceat(inside, starts, axis=0)
-        self._move("members", slopes)
-        self._move("members_bias", of_bias)
-        back *= 1 - hidden**2
+            np.dot(inside[first:last], net.members[c].T, out=back[first:last])
+            np.dot(hidden[first:last].T, inside[first:last], out=slopes[c])
+        back += share @ net.classes.T
+        self._move(self.members, slopes)
+        self._move(self.classes, hidden.T @ share)
+        back *= 1 - own * own
         # One row per neighbour and position, summed by token.
-        tokens, each = near.ravel(), np.ascontiguousarray((back @ into.T).reshape(-1, WIDTH).T)
-        sums = [np.bincount(tokens, x, len(net.embed)) for x in each]
-        self._move("embed", np.stack(sums, axis=1).astype(np.float32))
-        self._move("into", (inputs.T @ back).reshape(net.into.shape))
-        self._move("into_bias", back.sum(axis=0))
-        self._move("classes", hidden.T @ share)
-        self._move("classes_bias", share.sum(axis=0))
+        cells = (near.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
+        sums = np.bincount(cells, (back @ into.T).ravel(), net.embed.size)
+        slope = (inputs.T @ back).reshape(net.into.shape)
+        self._move(net.embed, sums.astype(np.float32).reshape(net.embed.shape))
+        self._move(net.into, slope)
+        self._move(net.into_bias, back.sum(axis=0))
         self.positions += n
 
     def learn(self, tokens: np.ndarray, lengths: np.ndarray, every: int, turn: int) -> None:
