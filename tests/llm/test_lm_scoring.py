@@ -114,6 +114,81 @@ def test_lists_are_laid_in_bounded_pieces(monkeypatch):
     assert all(len(f) <= 10 or len(n) == 1 for f, n in got)
 
 
+def odd_texts(rng, n):
+    signs = ["a", "B", "c c", " ", "\t", "\x0b", "\x0c", "\r", "\n", "\x1c", "\x85", "\u2003", "É", "\x00", "𝒳"]
+    return [None if rng.random() < 0.1 else "".join(rng.choice(signs) for _ in range(rng.randint(0, 9))) for _ in range(n)]
+
+
+def test_words_of_slices_equal_those_of_each_text(monkeypatch):
+    """Nulls, white space of all kinds, capitals, slices of arrays and both string types."""
+    texts = odd_texts(random.Random(6), 3000)
+    for kind in (pa.string(), pa.large_string()):
+        whole = pa.array(texts, kind)
+        late = whole.slice(100, 900)
+        for some in (whole, late, late.cast(pa.large_string()), whole.slice(7, 0), pa.array([None, None], kind), pa.array(["", " "], kind)):
+            for most in (1 << 21, 50):
+                monkeypatch.setattr(lm, "SLICE_BYTES", most)
+                got = list(lm.words_in(some))
+                want = [lm.words_of(t) for t in some.to_pylist()]
+                assert [w for words, _ in got for w in words.to_pylist()] == [w for t in want for w in t]
+                assert [n for _, lengths in got for n in lengths.tolist()] == [len(t) for t in want]
+
+
+def test_numbers_of_words_equal_those_of_each_text():
+    texts = [*odd_texts(random.Random(7), 500), *(f"w{k} w{k % 7} rare{k}" for k in range(500))]
+    for frequent in ([b"c", b"w3", b"a", "É".encode()], []):
+        tokens = lm.Tokens(frequent)
+        got = np.concatenate([tokens.of_words(words) for words, _ in lm.words_in(pa.array(texts, pa.string()))])
+        assert got.tolist() == [k for t in texts for k in tokens.of(t).tolist()]
+        assert tokens.of_words(pa.array([], pa.binary())).tolist() == []
+
+
+def test_stored_numbers_come_back_as_lists():
+    lists = [[], [1, 6143], [0], [], [7] * 9, [65535], []]
+    made = lm.stored(np.array([x for t in lists for x in t], lm.NUMBER), np.array([len(t) for t in lists]))
+    assert made.type == pa.binary() and [len(b) for b in made.to_pylist()] == [2 * len(t) for t in lists]
+    for first, n in ((0, 7), (2, 4), (3, 1), (0, 1), (6, 1), (5, 0)):
+        some = lm.lists_of(made.slice(first, n))
+        assert some.to_pylist() == lists[first : first + n]
+        assert [f.tolist() for f, _ in lm.laid(some)] == ([[x for t in lists[first : first + n] for x in t]] if n else [])
+    none = lm.stored(np.zeros(0, lm.NUMBER), np.zeros(2, dtype=np.int64))
+    assert lm.lists_of(none).to_pylist() == [[], []]
+
+
+def test_the_stored_table_has_two_bytes_a_token(session):
+    texts = ["a b A", None, "", "b é É \x0b c " * 9]
+    df = session.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    tokens = lm.Tokens([b"a", b"b"])
+    got = [r.x for r in lm.with_numbers(df, tokens, "text", "x").collect()]
+    assert [np.frombuffer(x, lm.NUMBER).tolist() for x in got] == [tokens.of(t).tolist() for t in texts]
+
+
+def test_batches_are_in_the_order_of_classes(monkeypatch):
+    """Sorted many at once, each has the positions it had; a step sorts what is not in order."""
+    texts = [np.random.default_rng(5).integers(0, 60, n) for n in (40, 0, 700)]
+    monkeypatch.setattr(window_net, "BATCH", 50)
+    for together in (2, 64):
+        monkeypatch.setattr(window_net, "SORTED", together)
+        trainer, got = Trainer(some_net(60)), []
+        monkeypatch.setattr(trainer, "step", lambda near, wanted: got.append((near, wanted)))
+        trainer.learn(*laid(texts), 2, 1)
+        net = trainer.net
+        row, at = net.lay(*laid(texts))
+        at = np.random.default_rng(len(at[1::2]) + 1).permutation(at[1::2])
+        for k, (near, wanted) in enumerate(got):
+            some = at[50 * k : 50 * k + 50]
+            assert (np.diff(wanted // MEMBERS) >= 0).all()
+            some = some[np.argsort(row[some] // MEMBERS, kind="stable")]
+            assert (wanted == row[some]).all() and (near == net.around(row, some)).all()
+        assert sum(len(w) for _, w in got) == len(at)
+    near, wanted = got[0]
+    sorted_, mixed = Trainer(some_net(60)), Trainer(some_net(60))
+    sorted_.step(near, wanted)
+    turn = np.random.default_rng(8).permutation(len(wanted))
+    mixed.step(near[turn], wanted[turn])
+    assert np.allclose(sorted_.net.flat(), mixed.net.flat(), atol=1e-5)
+
+
 def sentences(rng, n):
     """Each word tells the next and the one before."""
     ring = [f"w{k}" for k in range(30)]

@@ -6,26 +6,27 @@ tokens by a hash. A window network (``window_net``) predicts every token from bo
 sides, first its class and then the token in it, and the conditional log probabilities
 of a document's tokens are summed.
 
-Texts are turned into token numbers once, as a stored table. Training covers all tokens
-of all documents, each once: in every round each task runs over its rows from the same
-start and hands back its weights, which are averaged by the positions they were trained
-on. So the weights depend a little on how the rows are dealt over tasks. What is gathered
-(word counts, weights of each task) grows with the corpus; what reaches the driver is the
-token list and one set of weights.
+Arrow splits texts and finds the different words of a slice, so that a word is looked up
+once in it. Texts are turned into token numbers once, as a stored table of two bytes a
+token. Training covers all tokens of all documents, each once: in every round each task
+runs over its rows from the same start and hands back its weights, which are averaged by
+the positions they were trained on. So the weights depend a little on how the rows are
+dealt over tasks. What is gathered (word counts, weights of each task) grows with the
+corpus; what reaches the driver is the token list and one set of weights.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.texts import slices, unused
+from tillroll.llm.texts import SLICE_BYTES, unused
 from tillroll.llm.window_net import Net, Trainer
 from tillroll.session import cut_lineage
 from tillroll.workload.tables import table
@@ -41,12 +42,40 @@ COUNTED, KEPT = 400_000, 400_000
 LAID = 1 << 19
 #: A task hands back its weights in rows of so many.
 PACKED = 128
+#: A token's number as stored; all are below 2**16.
+NUMBER = np.dtype("<u2")
 
 
 def words_of(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def runs(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of rows that together have ``most`` at most; a longer row is alone."""
+    ends, start = np.cumsum(lengths), 0
+    while start < len(lengths):
+        before = ends[start] - lengths[start]
+        stop = max(int(np.searchsorted(ends, before + most, "right")), start + 1)
+        yield start, stop
+        start = stop
+
+
+def words_in(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """``words_of`` some texts at a time: all their words, and how many each text has."""
+    texts = pc.fill_null(texts, "")
+    for start, stop in runs(pc.binary_length(texts).to_numpy(), SLICE_BYTES):
+        # Joined, a slice stands at the start of its bytes, as ascii_lower wants it.
+        own = pa.concat_arrays([texts.slice(start, stop - start), pa.array([], texts.type)])
+        found = pc.ascii_split_whitespace(pc.ascii_lower(own))
+        words, lengths = found.flatten().cast(pa.binary()), found.value_lengths().to_numpy()
+        # White space around a text leaves an empty word.
+        proper = pc.binary_length(words).to_numpy() > 0
+        if not proper.all():
+            rows = np.repeat(np.arange(len(lengths)), lengths)
+            words, lengths = words.filter(pa.array(proper)), np.bincount(rows[proper], minlength=len(lengths))
+        yield words, lengths
+
+
 class Numbers(dict):
     """Numbers of words; those of rare words follow from their hash."""
 
@@ -62,6 +91,7 @@ class Tokens:
 
     def __init__(self, frequent: list[bytes]):
         self.frequent = frequent
+        self.known = pa.array(frequent, pa.binary())
         self.size = WORDS + SHARED
         self.numbers = Numbers()
         self.numbers.update((w, k) for k, w in enumerate(frequent))
@@ -73,26 +103,38 @@ class Tokens:
         found = words_of(text)
         return np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found))
 
+    def of_words(self, words: pa.Array) -> np.ndarray:
+        """The numbers of words; each different one is looked up once."""
+        coded = words.dictionary_encode()
+        places = pc.index_in(coded.dictionary, value_set=self.known)
+        numbers, rare = pc.fill_null(places, 0).to_numpy().astype(NUMBER), places.is_null()
+        others = coded.dictionary.filter(rare).to_numpy(zero_copy_only=False)
+        shared = np.fromiter(map(zlib.crc32, others), np.int64, len(others)) % SHARED
+        numbers[rare.to_numpy(zero_copy_only=False)] = WORDS + shared
+        return numbers[coded.indices.to_numpy()]
+
 
 def count_words(docs: DataFrame, text: str) -> DataFrame:
     """(word, n) over all documents; each task adds up its own first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held, added = [], 0
 
-        def told() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"]
-            )
+        def summed() -> pa.Table:
+            grouped = pa.concat_tables(held).group_by("word", use_threads=False)
+            return grouped.aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
 
         for batch in batches:
-            for part in slices(batch.column(0)):
-                for t in part:
-                    seen.update(words_of(t))
-                if len(seen) > COUNTED:
-                    yield told()
-                    seen.clear()
-        yield told()
+            for words, _ in words_in(batch.column(0)):
+                values, counts = words.value_counts().flatten()
+                held.append(pa.table({"word": values, "n": counts}))
+                added += len(values)
+                if added > COUNTED:
+                    held, added = [summed()], 0
+                    if held[0].num_rows > COUNTED:
+                        yield from held.pop().to_batches()
+        if held:
+            yield from summed().to_batches()
 
     made = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(count, "word binary, n long")
     return made.groupBy("word").agg(F.sum("n").alias("n"))
@@ -115,31 +157,42 @@ def learn_tokens(docs: DataFrame, text: str) -> tuple[Tokens, np.ndarray]:
 
 
 def with_numbers(docs: DataFrame, tokens: Tokens, text: str, out: str) -> DataFrame:
-    """``docs`` with the token numbers of each text as column ``out``."""
+    """``docs`` with the token numbers of each text, in bytes, as column ``out``."""
     known = docs.sparkSession.sparkContext.broadcast(tokens)
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("binary")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = known.value
         for batch in batches:
-            found = [own.of(t) for part in slices(batch) for t in part]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            flat = np.concatenate(found) if found else np.zeros(0)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+            found = [(own.of_words(words), lengths) for words, lengths in words_in(batch)]
+            yield stored(*map(np.concatenate, zip(*found))) if found else pa.array([], pa.binary())
 
     return docs.withColumn(out, of(F.col(f"`{text}`")))
 
 
+def stored(numbers: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The numbers of each text in bytes."""
+    ends = np.concatenate([[0], np.cumsum(lengths) * NUMBER.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(numbers)])
+
+
+def lists_of(found: pa.Array) -> pa.Array:
+    """The lists of numbers that ``stored`` put into bytes."""
+    found, kind = found.cast(pa.large_binary()), pa.from_numpy_dtype(NUMBER)
+    if not len(found):
+        return pa.array([], pa.large_list(kind))
+    _, ends, data = found.buffers()
+    ends = np.frombuffer(ends, np.int64)[found.offset : found.offset + len(found) + 1] // NUMBER.itemsize
+    flat = pa.Array.from_buffers(kind, ends[-1], [None, data]) if ends[-1] else pa.array([], kind)
+    return pa.LargeListArray.from_arrays(ends, flat)
+
+
 def laid(lists: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Token numbers and lengths of texts, about ``LAID`` tokens at a time."""
     lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
-    start = 0
-    while start < len(lengths):
-        before = ends[start] - lengths[start]
-        stop = max(int(np.searchsorted(ends, before + LAID, "right")), start + 1)
-        yield flat[before : ends[stop - 1]], lengths[start:stop]
-        start = stop
+    for start, stop in runs(lengths, LAID):
+        yield flat[ends[start] - lengths[start] : ends[stop - 1]], lengths[start:stop]
 
 
 def train_round(numbered: DataFrame, numbers: str, size: int, net: Net, turn: int) -> Net:
@@ -150,7 +203,7 @@ def train_round(numbered: DataFrame, numbers: str, size: int, net: Net, turn: in
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(Net.shaped(known.value, classes, MEMBERS))
         for batch in batches:
-            for tokens, lengths in laid(batch.column(0)):
+            for tokens, lengths in laid(lists_of(batch.column(0))):
                 trainer.learn(tokens, lengths, EVERY, turn)
         if trainer.positions:
             learned = trainer.net.flat().astype(np.float64) * trainer.positions
@@ -194,7 +247,7 @@ def scorer(known, classes: int):
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         net = Net.shaped(known.value, classes, MEMBERS)
         for batch in batches:
-            totals = [net.score(tokens, lengths) for tokens, lengths in laid(batch)]
+            totals = [net.score(tokens, lengths) for tokens, lengths in laid(lists_of(batch))]
             yield pa.array(np.concatenate(totals) if totals else np.zeros(0), pa.float64())
 
     return of
@@ -208,7 +261,7 @@ def scored(numbered: DataFrame, numbers: str, net: Net, names: tuple[str, str, s
     n_tokens, total, mean = names
     known = numbered.sparkSession.sparkContext.broadcast(net.flat())
     made = unused(numbered, "made")
-    size, sum_ = F.size(f"`{numbers}`").cast("long"), F.col(made)
+    size, sum_ = F.shiftright(F.octet_length(f"`{numbers}`"), NUMBER.itemsize // 2).cast("long"), F.col(made)
     kept = [F.col(f"`{c}`") for c in numbered.columns if c not in (*names, numbers)]
     return numbered.withColumn(made, scorer(known, net.members.shape[0])(F.col(f"`{numbers}`"))).select(
         *kept, size.alias(n_tokens), sum_.alias(total), F.when(size > 0, sum_ / size).alias(mean)

@@ -18,14 +18,17 @@ SIDE, WIDTH, HIDDEN = 2, 16, 32
 BATCH, STEP = 2048, 0.05
 #: Positions scored at once.
 SCORED = 4096
+#: Batches put in the order of their classes at once.
+SORTED = 64
 #: Scores beyond this, either way, are shifted before they are exponents.
 FAR = 60
 
 
 def _runs(classes: np.ndarray) -> list[tuple[int, int, int]]:
     """(class, from, to) of the positions of each class in sorted ``classes``."""
-    starts = np.flatnonzero(np.diff(classes, prepend=-1))
-    return list(zip(classes[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(classes)]))
+    ends = (np.flatnonzero(classes[1:] != classes[:-1]) + 1).tolist()
+    starts = [0, *ends] if len(classes) else []
+    return list(zip(classes[starts].tolist(), starts, [*ends, len(classes)]))
 
 
 def _order(numbers: np.ndarray) -> np.ndarray:
@@ -47,11 +50,16 @@ def _sums(rows: np.ndarray) -> np.ndarray:
     return rows @ np.ones(rows.shape[1], dtype=rows.dtype)
 
 
+def _cells(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each row's wanted place is in the flat ``scores``."""
+    return np.arange(0, scores.size, scores.shape[1]) + wanted
+
+
 def _slopes(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Of the mean loss by every score, in place: softmax, less one at the wanted place."""
     shares, n = _powers(scores)[0], np.float32(len(wanted))
     shares *= (1 / (_sums(shares) * n))[:, None]
-    shares[np.arange(len(wanted)), wanted] -= 1 / n
+    shares.reshape(-1)[_cells(shares, wanted)] -= 1 / n
     return shares
 
 
@@ -64,7 +72,7 @@ def _by_class(hidden: np.ndarray, members: np.ndarray, runs: list[tuple[int, int
     """The scores of every position's class's members."""
     inside = np.empty((len(hidden), members.shape[2]), dtype=np.float32)
     for c, first, last in runs:
-        np.dot(hidden[first:last], members[c], out=inside[first:last])
+        hidden[first:last].dot(members[c], inside[first:last])
     return inside
 
 
@@ -164,7 +172,7 @@ class Net:
 
 def _log_share(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The log of the softmax of every row at one of its places; ``scores`` is used up."""
-    told = scores[np.arange(len(wanted)), wanted]
+    told = scores.reshape(-1)[_cells(scores, wanted)]
     powers, lost = _powers(scores)
     return told - lost - np.log(_sums(powers))
 
@@ -183,39 +191,46 @@ class Trainer:
         )
         moved = [embed, into, into_bias, self.classes, self.members]
         self.seen = {id(p): np.full(p.shape, 1e-4, dtype=np.float32) for p in moved}
+        #: Where each token's numbers are in the flat ``embed``.
+        self.cells = np.arange(embed.size).reshape(embed.shape)
         self.positions = 0
 
     def _move(self, part: np.ndarray, slope: np.ndarray) -> None:
         """A step on a part; what has no slope does not move. ``slope`` is used up."""
-        seen = self.seen[id(part)]
-        seen += slope * slope
+        seen, size = self.seen[id(part)], slope * slope
+        seen += size
         slope *= np.float32(STEP)
-        slope /= np.sqrt(seen)
+        slope /= np.sqrt(seen, out=size)
         part -= slope
 
     def step(self, near: np.ndarray, wanted: np.ndarray) -> None:
         net, n, width = self.net, len(wanted), self.net.members.shape[2]
-        # In the order of classes, so that each is a slice.
-        order = _order(wanted // width)
-        near, wanted = near[order], wanted[order]
-        home, place = wanted // width, wanted % width
-        runs, into = _runs(home), net.into.reshape(-1, HIDDEN)
+        home = wanted // width
+        if (home[1:] < home[:-1]).any():
+            # In the order of classes, so that each is a slice.
+            order = _order(home)
+            near, wanted, home = near[order], wanted[order], home[order]
+        place, runs, into = wanted - home * width, _runs(home), net.into.reshape(-1, HIDDEN)
         inputs = net.embed.take(near, axis=0).reshape(n, -1)
+        sums = inputs @ into
+        sums += net.into_bias
         hidden = np.ones((n, HIDDEN + 1), dtype=np.float32)
-        own = np.tanh(inputs @ into + net.into_bias, out=hidden[:, :HIDDEN])
+        own = np.tanh(sums, out=hidden[:, :HIDDEN])
         share = _slopes(hidden @ self.classes, home)
         inside = _slopes(_by_class(hidden, self.members, runs), place)
         back, slopes = np.empty((n, HIDDEN), dtype=np.float32), np.zeros_like(self.members)
+        turned, of_member = hidden.T, net.members.transpose(0, 2, 1)
         for c, first, last in runs:
-            np.dot(inside[first:last], net.members[c].T, out=back[first:last])
-            np.dot(hidden[first:last].T, inside[first:last], out=slopes[c])
+            of_class = inside[first:last]
+            of_class.dot(of_member[c], back[first:last])
+            turned[:, first:last].dot(of_class, slopes[c])
         back += share @ net.classes.T
         self._move(self.members, slopes)
         self._move(self.classes, hidden.T @ share)
-        back *= 1 - own * own
+        np.multiply(own, own, out=sums)
+        back *= np.subtract(1, sums, out=sums)
         # One row per neighbour and position, summed by token.
-        cells = (near.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
-        sums = np.bincount(cells, (back @ into.T).ravel(), net.embed.size)
+        sums = np.bincount(self.cells.take(near, axis=0).ravel(), (back @ into.T).ravel(), net.embed.size)
         slope = (inputs.T @ back).reshape(net.into.shape)
         self._move(net.embed, sums.astype(np.float32).reshape(net.embed.shape))
         self._move(net.into, slope)
@@ -229,6 +244,11 @@ class Trainer:
         at = at[turn % every :: every]
         # Neighbouring positions are alike; a batch takes them from all over the slice.
         at = np.random.default_rng(len(at) + turn).permutation(at)
-        for start in range(0, len(at), BATCH):
-            some = at[start : start + BATCH]
-            self.step(self.net.around(laid, some), laid[some])
+        classes, width, most = len(self.net.members), self.net.members.shape[2], SORTED * BATCH
+        for first in range(0, len(at), most):
+            some = at[first : first + most]
+            # Each batch in the order of classes, all in one sort.
+            some = some[_order(np.arange(len(some)) // BATCH * classes + laid[some] // width)]
+            for start in range(0, len(some), BATCH):
+                batch = some[start : start + BATCH]
+                self.step(self.net.around(laid, batch), laid[batch])
