@@ -191,8 +191,8 @@ class Trainer:
         )
         moved = [embed, into, into_bias, self.classes, self.members]
         self.seen = {id(p): np.full(p.shape, 1e-4, dtype=np.float32) for p in moved}
-        #: Where each token's numbers are in the flat ``embed``.
-        self.cells = np.arange(embed.size).reshape(embed.shape)
+        #: Where each token's numbers are in the flat ``embed``, two by two.
+        self.pairs = np.arange(embed.size // 2).reshape(len(embed), -1)
         self.positions = 0
 
     def _move(self, part: np.ndarray, slope: np.ndarray) -> None:
@@ -229,10 +229,12 @@ class Trainer:
         self._move(self.classes, hidden.T @ share)
         np.multiply(own, own, out=sums)
         back *= np.subtract(1, sums, out=sums)
-        # One row per neighbour and position, summed by token.
-        sums = np.bincount(self.cells.take(near, axis=0).ravel(), (back @ into.T).ravel(), net.embed.size)
+        # One row per neighbour and position, summed by token, two numbers at a time.
+        sums, rows = np.zeros(net.embed.shape), (back @ into.T).astype(np.float64)
+        pairs = self.pairs.take(near, axis=0).ravel()
+        np.add.at(sums.reshape(-1).view(np.complex128), pairs, rows.reshape(-1).view(np.complex128))
         slope = (inputs.T @ back).reshape(net.into.shape)
-        self._move(net.embed, sums.astype(np.float32).reshape(net.embed.shape))
+        self._move(net.embed, sums.astype(np.float32))
         self._move(net.into, slope)
         self._move(net.into_bias, back.sum(axis=0))
         self.positions += n
