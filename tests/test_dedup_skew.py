@@ -119,6 +119,15 @@ def test_a_lookup_is_measured_before_it_is_broadcast(session):
     assert fits(wide.limit(0), 0)
 
 
+@pytest.mark.parametrize("rule", [None, DEFAULT_RULE], ids=["plain", "default"])
+def test_a_large_lookup_is_not_broadcast_by_the_size_of_its_files(session, rule):
+    wide = [F.lit("x" * 50).alias(f"w{i}") for i in range(40)]
+    stored = cut_lineage(session.range(300_000).select(F.col("id").alias("k"), *wide))
+    got = lookup_join(session.range(1_000_000).withColumnRenamed("id", "k"), stored.select("k"), ["k"], "inner", rule)
+    assert got.count() == 300_000
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_text_is_a_join_key_of_typo_repair(session):
     df = session.createDataFrame([(1, "alimentacao saudavel"), (2, "alimentcao saudavel"), (3, ""), (4, None), (2, "alimentcao saudavel")], "k int, t string")
     words = session.createDataFrame([("alimentacao",), ("saudavel",)], "word string")

@@ -12,7 +12,7 @@ from tillroll.functions import fixed_values as fixed
 from tillroll.functions.parse import fill_when, safe_cast
 from tillroll.operators.dedup import first_per_key
 from tillroll.operators.shape import drop_columns, with_typed_nulls
-from tillroll.operators.skew import DEFAULT_RULE, HotRule, lookup_join
+from tillroll.operators.skew import DEFAULT_RULE, HotRule, lookup_join, shuffled
 from tillroll.session import cut_lineage
 
 # Fixed values -------------------------------------------------------------
@@ -240,7 +240,7 @@ def match_products(
         F.lit(None).cast("string"),
     )
     matched = (
-        rows.join(best, "PRODUCT_ID")
+        rows.join(shuffled(best), "PRODUCT_ID")
         .where(F.col("_treated") == (F.col("stage") == 5))
         .select(*PRODUCT_COLUMNS, "entry.*", label.alias("PRODUCT_MATCH_TYPE"))
     )

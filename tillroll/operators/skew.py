@@ -108,6 +108,16 @@ def fits(df: DataFrame, rows: int, most_bytes: int = BROADCAST_BYTES) -> bool:
     return (df.agg(size).collect()[0][0] or 0) <= most_bytes
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is not broadcast on an estimate.
+
+    The optimizer takes a stored table for as large as its compressed files, and the
+    few columns a query reads for a small share of that: ten million numbers look like
+    a few megabytes, and as a hash table they would fill the driver.
+    """
+    return df.hint("merge")
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -121,16 +131,16 @@ def lookup_join(
     A lookup that is counted, measured and found small is broadcast, and ``df`` is not
     shuffled at all; give ``broadcast_rows=0`` for one that is not a stored table,
     as counting would compute it twice. Beyond that, rows of hot keys meet a
-    broadcast of the few lookup rows they can match, and all others take an
-    ordinary join. ``rule=None`` is for keys known to be unique in ``df`` as well,
+    broadcast of the few lookup rows they can match, and all others take a
+    ``shuffled`` join. ``rule=None`` is for keys known to be unique in ``df`` as well,
     or leaves skew to the engine.
     """
     if broadcast_rows and fits(lookup, broadcast_rows):
         return df.join(F.broadcast(lookup), keys, how)
     if rule is None:
-        return df.join(lookup, keys, how)
+        return df.join(shuffled(lookup), keys, how)
     cold_rows, hot_rows, hashes = split_hot(df, keys, rule)
-    joined = cold_rows.join(lookup, keys, how)
+    joined = cold_rows.join(shuffled(lookup), keys, how)
     if hot_rows is None:
         return joined
     few = lookup.where(is_hot(keys, hashes))
