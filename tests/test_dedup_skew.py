@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from helpers import rows
@@ -147,3 +148,48 @@ def test_gold_is_rebalanced_before_a_task_sorts_it(session):
     got = plan.merge_newest(gold, fresh, spec, None)
     assert "RebalancePartitions" in got._jdf.queryExecution().optimizedPlan().toString()
     assert rows(got) == [("a", 4, d2), ("b", 2, d2)]
+
+
+def test_rows_of_keys_that_repeat_are_told_from_the_others(spark):
+    data, df = feed(spark)
+    counts = {key: sum(row[:2] == key for row in data) for key in {row[:2] for row in data}}
+    alone, rest = dedup.split_repeated(df, ["k", "k2"])
+    assert rows(alone) == sorted([row for row in data if counts[row[:2]] == 1], key=repr) and alone.count() > 0
+    assert rows(rest) == sorted([row for row in data if counts[row[:2]] > 1], key=repr)
+    assert dedup.split_repeated(df, ["k", "k2"], most=3) == (None, df)
+    assert [x.count() for x in dedup.split_repeated(df.limit(0), ["k"])] == [0, 0]
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_gold_rows_of_single_keys_skip_the_merge(spark, stored):
+    from tillroll.plans import incremental as plan
+
+    spec = plan.GoldSpec(keys=("K", "K2"), look_back=lambda df, asof: df, first_load_one_row=True)
+    data, df = feed(spark)
+    later, _ = feed(spark, n=200, seed=5)
+    gold = cut_lineage(df.toDF("K", "K2", "INGESTION_DATE", "V"))
+    silver = spark.createDataFrame([(k, k2, v, *((d.year, d.month, d.day) if d else (None,) * 3)) for k, k2, d, v in later], "k string, k2 int, v int, year int, month int, day int")
+    first = {}
+    for k, k2, d, v in later:
+        if d is not None and ((k, k2) not in first or (d, -v) > (first[k, k2][0], -first[k, k2][1])):
+            first[k, k2] = d, v
+    fresh = [(*k, *x) for k, x in first.items()]
+    got = plan.build_gold(silver, spec, dt.date(2024, 1, 9), gold, silver_is_stored=stored)
+    assert rows(got.select("K", "K2", "INGESTION_DATE", "V")) == sorted(set(newest(data + fresh)), key=repr)
+    assert "LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()
+    loaded = plan.build_gold(silver, spec, dt.date(2024, 1, 9), silver_is_stored=stored)
+    assert rows(loaded.where("INGESTION_DATE is not null").select("K", "K2", "INGESTION_DATE", "V")) == sorted(fresh, key=repr)
+    assert loaded.count() == len({row[:2] for row in later})
+
+
+def test_what_was_shuffled_for_a_step_goes_when_it_is_stored(session):
+    from tillroll.session import CLEAN_UP
+
+    disk = session._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: {disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().length())}
+    before = kept(), session.conf.get(CLEAN_UP)
+    step = cut_lineage(session.range(10_000).groupBy(F.col("id") % 100).count())
+    until = time.time() + 20
+    while (left := {x for x in kept() - before[0] if x.startswith("shuffle_")}) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and step.count() == 100 and session.conf.get(CLEAN_UP) == before[1]

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.skew import DEFAULT_RULE, HotRule, same_key, split_hot
+from tillroll.operators.skew import DEFAULT_RULE, HotRule, key_hash, same_key, split_hot
+from tillroll.session import cut_lineage
+
+# Hashes of repeated keys up to this many are broadcast.
+MOST_REPEATED = 1_000_000
 
 
 def total_order(df: DataFrame, first: list[Column], keys: list[str]) -> list[Column]:
@@ -29,6 +33,25 @@ def first_per_key(
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+def split_repeated(
+    df: DataFrame, keys: list[str], most: int = MOST_REPEATED
+) -> tuple[DataFrame | None, DataFrame]:
+    """``(rows whose key no other row has, all other rows)``; the first is None, and the
+    other all of ``df``, where more than ``most`` keys repeat.
+
+    Keys are counted by a hash, so only numbers are shuffled. Rows of different keys with
+    one hash count as repeated, which is what they are compared for. ``df`` is read three
+    times: give one made of stored tables.
+    """
+    hashes = df.select(key_hash(keys).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = cut_lineage(hashes.where("_n > 1").select("_hash"))
+    if repeated.count() > most:
+        return None, df
+    hashed = df.withColumn("_hash", key_hash(keys))
+    alone, rest = (hashed.join(F.broadcast(repeated), "_hash", how).drop("_hash") for how in ("left_anti", "left_semi"))
+    return alone, rest
+
+
 def newest_per_key(
     df: DataFrame,
     keys: list[str],

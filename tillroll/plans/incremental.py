@@ -16,9 +16,10 @@ from tillroll.functions.parse import (
     nan_text_to_null,
 )
 from tillroll.operators import filters as keep
-from tillroll.operators.dedup import first_per_key, newest_per_key, total_order
+from tillroll.operators.dedup import first_per_key, newest_per_key, split_repeated, total_order
 from tillroll.operators.shape import INGESTION_PARTITION, drop_columns, upper_names
 from tillroll.operators.skew import DEFAULT_RULE, HotRule
+from tillroll.session import cut_lineage
 
 INGESTION = "INGESTION_DATE"
 
@@ -64,6 +65,7 @@ def build_gold(
     gold: DataFrame | None = None,
     rule: HotRule | None = DEFAULT_RULE,
     gold_is_clean: bool = False,
+    silver_is_stored: bool = False,
 ) -> DataFrame:
     """First load without ``gold``; else silver merged into it.
 
@@ -71,7 +73,8 @@ def build_gold(
     equal rows collapse. ``gold_is_clean`` is the caller's statement that gold
     is an earlier result of this function: its rows of dates the snapshot does
     not have then skip the merge (where the spec names the date). On gold of any
-    other origin that would keep stale and repeated rows.
+    other origin that would keep stale and repeated rows. ``silver_is_stored`` is the
+    statement that silver is a table, which costs little to read more than once.
 
     The result replaces the gold table: running again on it changes nothing.
     """
@@ -79,8 +82,12 @@ def build_gold(
     fresh = read_silver(silver, spec, asof, full_load=gold is None)
     if gold is None:
         if spec.first_load_one_row:
-            return first_per_key(fresh, keys, [F.col(INGESTION).desc_nulls_last()])
+            alone, rest = split_repeated(fresh, keys) if silver_is_stored else (None, fresh)
+            first = first_per_key(rest, keys, [F.col(INGESTION).desc_nulls_last()])
+            return first if alone is None else alone.unionByName(first)
         return newest_per_key(fresh, keys, INGESTION, distinct=True, rule=rule)
+    if spec.first_load_one_row and not silver_is_stored:
+        fresh = cut_lineage(fresh)
     if not gold_is_clean or spec.touched_by is None:
         return merge_newest(gold, fresh, spec, rule)
     values = fresh.select(F.col(spec.touched_by).alias("_touched")).distinct()
@@ -95,10 +102,12 @@ def merge_newest(
 ) -> DataFrame:
     """The newest version of each key over both sides, equal rows once.
 
-    Where the fresh side counts with one row per key, that row is chosen among
+    Where the fresh side counts with one row per key, both sides are stored tables, and
+    a row whose key no other row of either side has is taken as it is: most of gold is
+    not shuffled. Of the others, the fresh row is chosen among
     its rows of the newest ingestion: the windows and the dedup then share the one
     partitioning by key, and ranks are cut per task before the shuffle. For that cut a
-    task sorts its rows. A stored split may unpack to many times its size, so gold is
+    task sorts its rows. A stored split may unpack to many times its size, so they are
     rebalanced first: a task sorts about as many bytes, however large gold is.
     """
     keys = list(spec.keys)
@@ -107,17 +116,17 @@ def merge_newest(
             gold.unionByName(fresh), keys, INGESTION, distinct=True, rule=rule
         )
     order = total_order(fresh, [], keys)
-    both = gold.hint("rebalance").withColumn("_fresh", F.lit(False)).unionByName(
-        fresh.withColumn("_fresh", F.lit(True))
-    )
-    newest = newest_per_key(both, keys, INGESTION, rule=None)
+    both = gold.withColumn("_fresh", F.lit(False)).unionByName(fresh.withColumn("_fresh", F.lit(True)))
+    alone, rest = split_repeated(both.where(F.col(INGESTION).isNotNull()), keys)
+    newest = newest_per_key(rest.hint("rebalance"), keys, INGESTION, rule=None)
     one = Window.partitionBy(*keys, "_fresh").orderBy(*order)
-    return (
+    merged = (
         newest.withColumn("_n", F.row_number().over(one))
         .where("not _fresh or _n = 1")
         .drop("_fresh", "_n")
         .dropDuplicates()
     )
+    return merged if alone is None else alone.drop("_fresh").unionByName(merged)
 
 
 def last_days(days: int) -> Callable[[DataFrame, dt.date], DataFrame]:

@@ -21,9 +21,9 @@ GOLD_CUT = dt.date(2000, 6, 1)
 ASOF = dt.date(2001, 8, 1)
 
 
-def _stored(silver, spec, asof):
+def _stored(silver, spec, asof, silver_is_stored=False):
     """The gold table of an earlier run, as stored."""
-    return cut_lineage(plan.build_gold(silver, spec, asof))
+    return cut_lineage(plan.build_gold(silver, spec, asof, silver_is_stored=silver_is_stored))
 
 
 # Virtual-sale feed: few products and months, so keys come back often. --------
@@ -207,12 +207,13 @@ def gold_pack_snapshots(spark, folder):
 
 # Own-company feed --------------------------------------------------------------
 def gold_own_company(spark, folder):
+    """Both runs read silver as stored."""
     feed = feeds.own_company_feed(spark, folder)
-    silver = with_ingestion(feed, F.last_day(p.day_slashed("DATA_VENDA")))
+    silver = cut_lineage(with_ingestion(feed, F.last_day(p.day_slashed("DATA_VENDA"))))
     cut = dt.date(2001, 6, 1)
     early = silver.where(p.ingestion_day() < F.lit(cut))
-    gold = _stored(early, plan.OWN_COMPANY_GOLD, cut)
-    return plan.build_gold(silver, plan.OWN_COMPANY_GOLD, dt.date(2001, 8, 5), gold)
+    gold = _stored(early, plan.OWN_COMPANY_GOLD, cut, silver_is_stored=True)
+    return plan.build_gold(silver, plan.OWN_COMPANY_GOLD, dt.date(2001, 8, 5), gold, silver_is_stored=True)
 
 
 _OWN_KEYS = (
