@@ -186,7 +186,11 @@ def test_what_was_shuffled_for_a_step_goes_when_it_is_stored(session):
     from tillroll.session import CLEAN_UP
 
     disk = session._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-    kept = lambda: {disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().length())}
+
+    def kept():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.length())}
+
     before = kept(), session.conf.get(CLEAN_UP)
     step = cut_lineage(session.range(10_000).groupBy(F.col("id") % 100).count())
     until = time.time() + 20
